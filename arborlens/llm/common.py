@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch that are worked on at once, in characters of text.
 CHUNK_CHARS = 4_000_000
-#: Words whose hashes a Python worker remembers; the memory is emptied beyond it.
-WORD_CACHE = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,17 +56,50 @@ def in_chunks(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator
             yield part, part.column(part.schema.get_field_index(text)).to_pylist()
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to WORD_CACHE of them."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+BLANK = np.zeros(256, bool)
+BLANK[[0x20, *range(0x09, 0x0E)]] = True
+#: A random 64-bit number for each byte, 0 for blanks, and powers of a random odd number.
+BYTE = np.random.default_rng(20).integers(1, 2**64, 256, dtype=np.uint64)
+BYTE[BLANK] = 0
+POWER = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(65_535, 0xD1342543DE82EF95, np.uint64)]))
+NEXT_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of data, runs of bytes other than the ASCII blanks, and the words' first places.
+
+    A word's hash is the mixed sum of its bytes' numbers times powers by place, worked out for
+    all words at once, in pieces that end between words.
+    """
+    hashes, places, i = [], [], 0
+    while i < len(data):
+        j = i + CHUNK_CHARS // 4
+        if j < len(data):
+            found = NEXT_BLANK.search(data, j)
+            j = found.start() if found else len(data)
+        b = np.frombuffer(data, np.uint8, min(j, len(data)) - i, i)
+        word = ~BLANK[b]
+        edge = np.flatnonzero(np.diff(word, prepend=False, append=False))
+        first, size = edge[::2], edge[1::2] - edge[::2]
+        if len(first):
+            off = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            value = BYTE[b[word]] * POWER[off & 65_535]
+            if size.max() > 65_536:
+                value *= (2 * (off >> 16) + 1).astype(np.uint64)
+            hashes.append(mix(np.add.reduceat(value, np.cumsum(size) - size) + size.astype(np.uint64)))
+            places.append(first + i)
+        i = j
+    return (np.concatenate(hashes), np.concatenate(places)) if hashes else (np.empty(0, np.uint64), np.empty(0, np.int64))
+
+
+def hashes_by_text(texts: list[str | None], fold: bool = False) -> list[np.ndarray]:
+    """The word hashes of each text; fold: of its form with A-Z in lower case."""
+    coded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    data = b"\n".join(coded)
+    hashes, places = word_hashes(data.lower() if fold else data)  # of bytes, lower() changes A-Z alone
+    ends = np.cumsum([len(c) + 1 for c in coded])
+    at = np.searchsorted(places, ends)
+    return [hashes[a:b] for a, b in zip([0, *at.tolist()], at.tolist(), strict=False)]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -86,9 +117,9 @@ def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
     if m <= 0:
         return np.empty(0, np.uint64)
     mixed, total = mix(words), np.zeros(m, np.uint64)
-    for k in range(n):
-        # odd multipliers, one a position
-        total += mixed[k : k + m] * np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) % 2**64)
+    # a random odd multiplier for each place: no two sums over subsets of them are equal
+    for k, odd in enumerate(np.random.default_rng(n).integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)):
+        total += mixed[k : k + m] * odd
     return mix(total)
 
 

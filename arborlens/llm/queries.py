@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborlens.llm import bpe, chat, langid, licences, mixing, quality, simhash, toxicity
+from arborlens.llm import bpe, chat, langid, licences, mixing, ngram_join, quality, simhash, toxicity
 from arborlens.llm.common import cut, table
 
 #: The tokenizer file; a path that every executor can read.
@@ -34,6 +34,10 @@ def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cut(simhash.sensitivity(table(spark, sf_dir, "documents")))
     within = simhash.count_within(rows, "fp", F.col("doc_id") % 20 == 0, radius=3, extra=2)
@@ -81,6 +85,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_licences": op2_licences,
+    "op3_ngram_join": op3_ngram_join,
     "op4_simhash": op4_simhash,
     "op5_language": op5_language,
     "op6_chat": op6_chat,
@@ -89,9 +94,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
 }
 
+# brute force over all pairs, which is fine on the small tables; words are split and lower-cased as in the operator
+_NGRAM_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w
+), d AS (SELECT s, min(doc_id) AS sid FROM (SELECT doc_id, list_sort(s) AS s FROM s WHERE len(s) > 0) GROUP BY s),
+t AS (SELECT sid, len(s) AS n, unnest(s) AS t FROM d),
+o AS (SELECT a.sid AS a, b.sid AS b, a.n AS na, b.n AS nb, count(*) AS k FROM t a JOIN t b ON a.t = b.t AND a.sid <> b.sid GROUP BY ALL),
+e AS (SELECT a, b FROM o WHERE 100 * k >= 75 * (na + nb - k)),
+r(x, y) AS (SELECT sid, sid FROM d UNION SELECT r.x, e.b FROM r JOIN e ON r.y = e.a),
+c AS (SELECT x AS sid, min(y) AS comp FROM r GROUP BY x)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(c.comp, s.doc_id) AS component_id
+FROM s LEFT JOIN d ON list_sort(s.s) = d.s LEFT JOIN c ON c.sid = d.sid"""
+
 _ESCAPED = "replace(replace(replace(replace(replace(replace({c}, '~', '~0'), '</s>', '~1'), '<s>', '~2'), '[INST]', '~3'), '[/INST]', '~4'), '[SEP]', '~5')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_ngram_join": _NGRAM_SQL,
     "op6_chat": f"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
