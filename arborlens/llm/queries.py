@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborlens.llm import bpe, chat, langid, licences, mixing, ngram_join, quality, simhash, toxicity
+from arborlens.llm import bpe, chat, langid, licences, mixing, ngram_join, pii, quality, simhash, toxicity
 from arborlens.llm.common import cut, table
 
 #: The tokenizer file; a path that every executor can read.
@@ -82,6 +82,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_statistics(docs.select("doc_id", "text"), forest=forest).drop("text")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(pii.spans_text(F.col("base_spans")), 256).alias("base_sha256"), pii.spans_text(F.col("pii_spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_licences": op2_licences,
@@ -92,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe": op7_bpe,
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
+    "op10_pii": op10_pii,
 }
 
 # brute force over all pairs, which is fine on the small tables; words are split and lower-cased as in the operator
