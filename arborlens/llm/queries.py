@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from arborlens.llm import bpe, chat, langid, licences, mixing, ngram_join, pii, quality, simhash, toxicity
 from arborlens.llm.common import cut, table
 
+#: Labelled rows that a classifier is fitted on, at most.
+MAX_LABELLED = 4000
+#: Bytes of training text of each language, at most.
+MAX_LANGUAGE_BYTES = 200_000
 #: The tokenizer file; a path that every executor can read.
 VOCABULARY_VARIABLE, VOCABULARY = "ARBORLENS_VOCABULARY", "word_bpe_49k.json"
 
@@ -26,7 +30,7 @@ def vocabulary() -> str:
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.fit(toxicity.labelled_texts(docs, table(spark, sf_dir, "labels"), "toxic", 4000))
+    model = toxicity.fit(toxicity.labelled_texts(docs, table(spark, sf_dir, "labels"), "toxic", MAX_LABELLED))
     return toxicity.score(docs.select("doc_id", "text"), model).drop("text")
 
 
@@ -57,7 +61,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
-    tables = langid.PpmTables.train(langid.training_texts(docs, ~held_out, 200_000))
+    tables = langid.PpmTables.train(langid.training_texts(docs, ~held_out, MAX_LANGUAGE_BYTES))
     return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), tables).drop("text")
 
 
@@ -78,7 +82,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    forest = quality.fit(docs, table(spark, sf_dir, "labels"))
+    forest = quality.fit(docs, table(spark, sf_dir, "labels"), max_labelled=MAX_LABELLED)
     return quality.with_statistics(docs.select("doc_id", "text"), forest=forest).drop("text")
 
 
