@@ -2,7 +2,7 @@
 
 The tables hold no census, so other columns stand in: order status for a device or status,
 price for diameter, the order before for the census before. Nulls are derived, as the tables
-have none. Ties are broken by columns that make the order total.
+have none; numbers that may be null are doubles in results. Ties are broken by columns that make the order total.
 """
 
 from __future__ import annotations
@@ -63,13 +63,13 @@ def dedupe_two_step(spark, d):
     return records.latest_then_distinct(docs, ["source", "lang", "n_chars"], "text", "doc_id", ["doc_id"]).select("doc_id", "source", "lang", "n_chars")
 
 
-_HOLES = """SELECT l_orderkey, l_shipdate, l_partkey, l_suppkey, l_extendedprice, nullif(l_linenumber, 1) AS a, nullif(l_returnflag, 'N') AS b, nullif(l_linestatus, 'O') AS c, l_quantity, l_discount, l_tax FROM lineitem"""
+_HOLES = """SELECT l_orderkey, l_shipdate, l_partkey, l_suppkey, l_extendedprice, nullif(l_linenumber, 1)::DOUBLE AS a, nullif(l_returnflag, 'N') AS b, nullif(l_linestatus, 'O') AS c, l_quantity, l_discount, l_tax FROM lineitem"""
 
 
 @query(f"""WITH t AS ({_HOLES}) SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice, a, b, c FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY
 (a IS NULL)::INT + (b IS NULL)::INT + (c IS NULL)::INT, l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax) AS r FROM t) WHERE r = 1""")
 def most_complete(spark, d):
-    t = read(spark, d, "lineitem").withColumns({"a": F.nullif("l_linenumber", F.lit(1)), "b": F.nullif("l_returnflag", F.lit("N")), "c": F.nullif("l_linestatus", F.lit("O"))})
+    t = read(spark, d, "lineitem").withColumns({"a": F.nullif("l_linenumber", F.lit(1)).cast("double"), "b": F.nullif("l_returnflag", F.lit("N")), "c": F.nullif("l_linestatus", F.lit("O"))})
     order = [F.col(c).asc() for c in ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax")]
     return records.most_complete(t, "l_orderkey", ["a", "b", "c"], order).select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "a", "b", "c")
 
@@ -108,12 +108,12 @@ def rekey_duplicates(spark, d):
 
 
 @query("""WITH kept AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS fid FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS r FROM orders) WHERE r = 1)
-SELECT k.fid AS id_point, l_partkey, l_linenumber, l_extendedprice FROM lineitem LEFT JOIN kept k ON l_orderkey = k.o_orderkey""")
+SELECT k.fid::DOUBLE AS id_point, l_partkey, l_linenumber, l_extendedprice FROM lineitem LEFT JOIN kept k ON l_orderkey = k.o_orderkey""")
 def relink_children(spark, d):
     kept = latest_per_key(spark, d).select("o_orderkey")
     ids = records.number_rows(kept, [F.col("o_orderkey").asc()], "fid")
     children = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("id_point"), "l_partkey", "l_linenumber", "l_extendedprice")
-    return records.relink(children, "id_point", ids, "o_orderkey", "fid")
+    return records.relink(children, "id_point", ids, "o_orderkey", "fid").withColumn("id_point", F.col("id_point").cast("double"))
 
 
 @query("""WITH c AS (SELECT nullif(c_custkey, 7) AS k, c_name FROM customer), o AS (SELECT DISTINCT CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE o_custkey END AS k FROM orders)
@@ -239,15 +239,15 @@ def recruits_and_growth(spark, d):
     return _census(spark, d).select("fid", F.col("dbh_old").isNull().alias("is_new_record"), (F.col("dbh") - F.col("dbh_old")).alias("growth"))
 
 
-@query("SELECT l_orderkey, nullif(l_linenumber, 3) AS k, l_partkey, l_extendedprice, count(*) OVER (PARTITION BY l_orderkey, nullif(l_linenumber, 3)) > 1 AS duplicate FROM lineitem")
+@query("SELECT l_orderkey, nullif(l_linenumber, 3)::DOUBLE AS k, l_partkey, l_extendedprice, count(*) OVER (PARTITION BY l_orderkey, nullif(l_linenumber, 3)) > 1 AS duplicate FROM lineitem")
 def duplicate_keys(spark, d):
-    t = read(spark, d, "lineitem").select("l_orderkey", F.nullif("l_linenumber", F.lit(3)).alias("k"), "l_partkey", "l_extendedprice")
+    t = read(spark, d, "lineitem").select("l_orderkey", F.nullif("l_linenumber", F.lit(3)).cast("double").alias("k"), "l_partkey", "l_extendedprice")
     return records.mark_duplicates(t, [F.col("l_orderkey"), F.col("k")])
 
 
-@query("SELECT l_orderkey, nullif(l_linenumber, 3) AS k, l_partkey, l_extendedprice, count(*) OVER (PARTITION BY l_orderkey, nullif(l_linenumber, 3)) > 1 AND nullif(l_linenumber, 3) IS NOT NULL AS duplicate FROM lineitem")
+@query("SELECT l_orderkey, nullif(l_linenumber, 3)::DOUBLE AS k, l_partkey, l_extendedprice, count(*) OVER (PARTITION BY l_orderkey, nullif(l_linenumber, 3)) > 1 AND nullif(l_linenumber, 3) IS NOT NULL AS duplicate FROM lineitem")
 def duplicate_excl_null(spark, d):
-    t = read(spark, d, "lineitem").select("l_orderkey", F.nullif("l_linenumber", F.lit(3)).alias("k"), "l_partkey", "l_extendedprice")
+    t = read(spark, d, "lineitem").select("l_orderkey", F.nullif("l_linenumber", F.lit(3)).cast("double").alias("k"), "l_partkey", "l_extendedprice")
     return records.mark_duplicates(t, [F.col("l_orderkey"), F.col("k")], only=F.col("k").isNotNull())
 
 
@@ -262,15 +262,15 @@ def six_digit_id(spark, d):
     return read(spark, d, "orders").select("o_orderkey", (~six_digits(F.col("o_orderkey") * 97)).alias("wrong"))
 
 
-@query("SELECT p_partkey, nullif(p_size, 7) AS tag, NOT coalesce((nullif(p_size, 7) BETWEEN 1 AND 10 OR nullif(p_size, 7) BETWEEN 20 AND 30), FALSE) AS wrong, nullif(p_size, 7) IS NULL AND p_brand = 'Brand#1' AS missing FROM part")
+@query("SELECT p_partkey, nullif(p_size, 7)::DOUBLE AS tag, NOT coalesce((nullif(p_size, 7) BETWEEN 1 AND 10 OR nullif(p_size, 7) BETWEEN 20 AND 30), FALSE) AS wrong, nullif(p_size, 7) IS NULL AND p_brand = 'Brand#1' AS missing FROM part")
 def tag_range_and_missing(spark, d):
-    p = read(spark, d, "part").select("p_partkey", "p_brand", F.nullif("p_size", F.lit(7)).alias("tag"))
+    p = read(spark, d, "part").select("p_partkey", "p_brand", F.nullif("p_size", F.lit(7)).cast("double").alias("tag"))
     return p.select("p_partkey", "tag", (~between_any(F.col("tag"), ((1, 10), (20, 30)))).alias("wrong"), (F.col("tag").isNull() & (F.col("p_brand") == "Brand#1")).alias("missing"))
 
 
-@query("SELECT p_partkey, nullif(p_size, 7) AS tag, count(*) OVER (PARTITION BY p_brand, nullif(p_size, 7)) > 1 AND nullif(p_size, 7) IS NOT NULL AS duplicate FROM part")
+@query("SELECT p_partkey, nullif(p_size, 7)::DOUBLE AS tag, count(*) OVER (PARTITION BY p_brand, nullif(p_size, 7)) > 1 AND nullif(p_size, 7) IS NOT NULL AS duplicate FROM part")
 def tag_duplicates(spark, d):
-    p = read(spark, d, "part").select("p_partkey", "p_brand", F.nullif("p_size", F.lit(7)).alias("tag"))
+    p = read(spark, d, "part").select("p_partkey", "p_brand", F.nullif("p_size", F.lit(7)).cast("double").alias("tag"))
     return records.mark_duplicates(p, [F.col("p_brand"), F.col("tag")], only=F.col("tag").isNotNull()).select("p_partkey", "tag", "duplicate")
 
 
@@ -353,9 +353,9 @@ def json_path(spark, d):
     return read(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
 
 
-@query("SELECT event_id, ts::DATE AS day, weekofyear(ts)::INT AS week, strftime(ts, '%Y-%m-%d %H:%M') AS stamp FROM events")
+@query("SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, weekofyear(ts)::INT AS week, strftime(ts, '%Y-%m-%d %H:%M') AS stamp FROM events")
 def dates(spark, d):
-    return read(spark, d, "events").select("event_id", F.to_date("ts").alias("day"), F.weekofyear("ts").alias("week"), F.date_format("ts", "yyyy-MM-dd HH:mm").alias("stamp"))
+    return read(spark, d, "events").select("event_id", F.to_date("ts").cast("string").alias("day"), F.weekofyear("ts").alias("week"), F.date_format("ts", "yyyy-MM-dd HH:mm").alias("stamp"))
 
 
 @query("SELECT page_id, CASE WHEN ends_with(b, 'l') THEN substr(b, 1, length(b) - 1) ELSE b END AS name FROM (SELECT page_id, list_last(string_split(url, '/')) AS b FROM pages)")
@@ -500,19 +500,19 @@ def split_cloud(spark, d):
 
 
 @query(f"""{_CLOUD}, l AS (SELECT floor(x / 0.2)::BIGINT AS i, floor(y / 0.2)::BIGINT AS j, floor(z / 0.2)::BIGINT AS k, arg_min(segment_id, seq) AS s FROM p WHERE seq % 4 = 0 GROUP BY 1, 2, 3)
-SELECT p.seq, l.s AS segment_id FROM p LEFT JOIN l ON floor(x / 0.2)::BIGINT = i AND floor(y / 0.2)::BIGINT = j AND floor(z / 0.2)::BIGINT = k""")
+SELECT p.seq, l.s::DOUBLE AS segment_id FROM p LEFT JOIN l ON floor(x / 0.2)::BIGINT = i AND floor(y / 0.2)::BIGINT = j AND floor(z / 0.2)::BIGINT = k""")
 def restore_labels(spark, d):
     p = _cloud(spark, d)
-    return points.restore(points.decimate(p, 4), p, 0.2, ["segment_id"]).select("seq", "segment_id")
+    return points.restore(points.decimate(p, 4), p, 0.2, ["segment_id"]).select("seq", F.col("segment_id").cast("double").alias("segment_id"))
 
 
 @query("""WITH a AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'), b AS (SELECT user_id, ts, event_id AS before FROM events WHERE event_type <> 'purchase')
-SELECT a.event_id, a.user_id, b.before FROM a ASOF LEFT JOIN b ON a.user_id = b.user_id AND a.ts >= b.ts""")
+SELECT a.event_id, a.user_id, b.before::DOUBLE AS before FROM a ASOF LEFT JOIN b ON a.user_id = b.user_id AND a.ts >= b.ts""")
 def traj_asof(spark, d):
     e = read(spark, d, "events")
     a = e.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
     b = e.where("event_type <> 'purchase'").select("user_id", F.col("ts").alias("t"), F.col("event_id").alias("before"))
-    return points.as_of(a, b, "ts", "t", ["before"], ["user_id"]).select("event_id", "user_id", "before")
+    return points.as_of(a, b, "ts", "t", ["before"], ["user_id"]).select("event_id", "user_id", F.col("before").cast("double").alias("before"))
 
 
 @query()
