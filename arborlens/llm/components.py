@@ -13,31 +13,36 @@ from pyspark.sql import functions as F
 from arborlens.llm.common import cut
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """edges: (u, v) with v < u. Large: each node hands the least of its neighbours and itself to its larger neighbours; small: to its smaller ones and itself."""
-    if large:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        moved = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        joined = edges.join(least, "u")
-        moved = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Of edges (u, v), v < u: each node hands the least of its neighbours and itself to its larger neighbours. May repeat edges."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    # an edge down to u is one of its larger neighbours
+    return edges.select(F.col("v").alias("u"), F.col("u").alias("v")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Each node hands the least of its smaller neighbours to the others and itself."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     return moved.where(F.col("u") != F.col("v")).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node has one edge down, or only edges up."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    return ends.groupBy("x").agg(F.sum("down").alias("d"), F.max("up").alias("p")).where("d > 1 or (d = 1 and p = 1)").isEmpty()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of an edge; the component is its least node. Self-loops and null ends are left out."""
     pairs = edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v"))).distinct()
     pairs = cut(pairs)
-    state = None
     for _ in range(most_rounds):
-        pairs = cut(_star(_star(pairs, True), False))
-        now = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
+        if _are_stars(pairs):
             break
-        state = now
+        pairs = cut(_small_star(_large_star(pairs)))
     else:
         raise RuntimeError(f"components not found in {most_rounds} rounds")
-    # at the end every edge leads from a node to the least node of its component
+    # every edge now leads from a node to the least node of its component
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
