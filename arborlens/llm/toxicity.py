@@ -46,12 +46,12 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds - s, -50, 50)))
 
 
-def severity_grades(rows: list[tuple[str, int]], log_odds: dict[str, float]) -> np.ndarray:
-    """Ordered grades from a yes/no label: 0 for no; of the rest, 2 where the share of words that tell the label is above its median, else 1."""
-    share = np.array([sum(t in log_odds for t in ts) / max(1, len(ts)) for ts in (terms(x) for x, _ in rows)])
+def severity_grades(rows: list[tuple[str, int]], telling: dict[str, float]) -> np.ndarray:
+    """Ordered grades from a yes/no label: 0 for no; of the rest, 2 where the text has more different telling terms than the median, else 1."""
+    count = np.array([len(telling.keys() & set(terms(x))) for x, _ in rows])
     toxic = np.array([y > 0 for _, y in rows], bool)
-    middle = np.median(share[toxic]) if toxic.any() else 0
-    return np.where(toxic, np.where(share > middle, 2, 1), 0)
+    middle = np.median(count[toxic]) if toxic.any() else 0
+    return np.where(toxic, np.where(count > middle, 2, 1), 0)
 
 
 def telling_terms(rows: list[tuple[str, int]], max_terms: int, least_g2: float = 30.0) -> dict[str, float]:
@@ -74,8 +74,8 @@ def telling_terms(rows: list[tuple[str, int]], max_terms: int, least_g2: float =
     return {t: w for _, t, w in sorted(found)[:max_terms]}
 
 
-def fit(rows: list[tuple[str, int]], max_terms: int = 4096, l2: float = 0.02, steps: int = 600) -> OrdinalModel:
-    """Maximum likelihood with a ridge penalty, by gradient ascent with per-weight step sizes (AdaGrad).
+def fit(rows: list[tuple[str, int]], max_terms: int = 4096, l2: float = 0.02, steps: int = 1500) -> OrdinalModel:
+    """Maximum likelihood with a ridge penalty, by gradient ascent with running means of gradients and of their squares (Adam).
 
     rows: text, and a label over 0 for toxic. Grades: see severity_grades.
     """
@@ -88,9 +88,9 @@ def fit(rows: list[tuple[str, int]], max_terms: int = 4096, l2: float = 0.02, st
     at = [(r, index[t]) for r, (x, _) in enumerate(rows) for t in set(terms(x)) if t in index]
     row, col = (np.array(v) for v in zip(*at, strict=True))
     w, theta = np.zeros(len(tell)), np.linspace(1, 1 + k - 1, k)
-    gw2, gt2, n = np.full(len(w), 1e-8), np.full(k, 1e-8), len(rows)
+    n, both = len(rows), np.zeros((2, len(w) + k))
     sig = lambda v: 1 / (1 + np.exp(-np.clip(v, -50, 50)))
-    for _ in range(steps):
+    for step in range(1, steps + 1):
         s = np.bincount(row, w[col], n)
         c = np.concatenate([np.zeros((n, 1)), sig(theta[None, :] - s[:, None]), np.ones((n, 1))], axis=1)
         p = np.maximum(c[np.arange(n), grades + 1] - c[np.arange(n), grades], 1e-12)
@@ -98,9 +98,11 @@ def fit(rows: list[tuple[str, int]], max_terms: int = 4096, l2: float = 0.02, st
         up, low = d[np.arange(n), grades + 1] / p, d[np.arange(n), grades] / p
         gw = np.bincount(col, (low - up)[row], len(w)) - l2 * w
         gt = np.array([up[grades == j].sum() - low[grades == j + 1].sum() for j in range(k)])
-        gw2, gt2 = gw2 + gw**2, gt2 + gt**2
-        w += 0.5 * gw / np.sqrt(gw2)
-        theta = np.maximum.accumulate(theta + 0.5 * gt / np.sqrt(gt2) + np.arange(k) * 1e-9)
+        g = np.concatenate([gw, gt]) / n
+        both = np.array([0.9 * both[0] + 0.1 * g, 0.999 * both[1] + 0.001 * g**2])
+        move = 0.05 * both[0] / (1 - 0.9**step) / (np.sqrt(both[1] / (1 - 0.999**step)) + 1e-10)
+        w += move[: len(w)]
+        theta = np.maximum.accumulate(theta + move[len(w) :] + np.arange(k) * 1e-9)
     return OrdinalModel({t: float(w[i]) for t, i in index.items()}, theta)
 
 
