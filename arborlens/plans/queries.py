@@ -333,13 +333,13 @@ def crew_colours(spark, d):
     return read(spark, d, "events").select("event_id", reports.crew_colour(crew, F.when(F.col("event_id") % 5 != 0, F.col("value"))).alias("colour"))
 
 
-@query("""WITH e AS (SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN event_type END AS crew FROM events WHERE user_id % 9 < 5),
+@query("""WITH e AS (SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN event_type END AS crew FROM events),
 d AS (SELECT ts::DATE AS day, arg_min(crew, event_id) AS c FROM e WHERE crew IS NOT NULL GROUP BY 1),
 f AS (SELECT e.*, coalesce(e.crew, d.c) AS c1 FROM e LEFT JOIN d ON d.day = e.ts::DATE),
 w AS (SELECT weekofyear(ts) AS wk, arg_min(c1, event_id) AS c FROM f WHERE c1 IS NOT NULL GROUP BY 1)
 SELECT event_id, ts AS date, coalesce(c1, w.c, 'unknown_mapper') AS crew FROM f LEFT JOIN w ON w.wk = weekofyear(ts)""")
 def author_inference(spark, d):
-    e = read(spark, d, "events").where(F.col("user_id") % 9 < 5).select("event_id", F.col("ts").alias("date"), F.when(F.col("event_id") % 3 == 0, F.col("event_type")).alias("crew"))
+    e = read(spark, d, "events").select("event_id", F.col("ts").alias("date"), F.when(F.col("event_id") % 3 == 0, F.col("event_type")).alias("crew"))
     return authors.infer_authors(e, seq="event_id", normalise=False)
 
 
