@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # Tree status codes.
 ALIVE = ("AI", "AB", "DAB", "AL", "ALM", "AU", "AC")
@@ -23,7 +23,7 @@ class Census:
     duplicate_distance: float = 0.01
     largest_growth: float = 150
     boundary_buffer: float = 5.0
+    least_snag_height: float = 1.3
     rekey_base: int = 5000
     tag_ranges: tuple[tuple[int, int], ...] = ((1, 500), (501, 1000), (1001, 1500))
     profile: tuple[str, ...] = ("core",)
-    verified_crews: dict[str, str] = field(default_factory=dict)

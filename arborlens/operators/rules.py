@@ -31,6 +31,11 @@ def _copies(*keys: Column) -> Column:
     return F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
 
 
+def _absent(name: str) -> Column:
+    """Null or zero; decay is text, so zero is compared as a number where it is one."""
+    return C(name).isNull() | F.coalesce(C(name).try_cast("double") == 0, F.lit(False))
+
+
 def _tag_key() -> Column:
     return F.concat_ws("-", F.coalesce(C("tag_prefix").cast("string"), F.lit("NA")), F.coalesce(C("tag").cast("string"), F.lit("NA")))
 
@@ -60,12 +65,19 @@ RULES = [
     Rule("605_Chyba_TAG_STAV_neni_opozdene_zameren_ma_stare_DBH", ("tag_status", "dbh_old"), lambda c: C("dbh_old").isNotNull() & (C("dbh_old") != 0) & isin_two_valued(C("tag_status"), (700, 800)), group="tags"),
     Rule("606_Chyba_TAG_mimo_rozsah_povolených_hodnot", ("tag_known",), lambda c: ~C("tag_known"), group="tags"),
     Rule("607_Chyba_duplicitni_TAG", ("tag_prefix", "tag", "stem_id"), lambda c: _copies(C("tag_prefix"), C("tag"), C("stem_id")) & (F.concat_ws("-", _tag_key(), F.coalesce(C("stem_id").cast("string"), F.lit("NA"))) != "13-NA-1"), group="tags"),
-    Rule("606_TAG_neodpovida_TAG_COMPLETE", ("tag", "tag_complete"), lambda c: ~C("tag_complete").endswith(C("tag").cast("string")), group="tag_suffix"),
+    Rule("606_Chyba_TAG_CISLO_se_lisi_od_TAG_KOMPLET_over_v_lese", ("tag", "tag_complete"), lambda c: ~C("tag_complete").endswith(C("tag").cast("string")), group="tag_suffix"),
     # off by default
     Rule("001_bod_za_hranici_plochy", ("outside_boundary",), lambda c: C("outside_boundary"), group="boundary"),
-    Rule("201_neznama_drevina", ("species", "species_condition"), lambda c: C("species").isNotNull() & C("species_condition").isNull(), group="species_list"),
-    Rule("202_vzacna_drevina", ("species_condition",), lambda c: C("species_condition") == "WARNING", group="species_list"),
-    Rule("309_JE_jama", ("status",), lambda c: C("status") == "JE", group="stumps"),
+    Rule("201_chybna_drevina_nebo_prvni_vyskyt", ("species", "species_condition"), lambda c: ~isin_two_valued(C("species_condition"), ("OK", "WARNING")), group="species_list"),
+    Rule("202_varovani_malocetna_drevina", ("species_condition",), lambda c: C("species_condition") == "WARNING", group="species_list"),
+    Rule("301_Pahyl_chybi_vyska", ("status", "height"), lambda c: (C("status") == "P") & _absent("height"), group="stumps"),
+    Rule("302_Pahyl_chybi_rozklad", ("status", "decay"), lambda c: (C("status") == "P") & C("decay").isNull(), group="stumps"),
+    Rule("303_Pahyl_chybi_DBH", ("status", "dbh"), lambda c: (C("status") == "P") & C("dbh").isNull(), group="stumps"),
+    Rule("304_Souse_chybi_rozklad", ("status", "decay"), lambda c: (C("status") == "O") & _absent("decay"), group="stumps"),
+    Rule("305_Chybi_vyska_zlomu_nebo_neni_zlom", ("status", "height"), lambda c: (C("status") == "Z") & _absent("height"), group="stumps"),
+    Rule("306_Rozklad_je_navic_mozny_pahyl", ("status", "decay"), lambda c: (C("status") == "EZ") & C("decay").isNotNull(), group="stumps"),
+    Rule("307_PAHYL_vyska_nesplnuje_limit_mozny_PAREZ", ("status", "height"), lambda c: (C("status") == "P") & (C("height") > 0) & (C("height") < c.least_snag_height), group="stumps"),
+    Rule("309_Opravdu_status_JE_potvrd", ("status",), lambda c: C("status") == "JE", group="stumps"),
 ]
 
 
@@ -93,6 +105,12 @@ def clear_verified(df: DataFrame, verified: DataFrame, key: str, codes: str = "e
     return joined.withColumn(codes, F.when(F.col("_hit"), F.array().cast("array<string>")).otherwise(C(codes))).drop("_v", "_hit")
 
 
+def with_species_condition(df: DataFrame, species: DataFrame) -> DataFrame:
+    """df with species_condition from a list of (species, condition)."""
+    listed = species.select(C("species").alias("_s"), C("condition").alias("species_condition")).dropDuplicates(["_s"])
+    return df.join(listed, df["species"] == C("_s"), "left").drop("_s")
+
+
 def with_tag_known(df: DataFrame, table: DataFrame, quadrat: int = 13) -> DataFrame:
     """df with tag_known: prefix and tag are in the table's rows of the quadrat, or are the sentinel 13-NA."""
     known = table.where(C("QuadratID") == quadrat).select(C("QuadratID").cast("string").alias("_q"), C("TagID").alias("_t")).distinct().withColumn("_known", F.lit(True))

@@ -76,5 +76,10 @@ def check(standing: DataFrame, lying: DataFrame, census: Census | None = None, b
     return Result(rendered(standing), rendered(lying), a + b)
 
 
+def edited_on(df: DataFrame, days: list[str], date: str = "date") -> DataFrame:
+    """Rows edited on one of the days (yyyy-MM-dd), for a report of a day's work."""
+    return df.where(F.to_date(date).cast("string").isin(days))
+
+
 def run(standing: DataFrame, lying: DataFrame, **settings: object) -> Result:
     return check(*merge(standing, lying), **settings)

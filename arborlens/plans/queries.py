@@ -301,19 +301,46 @@ def tag_table(spark, d):
     return with_tag_known(p, known).select("p_partkey", (~F.col("tag_known")).alias("wrong"))
 
 
-@query("""SELECT p_partkey, CASE WHEN n IS NULL THEN '201_neznama_drevina' WHEN n = 'WARNING' THEN '202_vzacna_drevina' END AS code FROM part
+@query("""SELECT p_partkey, CASE WHEN n IS NULL THEN '201_chybna_drevina_nebo_prvni_vyskyt' WHEN n = 'WARNING' THEN '202_varovani_malocetna_drevina' END AS code FROM part
 LEFT JOIN (SELECT DISTINCT p_brand AS b, CASE WHEN substr(p_brand, length(p_brand), 1) IN ('1', '2') THEN 'OK' ELSE 'WARNING' END AS n FROM part WHERE substr(p_brand, length(p_brand), 1) IN ('1', '2', '3')) ON b = p_brand""")
 def species_list(spark, d):
-    p = read(spark, d, "part")
-    last = F.substring("p_brand", -1, 1)
-    known = p.where(last.isin("1", "2", "3")).select(F.col("p_brand").alias("species"), F.when(last.isin("1", "2"), "OK").otherwise("WARNING").alias("species_condition")).distinct()
-    from arborlens.operators.rules import RULES
+    from arborlens.operators.rules import with_species_condition
 
-    joined = p.withColumn("species", F.col("p_brand")).join(known, "species", "left")
-    checked, _ = evaluate(joined, Census(profile=("species_list",)), rules=[r for r in RULES if r.group == "species_list"])
+    p = read(spark, d, "part").withColumn("species", F.col("p_brand"))
+    last = F.substring("species", -1, 1)
+    listed = p.where(last.isin("1", "2", "3")).select("species", F.when(last.isin("1", "2"), "OK").otherwise("WARNING").alias("condition"))
+    checked, _ = evaluate(with_species_condition(p, listed), Census(profile=("species_list",)))
     return checked.select("p_partkey", F.get("error_codes", F.lit(0)).alias("code"))
 
 
+_STUMPS = {
+    "301": ("P", "(height IS NULL OR height = 0)", "301_Pahyl_chybi_vyska"),
+    "302": ("P", "decay IS NULL", "302_Pahyl_chybi_rozklad"),
+    "303": ("P", "dbh IS NULL", "303_Pahyl_chybi_DBH"),
+    "304": ("O", "(decay IS NULL OR decay = '0')", "304_Souse_chybi_rozklad"),
+    "305": ("Z", "(height IS NULL OR height = 0)", "305_Chybi_vyska_zlomu_nebo_neni_zlom"),
+    "306": ("EZ", "decay IS NOT NULL", "306_Rozklad_je_navic_mozny_pahyl"),
+    "307": ("P", "height > 0 AND height < 1.3", "307_PAHYL_vyska_nesplnuje_limit_mozny_PAREZ"),
+    "309": ("JE", "TRUE", "309_Opravdu_status_JE_potvrd"),
+}
+
+
+@query(f"""WITH t AS (SELECT o_orderkey AS fid, ['P', 'O', 'Z', 'EZ', 'JE'][(o_orderkey % 5 + 1)::INT] AS status, CASE WHEN o_orderkey % 3 <> 0 THEN (o_custkey % 4 * 0.5)::DOUBLE END AS height,
+CASE WHEN o_orderkey % 4 <> 1 THEN (o_custkey % 3)::VARCHAR END AS decay, CASE WHEN o_orderkey % 6 <> 0 THEN o_totalprice END AS dbh FROM orders)
+SELECT fid, concat_ws(' ', {', '.join(f"CASE WHEN status = '{s}' AND {c} THEN '{code}' END" for s, c, code in _STUMPS.values())}) AS error FROM t""")
+def stump_rules(spark, d):
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    t = read(spark, d, "orders").select(
+        key.alias("fid"),
+        F.get(F.array(*map(F.lit, ("P", "O", "Z", "EZ", "JE"))), (key % 5).cast("int")).alias("status"),
+        F.when(key % 3 != 0, (cust % 4 * 0.5).cast("double")).alias("height"),
+        F.when(key % 4 != 1, (cust % 3).cast("string")).alias("decay"),
+        F.when(key % 6 != 0, F.col("o_totalprice")).alias("dbh"),
+    )
+    checked, _ = evaluate(t, Census(profile=("stumps",)))
+    return checked.select("fid", errors.render(F.col("error_codes")).alias("error"))
+
+
 # --- reports -------------------------------------------------------------------------------
 
 
