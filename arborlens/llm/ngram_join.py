@@ -245,6 +245,58 @@ def _qualifying(docs: DataFrame, groups: DataFrame) -> DataFrame:
     return entries.join(other, "token").where(allowed).select("comp", "blk", "comp2", "blk2").distinct()
 
 
+def _fold(bits: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps (a row each) folded to ``size`` bytes."""
+    return bits if bits.shape[1] == size else np.bitwise_xor.reduce(bits.reshape(len(bits), -1, size), axis=1)
+
+
+def _compare(queries: pa.Table, members: pa.Table) -> pa.Table:
+    """Pairs of a query and a member that sizes and bitmaps allow to link; each side's bitmaps are compared as matrices by size."""
+    classes: dict[int, list[int]] = {}
+    bits = members.column("bits").to_pylist()
+    for i, b in enumerate(bits):
+        classes.setdefault(len(b), []).append(i)
+    n, sid = members.column("n").to_numpy().astype(np.int64), members.column("sid").to_numpy()
+    made = [(np.array(rows), np.frombuffer(b"".join(bits[i] for i in rows), np.uint8).reshape(len(rows), size)) for size, rows in classes.items()]
+    found: list[tuple] = []
+    for q, m, own, comp in zip(*(queries.column(c).to_pylist() for c in ("sid", "n", "bits", "comp")), strict=True):
+        mine = np.frombuffer(own, np.uint8)[None, :]
+        for rows, matrix in made:
+            size = min(matrix.shape[1], mine.shape[1])
+            both = n[rows] + m
+            fits = (4 * np.minimum(n[rows], m) >= 3 * np.maximum(n[rows], m)).nonzero()[0]
+            if len(fits):
+                apart = np.bitwise_count(_fold(matrix[fits], size) ^ _fold(mine, size)).sum(axis=1).astype(np.int64)
+                near = 7 * apart <= both[fits]
+                found += [(q, int(sid[r]), comp, d / t) for r, d, t in zip(rows[fits[near]].tolist(), apart[near].tolist(), both[fits[near]].tolist(), strict=True)]
+    a, b, comp, apart = zip(*found, strict=True) if found else ((), (), (), ())
+    other = members.column("comp")[0].as_py() if len(members) else None
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "comp": pa.array(comp, pa.int64()), "comp2": pa.array([other] * len(a), pa.int64()), "apart": pa.array(apart, pa.float64())})
+
+
+#: Qualifying pairs of one block that a task opens at once; more are dealt over copies of the block.
+PAIRS_AT_ONCE = 2048
+
+
+def _opened(pairs: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Member pairs (a, b, comp, comp2, apart) of qualifying groups that may link.
+
+    Two single sets are compared in a join. A block of several is sent once to each task that
+    opens it, and the members of the other group meet it there: rows are queries and members, not their pairs.
+    """
+    single = pairs.where("blk < 0 and blk2 < 0").select(F.col("comp").alias("a"), F.col("comp2").alias("b"), "comp", "comp2")
+    many = pairs.where("blk >= 0 or blk2 >= 0")
+    pick = lambda yes, no: F.when(F.col("blk2") >= 0, F.col(yes)).otherwise(F.col(no))
+    many = many.select(pick("comp", "comp2").alias("qc"), pick("blk", "blk2").alias("qb"), pick("comp2", "comp").alias("gc"), pick("blk2", "blk").alias("gb"))
+    copies = many.groupBy("gc", "gb").agg(F.ceil(F.count(F.lit(1)) / F.lit(PAIRS_AT_ONCE)).alias("copies"))
+    members = groups.join(sets.select("sid", "bits"), "sid")
+    queries = many.join(copies, ["gc", "gb"]).withColumn("copy", F.pmod(F.xxhash64("qc", "qb"), F.col("copies"))).join(members, (F.col("qc") == F.col("comp")) & (F.col("qb") == F.col("blk")))
+    blocks = copies.join(members, (F.col("gc") == F.col("comp")) & (F.col("gb") == F.col("blk"))).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
+    key, kept = ["gc", "gb", "copy"], ["gc", "gb", "copy", "sid", "n", "bits", "comp"]
+    opened = queries.select(kept).toDF(*kept).groupBy(key).cogroup(blocks.select(kept).toDF(*kept).groupBy(key)).applyInArrow(_compare, "a long, b long, comp long, comp2 long, apart double")
+    return _bounded(single, sets).unionByName(opened)
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per row of docs: doc_id, n_shingles, component_id (the least id reachable over links, itself included)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -266,9 +318,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
 
     # open the groups that qualify
     pairs = cut(_qualifying(docs, groups))
-    member = lambda sid, comp, blk: groups.select(F.col("sid").alias(sid), F.col("comp").alias(comp), F.col("blk").alias(blk), F.col("n").alias(f"m_{sid}"))
-    opened = pairs.join(member("a", "comp", "blk"), ["comp", "blk"]).join(member("b", "comp2", "blk2"), ["comp2", "blk2"]).where("4 * least(m_a, m_b) >= 3 * greatest(m_a, m_b)").select("a", "b", "comp", "comp2")
-    possible = cut(_bounded(opened, sets))
+    possible = cut(_opened(pairs, groups, sets))
     nearest = cut(possible.groupBy("comp", "comp2").agg(F.min(F.struct("apart", "a", "b")).alias("m")).select("m.a", "m.b"))
     of = groups.select("sid", "comp")
     by_comp = lambda links: links.join(of.withColumnsRenamed({"sid": "a", "comp": "ca"}), "a").join(of.withColumnsRenamed({"sid": "b", "comp": "cb"}), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
