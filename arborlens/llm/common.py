@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 from collections.abc import Iterable, Iterator
@@ -34,6 +35,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a partition of intermediate tables that are keys, pairs or edges.
+SMALL_ROWS = 50_000
+
+
+def cut_small(df: DataFrame) -> DataFrame:
+    """cut() for tables of narrow rows, in partitions of some SMALL_ROWS, so that the next shuffle writes no more files than its rows need.
+
+    What led to df is garbage by now; collecting it lets Spark delete its shuffle files during a long run, not only at the end.
+    """
+    out = cut(df)
+    few = out.coalesce(max(1, -(-out.count() // SMALL_ROWS)))
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return few
+
+
 def fresh(taken: Iterable[str], name: str) -> str:
     """A column name that clashes with none of those taken (Spark ignores case)."""
     low = {x.lower() for x in taken}

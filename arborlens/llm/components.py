@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborlens.llm.common import cut
+from arborlens.llm.common import cut_small
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -37,11 +37,11 @@ def _are_stars(edges: DataFrame) -> bool:
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of an edge; the component is its least node. Self-loops and null ends are left out."""
     pairs = edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v"))).distinct()
-    pairs = cut(pairs)
+    pairs = cut_small(pairs)
     for _ in range(most_rounds):
         if _are_stars(pairs):
             break
-        pairs = cut(_small_star(_large_star(pairs)))
+        pairs = cut_small(_small_star(_large_star(pairs)))
     else:
         raise RuntimeError(f"components not found in {most_rounds} rounds")
     # every edge now leads from a node to the least node of its component

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arborlens.llm.common import cut, hashes_by_text, in_chunks, mix, window_hashes
+from arborlens.llm.common import cut, cut_small, hashes_by_text, in_chunks, mix, window_hashes
 from arborlens.llm.components import components
 
 WORDS = 5
@@ -182,7 +182,7 @@ def _lists(sets: list[np.ndarray]) -> pa.ListArray:
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) that link."""
-    ids = cut(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
+    ids = cut_small(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
     tokens = _tokens(docs, ids)
     side = lambda x: tokens.select(F.col("id").alias(x), F.col("tokens").alias(f"t_{x}"))
     both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
@@ -238,7 +238,7 @@ def _qualifying(docs: DataFrame, groups: DataFrame) -> DataFrame:
     matrix = lambda df: df.groupBy("token", "comp", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("shown").alias("shown"))
     entries = one.select("token", "comp", "blk", F.col("n").alias("lo"), F.col("n").alias("hi"), "shown").unionByName(matrix(many))
     w = Window.partitionBy("token")
-    entries = cut(entries.withColumn("least", F.min("comp").over(w)).withColumn("most", F.max("comp").over(w)).where("least <> most").drop("least", "most"))
+    entries = cut_small(entries.withColumn("least", F.min("comp").over(w)).withColumn("most", F.max("comp").over(w)).where("least <> most").drop("least", "most"))
     other = entries.select("token", *[F.col(c).alias(f"{c}2") for c in entries.columns if c != "token"])
     # the smaller of two sets shows the shorter prefix
     allowed = "comp < comp2 and 4 * hi >= 3 * lo2 and 4 * hi2 >= 3 * lo and ((shown and lo <= hi2) or (shown2 and lo2 <= hi))"
@@ -303,30 +303,30 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     sketched = cut(_sketch(rows))
     docs = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     firsts = [F.first(c).alias(c) for c in ("n", *(f"b{k}" for k in range(BANDS)), "bits")]
-    sets = cut(sketched.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("sid"), *firsts))
+    sets = cut_small(sketched.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("sid"), *firsts))
 
     # groups of similar sets
-    near = cut(_bounded(_neighbours(sets), sets))
+    near = cut_small(_bounded(_neighbours(sets), sets))
     ends = near.select(F.col("a").alias("x"), "a", "b", "apart").unionByName(near.select(F.col("b").alias("x"), "a", "b", "apart"))
     best = ends.groupBy("x").agg(F.min(F.struct("apart", "a", "b")).alias("m")).select("m.a", "m.b")
     rest = ends.join(best, ["a", "b"], "left_anti").groupBy("x").agg(F.min(F.struct("apart", "a", "b")).alias("m")).select("m.a", "m.b")
-    linked = components(_verified(docs, cut(best.unionByName(rest).distinct())))
+    linked = components(_verified(docs, cut_small(best.unionByName(rest).distinct())))
     placed = sets.select("sid", "n").join(linked.withColumnRenamed("node", "sid"), "sid", "left")
     sizes = linked.join(sets.select(F.col("sid").alias("node"), "n"), "node").groupBy("component").agg(F.ceil(F.sum("n") / F.lit(BLOCK_TOKENS)).cast("int").alias("blocks"))
     placed = placed.join(sizes, "component", "left")
-    groups = cut(placed.select("sid", "n", F.coalesce("component", "sid").alias("comp"), F.when(F.col("component").isNull(), -1).otherwise(F.pmod(F.xxhash64("sid"), F.col("blocks").cast("long"))).cast("int").alias("blk")))
+    groups = cut_small(placed.select("sid", "n", F.coalesce("component", "sid").alias("comp"), F.when(F.col("component").isNull(), -1).otherwise(F.pmod(F.xxhash64("sid"), F.col("blocks").cast("long"))).cast("int").alias("blk")))
 
     # open the groups that qualify
-    pairs = cut(_qualifying(docs, groups))
-    possible = cut(_opened(pairs, groups, sets))
-    nearest = cut(possible.groupBy("comp", "comp2").agg(F.min(F.struct("apart", "a", "b")).alias("m")).select("m.a", "m.b"))
+    pairs = cut_small(_qualifying(docs, groups))
+    possible = cut_small(_opened(pairs, groups, sets))
+    nearest = cut_small(possible.groupBy("comp", "comp2").agg(F.min(F.struct("apart", "a", "b")).alias("m")).select("m.a", "m.b"))
     of = groups.select("sid", "comp")
     by_comp = lambda links: links.join(of.withColumnsRenamed({"sid": "a", "comp": "ca"}), "a").join(of.withColumnsRenamed({"sid": "b", "comp": "cb"}), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    edges = cut(by_comp(_verified(docs, nearest)))
-    joined = cut(components(edges))
+    edges = cut_small(by_comp(_verified(docs, nearest)))
+    joined = cut_small(components(edges))
     root = lambda c, r: joined.select(F.col("node").alias(c), F.col("component").alias(r))
     left = possible.join(nearest, ["a", "b"], "left_anti").join(root("comp", "r1"), "comp", "left").join(root("comp2", "r2"), "comp2", "left")
-    left = cut(left.where(F.coalesce("r1", "comp") != F.coalesce("r2", "comp2")).select("a", "b"))
+    left = cut_small(left.where(F.coalesce("r1", "comp") != F.coalesce("r2", "comp2")).select("a", "b"))
     if not left.isEmpty():
         joined = components(edges.unionByName(by_comp(_verified(docs, left))))
 
