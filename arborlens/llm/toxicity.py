@@ -1,8 +1,9 @@
 """Toxicity by cumulative-link ordinal regression over sparse text features.
 
 P(grade <= k) = sigmoid(threshold_k - w . x): one weight vector for all the ordered
-thresholds. x holds, for each term of a learnt vocabulary that the text has, 1. The expected
-severity is sum_k P(grade > k), from 0 to the highest grade.
+thresholds. x holds, for each term of a learnt vocabulary that the text has, 1; terms are words
+and beginnings of words, so that unseen forms of a telling stem count. The expected severity is
+sum_k P(grade > k), from 0 to the highest grade.
 
 The model is fitted on a bounded sample of labelled rows (``max_labelled``, those of least
 md5 of the id, so the same rows on every run) and is of bounded size (``max_terms``).
@@ -14,6 +15,7 @@ grades nothing is toxic.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -28,6 +30,8 @@ from pyspark.sql import types as T
 from arborlens.llm.common import fresh, in_chunks
 
 WORD = re.compile(r"[^\W\d_]+").findall
+#: Letters of the beginnings of words that are terms beside the words.
+STEMS = range(3, 9)
 
 
 def terms(text: str | None) -> list[str]:
@@ -35,6 +39,11 @@ def terms(text: str | None) -> list[str]:
     return WORD((text or "").lower())
 
 
+def features(words: set[str]) -> set[str]:
+    """The words, and their beginnings of STEMS letters with a hyphen, which no word has."""
+    return words.union(*({f"{w[:n]}-" for w in words if len(w) >= n} for n in STEMS))
+
+
 @dataclass
 class OrdinalModel:
     weights: dict[str, float]
@@ -42,36 +51,46 @@ class OrdinalModel:
 
     def exceed(self, text: str | None) -> np.ndarray:
         """P(grade > k) for each threshold k."""
-        s = sum(self.weights[t] for t in self.weights.keys() & set(terms(text)))
+        s = sum(self.weights[t] for t in self.weights.keys() & features(set(terms(text))))
         return 1 / (1 + np.exp(np.clip(self.thresholds - s, -50, 50)))
 
 
 def severity_grades(rows: list[tuple[str, int]], telling: dict[str, float]) -> np.ndarray:
-    """Ordered grades from a yes/no label: 0 for no; of the rest, 2 where the text has more different telling terms than the median, else 1."""
-    count = np.array([len(telling.keys() & set(terms(x))) for x, _ in rows])
+    """Ordered grades from a yes/no label: 0 for no; of the rest, 2 where the text has more different words with telling terms than the median, else 1."""
+    count = np.array([sum(not telling.keys().isdisjoint(features({w})) for w in set(terms(x))) if y > 0 else 0 for x, y in rows])
     toxic = np.array([y > 0 for _, y in rows], bool)
     middle = np.median(count[toxic]) if toxic.any() else 0
     return np.where(toxic, np.where(count > middle, 2, 1), 0)
 
 
-def telling_terms(rows: list[tuple[str, int]], max_terms: int, least_g2: float = 30.0) -> dict[str, float]:
-    """Terms that the label depends on by the likelihood-ratio test (G squared of least_g2 or more) and more often with it than without, with their log odds."""
+def telling_terms(rows: list[tuple[str, int]], max_terms: int, false_share: float = 0.05) -> dict[str, float]:
+    """Terms that the label depends on by the likelihood-ratio test and more often with it than without, with their log odds.
+
+    The least G squared is not fixed: of all terms tried, as many are kept as leave a share of
+    false_share of false ones among the kept (Benjamini and Hochberg). A beginning of words that
+    only one word or one longer beginning has is that one.
+    """
     n1 = sum(y > 0 for _, y in rows)
     n0 = len(rows) - n1
     seen: dict[bool, Counter] = {True: Counter(), False: Counter()}
     for x, y in rows:
-        seen[y > 0].update(set(terms(x)))
+        seen[y > 0].update(features(set(terms(x))))
+    every = seen[True].keys() | seen[False].keys()
+    forms = Counter(f for w in every if not w.endswith("-") for f in features({w}) if f != w)
+    same = {f"{s[: n - 1]}-" for s, k in forms.items() if (n := len(s) - 1) - 1 in STEMS and forms[f"{s[: n - 1]}-"] == k}
+    tried = [t for t in every if not t.endswith("-") or forms[t] > 1 and t not in same]
     found = []
-    for t, a in seen[True].items():
-        b = seen[False][t]
+    for t in tried:
+        a, b = seen[True][t], seen[False][t]
         if a * max(n0, 1) <= b * max(n1, 1):
             continue
-        cells, e = np.array([a, b, n1 - a, n0 - b], float), np.array([n1 * (a + b), n0 * (a + b), n1 * (n1 + n0 - a - b), n0 * (n1 + n0 - a - b)], float) / (n1 + n0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            g2 = 2 * np.nansum(np.where(cells > 0, cells * np.log(cells / e), 0))
-        if g2 >= least_g2:
-            found.append((-g2, t, float(np.log((a + 0.5) / (b + 0.5)) - np.log((n1 + 0.5) / (n0 + 0.5)))))
-    return {t: w for _, t, w in sorted(found)[:max_terms]}
+        cells = ((a, n1 * (a + b)), (b, n0 * (a + b)), (n1 - a, n1 * (n1 + n0 - a - b)), (n0 - b, n0 * (n1 + n0 - a - b)))
+        g2 = 2 * sum(c * math.log(c * (n1 + n0) / e) for c, e in cells if c > 0)
+        found.append((-g2, t, float(np.log((a + 0.5) / (b + 0.5)) - np.log((n1 + 0.5) / (n0 + 0.5)))))
+    found.sort()
+    # the chance of a G squared or more, of one degree of freedom
+    kept = [k for k, (g, _, _) in enumerate(found, 1) if math.erfc(math.sqrt(max(-g, 0) / 2)) * len(tried) <= false_share * k]
+    return {t: w for _, t, w in found[: min(max(kept, default=0), max_terms)]}
 
 
 def fit(rows: list[tuple[str, int]], max_terms: int = 4096, l2: float = 0.02, steps: int = 1500) -> OrdinalModel:
@@ -85,7 +104,7 @@ def fit(rows: list[tuple[str, int]], max_terms: int = 4096, l2: float = 0.02, st
     if not tell or k == 0:
         return OrdinalModel({}, np.array([50.0]))
     index = {t: i for i, t in enumerate(tell)}
-    at = [(r, index[t]) for r, (x, _) in enumerate(rows) for t in set(terms(x)) if t in index]
+    at = [(r, index[t]) for r, (x, _) in enumerate(rows) for t in features(set(terms(x))) & index.keys()]
     row, col = (np.array(v) for v in zip(*at, strict=True))
     w, theta = np.zeros(len(tell)), np.linspace(1, 1 + k - 1, k)
     n, both = len(rows), np.zeros((2, len(w) + k))

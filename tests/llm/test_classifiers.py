@@ -40,6 +40,17 @@ def test_toxicity_on_held_out_rows(spark):
     assert both[902] > both[901] == both[900]
 
 
+def test_toxicity_of_a_language_with_few_labels():
+    """Five toxic rows of a second language, each with another form of one stem, and unseen forms of it."""
+    r = random.Random(6)
+    rows = [(t, y) for _, t, y in labelled()]
+    forms = [f"schlimm{x}" for x in ("er", "es", "ste", "en", "em")]
+    rows += [(sentence(r, "bb", 40) + f" {forms[i]}", 1) for i in range(5)] + [(sentence(r, "bb", 40), 0) for _ in range(60)]
+    model = toxicity.fit(rows)
+    assert all(model.exceed(sentence(r, "bb", 40) + f" schlimm{x}")[0] >= 0.5 for x in ("ung", "keit", "ich"))
+    assert all(model.exceed(sentence(r, "bb", 40))[0] < 0.5 for _ in range(50))
+
+
 def test_toxicity_without_labels(spark):
     df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     model = toxicity.fit([])
