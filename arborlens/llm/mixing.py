@@ -3,7 +3,9 @@
 Each source has a target share of the mixture. With ``total`` characters wanted, a source of
 C characters and share w is repeated w * total / C times on average. A document's number of
 copies is a Poisson variable of that mean, drawn by inverting the distribution at a uniform
-number from the md5 of seed and id: the least k whose cumulative probability exceeds it. Each
+number from the md5 of seed and id: the least k whose cumulative probability exceeds it. A mean
+over ``MOST_MEAN`` is split into equal parts of at most that, so that exp(-mean) stays far from 0,
+and the count is the sum of a draw for each part, which is a Poisson variable of the whole mean. Each
 document is exploded by its count, and the copies are ordered by the md5 of seed, id and copy,
 which shuffles them globally: a range sort, so a source that holds a third of the rows is
 spread over all tasks.
@@ -22,6 +24,10 @@ from pyspark.sql import functions as F
 from arborlens.llm.common import fresh, uniform
 
 
+#: The largest mean that is inverted at once; exp(-745) is the last above 0.
+MOST_MEAN = 500.0
+
+
 def poisson_cdf(mean: Column) -> Column:
     """Cumulative probabilities at 0, 1, 2, ... far enough that what is left is below any number drawn."""
     ks = F.sequence(F.lit(1), F.ceil(mean + 12 * F.sqrt(mean) + 24).cast("int"))
@@ -31,7 +37,7 @@ def poisson_cdf(mean: Column) -> Column:
 
 
 def rates(docs: DataFrame, weights: dict[str, float] | None = None, total: float | None = None, source: str = "source", text: str = "text") -> DataFrame:
-    """A row per source: source, n_docs, n_chars, its mean and the cumulative probabilities."""
+    """A row per source: source, n_docs, n_chars, its mean, the equal parts that the mean is split into and the cumulative probabilities of a part."""
     sizes = docs.groupBy(F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.coalesce(F.char_length(text), F.lit(0))).alias("n_chars"))
     if weights is None:
         weighed = sizes.withColumn("w", F.lit(1.0))
@@ -41,19 +47,22 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, total: float
     sums = weighed.agg(F.sum("w").alias("all_w"), (F.lit(float(total)) if total is not None else F.sum("n_chars").cast("double")).alias("want"))
     mean = F.when(F.col("w") <= 0, 0.0).when(F.col("n_chars") == 0, 1.0).otherwise(F.col("w") / F.col("all_w") * F.col("want") / F.col("n_chars"))
     # one row of sums beside a row per source
-    return weighed.join(F.broadcast(sums)).withColumn("mean", mean).withColumn("cdf", poisson_cdf(F.col("mean"))).select("source", "n_docs", "n_chars", "mean", "cdf")
+    parted = weighed.join(F.broadcast(sums)).withColumn("mean", mean).withColumn("parts", F.greatest(F.ceil(F.col("mean") / MOST_MEAN), F.lit(1)).cast("int"))
+    return parted.withColumn("cdf", poisson_cdf(F.col("mean") / F.col("parts"))).select("source", "n_docs", "n_chars", "mean", "parts", "cdf")
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, total: float | None = None, seed: int = 17, doc_id: str = "doc_id", source: str = "source", text: str = "text", keep_keys: bool = False) -> DataFrame:
     """docs, each as often as drawn, in shuffled order. keep_keys: add ``copy`` (from 0) and ``shuffle_key``; else the columns of docs alone."""
     names = docs.columns
-    cdf, copy, key = fresh(names, "cdf"), fresh(names, "copy"), fresh(names, "shuffle_key")
-    means = rates(docs, weights, total, source, text).select(F.col("source").alias("_mix_source"), F.col("cdf").alias(cdf))
-    drawn = uniform(seed, F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")))
+    cdf, parts, copy, key = fresh(names, "cdf"), fresh(names, "parts"), fresh(names, "copy"), fresh(names, "shuffle_key")
+    means = rates(docs, weights, total, source, text).select(F.col("source").alias("_mix_source"), F.col("parts").alias(parts), F.col("cdf").alias(cdf))
+    named = F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit(""))
+    # a number for each part; the first is the one that a mean of one part is inverted at
+    drawn = F.transform(F.sequence(F.lit(0), F.col(parts) - 1), lambda k: F.when(k == 0, uniform(seed, named)).otherwise(uniform(f"{seed}/part", named, k.cast("string"))))
     # the rates are a row per source; Spark broadcasts them if they are small and else splits the skewed side of the join
     joined = docs.join(means, F.col(f"`{source}`").eqNullSafe(F.col("_mix_source"))).drop("_mix_source")
-    count = F.size(F.filter(F.col(cdf), lambda c: c <= drawn))
-    copies = joined.withColumn(copy, F.explode(F.when(count > 0, F.sequence(F.lit(0), count - 1)))).drop(cdf)
-    keyed = copies.withColumn(key, F.md5(F.concat_ws(":", F.lit(f"{seed}/order"), F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")), F.col(copy).cast("string"))))
+    count = F.aggregate(drawn, F.lit(0), lambda n, u: n + F.size(F.filter(F.col(cdf), lambda c: c <= u)))
+    copies = joined.withColumn(copy, F.explode(F.when(count > 0, F.sequence(F.lit(0), count - 1)))).drop(cdf, parts)
+    keyed = copies.withColumn(key, F.md5(F.concat_ws(":", F.lit(f"{seed}/order"), named, F.col(copy).cast("string"))))
     ordered = keyed.orderBy(key)
     return ordered if keep_keys else ordered.drop(copy, key)

@@ -59,3 +59,13 @@ def test_plan_has_no_python(spark):
     _, df = table(spark)
     plan = mixing.mix(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_large_means_are_drawn_too(spark):
+    # exp(-mean) is 0 in double precision from 746 on
+    rows = [(i, "x", "small") for i in range(60)] + [(60, "y" * 240_000, "big")]
+    got = Counter(r.doc_id for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect())
+    counts = [got[i] for i in range(60)]
+    mean = 240_060 / 2 / 60
+    assert abs(sum(counts) / 60 - mean) < 5 * math.sqrt(mean / 60)
+    assert 0.4 * mean < sum((c - mean) ** 2 for c in counts) / 60 < 2 * mean
