@@ -10,7 +10,8 @@ and by itself. In each round a pattern's confidence is the mean belief in its in
 towards 0 by one instance, and an unseeded value's belief is the mean confidence of its
 patterns. After some rounds, values believed at ``accept`` or more, through patterns with the
 support of ``least_support`` different seeds, are added with the kind of the seeds of their
-strongest pattern. Patterns and values are aggregated before they are joined, so one that a
+strongest pattern. A number that is a base finding in one place is added with its kind wherever
+else it stands, unless it overlaps a base finding there. Patterns and values are aggregated before they are joined, so one that a
 third of all texts have is a row like others.
 
 Null texts count as empty and have no findings. Rows are independent in the base search;
@@ -97,24 +98,25 @@ def shape(value: Column) -> Column:
 
 
 def instances(found: DataFrame, text: str) -> DataFrame:
-    """A row per number in running text: value, shape, left, right, and the kind of the base finding that it overlaps (seed) or null. found has base spans in ``_base``."""
+    """A row per number in running text: value, shape, left, right, the kind of the base finding that it overlaps (seed) or null, and that of the one that has the same digits and is a number itself (whole) or null. found has base spans in ``_base``."""
     t = F.col(text)
     some = found.where(t.rlike(HAS_NUMBER))
     each = some.select(text, "_base", F.explode(F.filter(matches(t, INSTANCE, "number"), lambda s: F.char_length(digits(s["value"])) >= LEAST_DIGITS)).alias("_s"))
     s = F.col("_s")
     seed = F.filter("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    whole = F.filter(seed, lambda b: (b["kind"] != "email") & (digits(b["value"]) == digits(s["value"])))
     word = lambda c, p: F.lower(F.regexp_extract(c, p, 1))
     left = F.substring(t, F.greatest(s["start"] - 39, F.lit(1)), F.least(s["start"], F.lit(40)))
     return each.select(
-        s["value"].alias("value"), shape(s["value"]).alias("shape"), word(left, r"(\S+)\s*$").alias("left"), word(F.substring(t, s["end"] + 1, F.lit(40)), r"^\s*(\S+)").alias("right"), F.get(seed, F.lit(0))["kind"].alias("seed")
+        s["value"].alias("value"), shape(s["value"]).alias("shape"), word(left, r"(\S+)\s*$").alias("left"), word(F.substring(t, s["end"] + 1, F.lit(40)), r"^\s*(\S+)").alias("right"), F.get(seed, F.lit(0))["kind"].alias("seed"), F.get(whole, F.lit(0))["kind"].alias("whole")
     )
 
 
 def discover(found: DataFrame, text: str, rounds: int = 3, accept: float = 0.6, least_support: int = 5) -> DataFrame:
-    """(value, kind) of numbers that aren't base findings but stand in the patterns of those that are."""
+    """(value, kind) of numbers that are base findings somewhere, and of those that stand in the patterns of base findings."""
     seen = instances(found, text)
     patterns = F.array(F.concat_ws("|", F.lit("L"), "left", "shape"), F.concat_ws("|", F.lit("R"), "shape", "right"), F.concat_ws("|", F.lit("S"), "shape"))
-    graph = cut(seen.select("value", "seed", F.explode(patterns).alias("pattern")).groupBy("value", "pattern").agg(F.max("seed").alias("seed")))
+    graph = cut(seen.select("value", "seed", "whole", F.explode(patterns).alias("pattern")).groupBy("value", "pattern").agg(F.max("seed").alias("seed"), F.max("whole").alias("whole")))
     # kinds of the seeds of each pattern, and how many different ones there are
     support = graph.groupBy("pattern").agg(F.count("seed").alias("support"), F.mode("seed", True).alias("kind"))
     values = graph.groupBy("value").agg(F.max(F.when(F.col("seed").isNotNull(), 1.0).otherwise(0.0)).alias("belief"), F.max("seed").alias("known"))
@@ -123,9 +125,10 @@ def discover(found: DataFrame, text: str, rounds: int = 3, accept: float = 0.6,
         held = graph.join(scored, "pattern").groupBy("value").agg(F.round(F.avg("confidence"), 9).alias("mean"), F.max("seed").alias("known"))
         values = held.select("value", F.when(F.col("known").isNotNull(), 1.0).otherwise(F.col("mean")).alias("belief"), "known")
     values = cut(values)
+    sure = graph.where(F.col("whole").isNotNull()).groupBy("value").agg(F.max("whole").alias("kind"))
     new = values.where(F.col("known").isNull() & (F.col("belief") >= accept)).select("value")
     ranked = graph.join(new, "value").join(support.where(F.col("support") >= least_support), "pattern")
-    return ranked.groupBy("value").agg(F.max(F.struct("support", "kind")).getField("kind").alias("kind")).where(F.col("kind").isNotNull())
+    return ranked.groupBy("value").agg(F.max(F.struct("support", "kind")).getField("kind").alias("kind")).where(F.col("kind").isNotNull()).unionByName(sure)
 
 
 def find(docs: DataFrame, text: str = "text", spans: str = "pii_spans", **settings: object) -> DataFrame:
@@ -144,7 +147,9 @@ def find(docs: DataFrame, text: str = "text", spans: str = "pii_spans", **settin
     key, hit = fresh(names, "_row"), fresh(names, "_hits")
     # only the numbers of texts that have any are looked up, and only these texts meet the finds again; the others never move
     numbered, digest = t.rlike(HAS_NUMBER), F.sha2(t, 256)
-    numbers = docs.where(numbered).select(digest.alias(key), F.explode(F.filter(matches(t, INSTANCE, "number"), lambda s: F.char_length(digits(s["value"])) >= LEAST_DIGITS)).alias("s"))
+    # those that overlap a base finding are found already
+    clear = lambda s: (F.char_length(digits(s["value"])) >= LEAST_DIGITS) & ~F.exists(F.col(base_name), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    numbers = base.where(numbered).select(digest.alias(key), F.explode(F.filter(matches(t, INSTANCE, "number"), clear)).alias("s"))
     hits = numbers.select(key, "s", F.col("s.value").alias("value")).distinct().join(new, "value")
     each = hits.groupBy(key).agg(F.collect_set(F.struct(F.col("kind"), F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("value"))).alias(hit))
     joined = base.where(numbered).withColumn(key, digest).join(each, key, "left")

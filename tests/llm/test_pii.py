@@ -65,6 +65,13 @@ def test_patterns_of_seeds_find_an_unseen_number_and_nothing_else(spark):
     assert all(got[i].pii_spans == got[i].base_spans != [] for i in range(5))
 
 
+def test_a_base_finding_is_found_in_its_bare_form_elsewhere(spark):
+    rows = [(1, "ring +1 (555) 123-4567 now"), (2, "or 1 (555) 123-4567 then"), (3, "x1234567@mail.example.com"), (4, "part 1234567 there")]
+    got = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[2].base_spans == [] and [(s.kind, s.start, s.end) for s in got[2].pii_spans] == [("phone", 3, 19)]
+    assert all(got[i].pii_spans == got[i].base_spans for i in (1, 3, 4))
+
+
 def test_redaction_keeps_everything_else(spark):
     rows = spark.createDataFrame([(1, "mail a@b.cc or +12345678 end"), (2, "clean"), (3, None)], "doc_id long, text string")
     found = pii.find(rows)
