@@ -160,14 +160,14 @@ def find(docs: DataFrame, text: str = "text", spans: str = "pii_spans", **settin
 
 
 def redact(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; of overlapping spans the first, or the longer of two that begin together."""
+    """The text with each span replaced by its kind in brackets; of overlapping spans the first, or the longer of two that begin together, and then what the others reach beyond it."""
     by_place = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus"), s["kind"].alias("kind"))))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
-        clear = s["start"] >= acc["at"]
-        added = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.when(clear, -s["minus"]).otherwise(acc["at"]).alias("at"), F.when(clear, added).otherwise(acc["out"]).alias("out"))
+        beyond = -s["minus"] > acc["at"]
+        added = F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))), F.lit("["), F.upper(s["kind"]), F.lit("]"))
+        return F.struct(F.when(beyond, -s["minus"]).otherwise(acc["at"]).alias("at"), F.when(beyond, added).otherwise(acc["out"]).alias("out"))
 
     whole = F.aggregate(by_place, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
     return F.when(F.size(spans) > 0, whole).otherwise(text)

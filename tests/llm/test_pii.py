@@ -79,6 +79,12 @@ def test_redaction_keeps_everything_else(spark):
     assert got == {1: "mail [EMAIL] or [PHONE] end", 2: "clean", 3: None}
 
 
+def test_redaction_covers_overlapping_spans_whole(spark):
+    rows = spark.createDataFrame([(1, "at 10.0.0.0 4111 1111 1111 1111 end")], "doc_id long, text string")
+    spans = pii.base_spans(F.col("text"))
+    assert rows.select(pii.redact(F.col("text"), spans)).first()[0] == "at [IP][CARD] end"
+
+
 def test_empty_table_and_clashing_names(spark):
     rows = spark.createDataFrame([], "doc_id long, text string, pii_spans int")
     assert pii.find(rows).columns == ["doc_id", "text", "pii_spans", "base_spans", "_pii_spans"]
