@@ -9,7 +9,7 @@ each context becomes a row of code lengths, and a text's exact code length is a
 entries. The language with the shortest code wins; equal lengths go to the first name.
 
 Statistics are gathered by Spark over a bounded training text per language (``max_bytes``,
-whole documents of least md5 of the id). Texts that are null or have no letter are ``und``
+documents of least md5 of the id, of which the last is cut). Texts that are null or have no letter are ``und``
 with score 0, and so is everything when no language can be learnt. Bytes that training never
 showed, or that are beyond the commonest, share one symbol. Very long texts are scored whole, in pieces of bounded memory.
 """
@@ -106,22 +106,29 @@ class PpmTables:
 
 
 def training_texts(docs: DataFrame, keep: object, max_bytes: int) -> dict[str, bytes]:
-    """Of each language whole documents of least md5 of the id, until max_bytes; the rows are chosen by sizes before any text moves.
+    """Of each language the documents of least md5 of the id, until max_bytes, where the last is cut; the rows are chosen by sizes before any text moves.
 
-    The candidates of a language are thinned by the md5 first, at a rate that leaves about three
-    times max_bytes, so that no language's rows meet in one task however many there are.
+    The md5 is a number in [0, 1). Bytes are summed by its powers of two, and of each language
+    the least powers that hold max_bytes are kept, or all: a language never goes, however few
+    documents hold it, and no language's rows meet in one task however many there are.
     """
     rows = docs.select("doc_id", "lang", "text").where(keep & F.col("lang").isNotNull() & F.col("text").isNotNull())
     u = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 13), 16, 10).cast("double") / float(2**52)
-    sizes = rows.select("doc_id", "lang", F.octet_length("text").alias("size"), u.alias("u"))
-    rate = F.lit(3.0 * max_bytes) / F.greatest(F.sum("size"), F.lit(1))
-    rates = {r["lang"]: r["rate"] for r in sizes.groupBy("lang").agg(rate.alias("rate")).collect()}  # a row per language
-    if not rates:
+    power = F.when(u > 0, F.least(F.floor(-F.log2(u)), F.lit(52))).otherwise(52).cast("int")
+    # a row per language and power
+    sizes = rows.groupBy("lang", power.alias("power")).agg(F.sum(F.octet_length("text")).alias("size")).collect()
+    least: dict[str, int] = {}
+    held: dict[str, int] = {}
+    for r in sorted(sizes, key=lambda r: -r["power"]):
+        if held.get(r["lang"], 0) < max_bytes:
+            least[r["lang"]] = r["power"]
+            held[r["lang"]] = held.get(r["lang"], 0) + r["size"]
+    if not least:
         return {}
-    limit = F.create_map(*[F.lit(x) for pair in rates.items() for x in pair])[F.col("lang")]
-    chosen = rows.where(u < limit).select("lang", u.alias("u"), "doc_id", "text")
-    texts: dict[str, list[bytes]] = {x: [] for x in rates}
-    left = dict.fromkeys(rates, max_bytes)
+    limit = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])[F.col("lang")]
+    chosen = rows.where(power >= limit).select("lang", u.alias("u"), "doc_id", F.substring("text", 1, max_bytes).alias("text"))
+    texts: dict[str, list[bytes]] = {x: [] for x in least}
+    left = dict.fromkeys(least, max_bytes)
     for r in chosen.orderBy("u", "doc_id", "text").toLocalIterator():
         if left[r["lang"]] > 0:
             data = r["text"].encode("utf-8", "surrogatepass")[: left[r["lang"]]]

@@ -111,6 +111,17 @@ def test_language_on_held_out_rows(spark):
     assert langid.PpmTables.train({}).predict("abc") == ("und", 0.0)
 
 
+def test_a_language_of_one_long_document_is_learnt(spark):
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    late = [i for i in range(100, 200) if int(hashlib.md5(str(i).encode()).hexdigest()[:13], 16) / 2**52 > 0.5]
+    rows = [(i, "the of and ing", "aa") for i in range(100)] + [(late[0], "der ein ich sch " * 5000, "bb")]
+    got = langid.training_texts(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), 3000)
+    assert got["bb"] == (b"der ein ich sch " * 5000)[:3000] and len(got["aa"]) > 1300
+
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
