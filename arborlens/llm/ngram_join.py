@@ -3,27 +3,27 @@
 A document's set holds the hashes of its distinct 5-word shingles (64 bits; two shingles of one
 hash count as one). Two documents link when their sets' Jaccard similarity is 3/4 or more.
 
-1. Documents of equal sets become one row (``sets``), with min-hashes, and a bitmap of the
-   parity of tokens by hash. The bits in which two bitmaps differ are at most the tokens in
-   which the sets differ, and sets of similarity t differ in at most (1 - t) / (1 + t) of their
-   summed sizes: an exact bound from some bytes.
-2. Similar sets are partitioned into groups: neighbours in the order of each min-hash whose
-   bitmaps are nearest are compared exactly, and the components of those links are groups,
-   cut into blocks of bounded size. A set without such a link is a group of its own.
-3. The token-group matrix holds, for each token, the groups that have it in a member's prefix:
-   the first tokens of a global order, so many that linked sets must share one. Tokens that
-   many sets share come last in that order. Groups (of different components) that share a
-   token and whose sizes allow a link qualify; all others are never opened.
-4. Qualifying groups are opened: member pairs whose sizes and bitmaps allow a link are compared
-   exactly, the nearest pair of two components first, and the others only while these
-   components are not yet joined. So groups of copies never make all their pairs, and every link
-   between different components is found.
+1. Documents of equal sets become one row (``sets``) with a number of its own (``sid``), min-hashes,
+   and a bitmap of the parity of tokens by hash. The bits in which two bitmaps differ are at most
+   the tokens in which the sets differ, and sets of similarity t differ in at most (1 - t) / (1 + t)
+   of their summed sizes: an exact bound from some bytes.
+2. Similar sets are partitioned into groups: of the neighbours in the order of each min-hash,
+   those with the nearest bitmaps are compared exactly, and the components of those links are
+   groups, cut into blocks of bounded size. A set without such a link is a group of its own.
+3. Which queries look at which groups comes from the first tokens of a global order, so many that
+   linked sets must share one. Tokens that many sets share come last in that order, and only a
+   token that one side shows as the smaller set can make a pair.
+4. For each such pair the union of the group's tokens bounds the overlap of a query with any
+   member; only a group whose bound allows a link is opened, and its members are compared
+   exactly. Of a query's and a group's components one link is enough, so groups of copies
+   never make all their pairs, and every link between different components is found.
 
 The order of tokens changes the work, never the result: its list of common tokens is counted on
 one in SAMPLE documents and has at most MOST_COMMON entries.
 
 Null ids take no part in links and have no component. Texts without words have an empty set,
-link with nothing and are their own component. Repeated rows are copies of one document.
+link with nothing and are their own component. Repeated rows are copies of one document, and
+rows of one id with different texts have a set each. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,19 +33,26 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arborlens.llm.common import cut, cut_small, hashes_by_text, in_chunks, mix, window_hashes
 from arborlens.llm.components import components
 
 WORDS = 5
-BANDS = 8
+BANDS = 4
+#: Places apart in the order of a min-hash at which sets are still neighbours.
+GAPS = (1, 2, 3)
 SAMPLE, COMMON, MOST_COMMON = 16, 3, 1 << 18
 #: Tokens in a block of a group of several sets, about.
 BLOCK_TOKENS = 100_000
+#: Tokens of queries that meet a block in one task, about; more are dealt over copies of the block.
+QUERY_TOKENS = 1_000_000
+#: Over how many tasks the groups that hold a token are dealt, and how many of them one task pairs.
+SALTS, ENTRIES_AT_ONCE = 16, 20_000
 MOST_BLOOM_BITS = 1 << 27
 ODD = np.random.default_rng(11).integers(0, 2**63, BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+LINKED = "7 * shared >= 3 * (n_a + n_b)"  # 100 * intersection >= 75 * union
 
 
 def shingle_sets(texts: list[str | None], n: int = WORDS) -> list[np.ndarray]:
@@ -57,11 +64,6 @@ def shingle_sets(texts: list[str | None], n: int = WORDS) -> list[np.ndarray]:
     return found
 
 
-def required(n: np.ndarray | int) -> np.ndarray | int:
-    """Tokens that a set of n must share with any set that it links with."""
-    return (3 * n + 3) // 4
-
-
 def prefix_sizes(n: int) -> tuple[int, int]:
     """How many first tokens a set of n shows to sets of any size, and to sets at least as large."""
     return n - (3 * n + 3) // 4 + 1, n - (6 * n + 6) // 7 + 1
@@ -84,53 +86,97 @@ def differing(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def _sketch(docs: DataFrame) -> DataFrame:
-    schema = f"doc_id long, n int, digest binary, {', '.join(f'b{k} long' for k in range(BANDS))}, bits binary"
+def _lists(sets: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array((np.concatenate(sets) if sets else np.empty(0, np.uint64)).view(np.int64)))
+
+
+def _digests(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
+
+
+def _common_tokens(read: DataFrame) -> np.ndarray:
+    """Hashes of tokens that many documents share, sorted."""
+    few = read.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in in_chunks(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle_sets(texts)).view(np.int64))], names=["t"])
+
+    counted = few.mapInArrow(run, "t long").groupBy("t").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= COMMON)
+    top = counted.orderBy(F.desc("c"), "t").limit(MOST_COMMON).select("t").toArrow()
+    return np.sort(top.column("t").to_numpy().view(np.uint64))
+
+
+def _sketch(rows: DataFrame, held: object) -> DataFrame:
+    """Per row doc_id, set size, digest, min-hashes and bitmap of its set, and its prefix in the order of tokens with how many of it are shown to larger sets."""
+    bands = [f"b{k}" for k in range(BANDS)]
+    schema = f"doc_id long, n int, digest binary, {', '.join(f'{b} long' for b in bands)}, bits binary, prefix array<long>, shown int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = held.value
         for part, texts in in_chunks(batches):
             sets = shingle_sets(texts)
             least = np.array([[(s * o).min() for o in ODD] if len(s) else [0] * BANDS for s in sets], np.uint64).view(np.int64)
-            columns = [part.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), *(pa.array(least[:, k]) for k in range(BANDS)), pa.array([parity_bits(s) if len(s) else b"" for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "digest", *(f"b{k}" for k in range(BANDS)), "bits"])
+            prefixes, shown = [], []
+            for s in sets:
+                p, q = prefix_sizes(len(s)) if len(s) else (0, 0)
+                if len(common) and len(s):
+                    last = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
+                    s = np.concatenate([s[~last], s[last]]) if last.any() else s
+                prefixes.append(s[:p])
+                shown.append(q)
+            columns = [part.column(0), pa.array([len(s) for s in sets], pa.int32()), _digests(sets), *(pa.array(least[:, k]) for k in range(BANDS)), pa.array([parity_bits(s) if len(s) else b"" for s in sets], pa.binary()), _lists(prefixes), pa.array(shown, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "digest", *bands, "bits", "prefix", "shown"])
 
-    return docs.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def _neighbours(sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets that stand side by side in the order of a min-hash that both have."""
-    rows = sets.select("sid", F.posexplode(F.array(*[f"b{k}" for k in range(BANDS)])).alias("band", "key")).withColumn("h", F.xxhash64("sid", "band"))
+    """Pairs (a, b) of sets that stand near each other in the order of a min-hash that both have and that sizes and bitmaps allow to link, with ``apart``: the bits in which they differ over their summed sizes."""
+    rows = sets.select("sid", "n", "bits", F.posexplode(F.array(*[f"b{k}" for k in range(BANDS)])).alias("band", "key")).withColumn("h", F.xxhash64("sid", "band"))
     # a range partition on all three, so that a min-hash of many sets is dealt over tasks; pairs over an edge are found by step 3
     ordered = rows.repartitionByRange("key", "band", "h").sortWithinPartitions("key", "band", "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sid, band, key = (batch.column(i).to_numpy() for i in range(3))
+            sid, n, band, key = (batch.column(c).to_numpy() for c in ("sid", "n", "band", "key"))
+            bits = batch.column("bits")
             found = []
-            for gap in (1, 2):
-                at = np.flatnonzero((key[gap:] == key[:-gap]) & (band[gap:] == band[:-gap])) if len(key) > gap else np.empty(0, np.int64)
-                found.append((sid[at], sid[at + gap]))
+            for gap in GAPS:
+                at = np.flatnonzero((key[gap:] == key[:-gap]) & (band[gap:] == band[:-gap]) & (sid[gap:] != sid[:-gap])) if len(key) > gap else np.empty(0, np.int64)
+                at = at[4 * np.minimum(n[at], n[at + gap]) >= 3 * np.maximum(n[at], n[at + gap])]
+                found.append((at, at + gap))
             a, b = (np.concatenate([f[i] for f in found]) for i in range(2))
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            both = n[a].astype(np.int64) + n[b]
+            d = np.fromiter((differing(bits[i].as_py(), bits[j].as_py()) for i, j in zip(a.tolist(), b.tolist(), strict=True)), np.int64, len(a))
+            few = 7 * d <= both
+            x, y = sid[a[few]], sid[b[few]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(d[few] / both[few])], names=["a", "b", "apart"])
 
-    return ordered.select("sid", "band", "key").mapInArrow(run, "a long, b long").where("a <> b").distinct()
+    return ordered.select("sid", "n", "bits", "band", "key").mapInArrow(run, "a long, b long, apart double")
+
+
+def _nearest(near: DataFrame) -> DataFrame:
+    """Of each set's neighbours (2 * BANDS * len(GAPS) at most) the two nearest: distinct pairs (a, b)."""
+    pair = F.struct("apart", "a", "b")
+    ends = near.select(F.explode(F.array("a", "b")).alias("x"), pair.alias("p"))
+    two = ends.groupBy("x").agg(F.slice(F.array_sort(F.collect_set("p")), 1, 2).alias("p"))
+    return two.select(F.explode("p").alias("p")).select("p.a", "p.b").distinct()
 
 
 def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b, and what else they have) that sizes and bitmaps allow to link, with ``apart``: the bits in which they differ over their summed sizes."""
+    """The pairs (a, b) that sizes and bitmaps allow to link, with their sizes n_a and n_b."""
     side = lambda x: sets.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
     sized = pairs.join(side("a"), "a").join(side("b"), "b").where("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)")
-    kept = pairs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.column("n_a").to_numpy().astype(np.int64) + batch.column("n_b").to_numpy()
             d = np.fromiter(map(differing, batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist()), np.int64, len(n))
-            few = pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(d / n)], names=[*kept, "apart"])
-            yield few.filter(pa.array(7 * d <= n))
+            yield batch.select(["a", "b"]).filter(pa.array(7 * d <= n))
 
-    schema = ", ".join(f"{c} {k}" for c, k in pairs.dtypes) + ", apart double"
-    return sized.mapInArrow(run, schema)
+    return sized.mapInArrow(run, "a long, b long")
 
 
 def _bloom(ids: DataFrame) -> np.ndarray:
@@ -146,9 +192,9 @@ def _bloom(ids: DataFrame) -> np.ndarray:
         at = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at].astype(np.int64))], names=["w", "v"])
 
-    rows = ids.select("id").mapInArrow(run, "w long, v long").groupBy("w").agg(F.bit_or("v").alias("v")).toPandas()
+    rows = ids.select("id").mapInArrow(run, "w long, v long").groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
     bits = np.zeros(size // 32, np.uint32)
-    bits[rows.w.to_numpy(np.int64)] = rows.v.to_numpy(np.int64).astype(np.uint32)
+    bits[rows.column("w").to_numpy()] = rows.column("v").to_numpy().astype(np.uint32)
     return bits
 
 
@@ -157,9 +203,10 @@ def _places(ids: np.ndarray, size: int) -> list[np.ndarray]:
     return [((h >> np.uint64(k * 16)) ^ (h << np.uint64(k))).astype(np.int64) & (size - 1) for k in range(4)]
 
 
-def _tokens(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, tokens) of the ids; only these documents' tokens leave the scan."""
-    held = docs.sparkSession.sparkContext.broadcast(_bloom(ids))
+def _tokens(read: DataFrame, sids: DataFrame, sets: DataFrame) -> DataFrame:
+    """(sid, tokens) of the sids, written; only these documents' tokens leave the scan."""
+    ids = cut_small(sets.select("sid", "digest", "label").join(sids.distinct(), "sid", "left_semi"))
+    held = read.sparkSession.sparkContext.broadcast(_bloom(ids.select(F.col("label").alias("id"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = held.value
@@ -168,169 +215,120 @@ def _tokens(docs: DataFrame, ids: DataFrame) -> DataFrame:
             hit = np.ones(len(doc), bool)
             for p in _places(doc, len(bits) * 32):
                 hit &= (bits[p >> 5] >> (p & 31).astype(np.uint32)) & 1 == 1
-            for part, texts in in_chunks([batch.filter(pa.array(hit))]):
-                sets = shingle_sets(texts)
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists(sets)], names=["id", "tokens"])
-
-    return docs.mapInArrow(run, "id long, tokens array<long>").join(ids, "id", "left_semi")
+            for _, texts in in_chunks([batch.filter(pa.array(hit))]):
+                made = shingle_sets(texts)
+                yield pa.RecordBatch.from_arrays([_digests(made), _lists(made)], names=["digest", "tokens"])
 
-
-def _lists(sets: list[np.ndarray]) -> pa.ListArray:
-    ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array((np.concatenate(sets) if sets else np.empty(0, np.uint64)).view(np.int64)))
+    # one row for each set before the join: an id may be repeated over many rows
+    found = read.mapInArrow(run, "digest binary, tokens array<long>").groupBy("digest").agg(F.first("tokens").alias("tokens"))
+    out = cut(found.join(ids.select("digest", "sid"), "digest").select("sid", "tokens"))
+    held.destroy()
+    return out
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     """The pairs (a, b) that link."""
-    ids = cut_small(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
-    tokens = _tokens(docs, ids)
-    side = lambda x: tokens.select(F.col("id").alias(x), F.col("tokens").alias(f"t_{x}"))
-    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    shared = F.size(F.array_intersect("t_a", "t_b"))
-    # 100 * intersection >= 75 * union
-    return both.where(7 * shared >= 3 * (F.size("t_a") + F.size("t_b"))).select("a", "b")
+    side = lambda x: tokens.select(F.col("sid").alias(x), F.col("tokens").alias(f"t_{x}"), F.size("tokens").alias(f"n_{x}"))
+    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").withColumn("shared", F.size(F.array_intersect("t_a", "t_b")))
+    return both.where(LINKED).select("a", "b")
 
 
-def _common_tokens(docs: DataFrame) -> np.ndarray:
-    """Hashes of tokens that many documents share, sorted."""
-    few = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
+def _grouped(sets: DataFrame, linked: DataFrame) -> DataFrame:
+    """sets with comp, the component that a set is in, and blk, its block of that, or -1 for a set alone."""
+    members = sets.select("sid", "n").join(linked.withColumnRenamed("node", "sid"), "sid")
+    blocks = members.groupBy("component").agg(F.ceil(F.sum("n") / F.lit(BLOCK_TOKENS)).alias("blocks"))
+    placed = members.join(blocks, "component").select("sid", F.col("component").alias("comp"), F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int").alias("blk"))
+    return sets.join(placed, "sid", "left").withColumns({"comp": F.coalesce("comp", "sid"), "blk": F.coalesce("blk", F.lit(-1))})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in in_chunks(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle_sets(texts)).view(np.int64))], names=["t"])
-
-    counted = few.mapInArrow(run, "t long").groupBy("t").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= COMMON)
-    top = counted.orderBy(F.desc("c"), "t").limit(MOST_COMMON).select("t").toPandas()
-    return np.sort(top.t.to_numpy(np.int64).view(np.uint64))
-
-
-def _prefixes(docs: DataFrame) -> DataFrame:
-    """(sid, tokens, shown): the prefix of each document, and how many of it are shown to larger sets."""
-    held = docs.sparkSession.sparkContext.broadcast(_common_tokens(docs))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = held.value
-        for part, texts in in_chunks(batches):
-            prefixes, shown = [], []
-            for s in shingle_sets(texts):
-                if len(s):
-                    p, q = prefix_sizes(len(s))
-                    if len(common):
-                        at = np.minimum(np.searchsorted(common, s), len(common) - 1)
-                        last = common[at] == s
-                        s = np.concatenate([s[~last], s[last]]) if last.any() else s
-                    prefixes.append(s[:p])
-                    shown.append(q)
-                else:
-                    prefixes.append(s)
-                    shown.append(0)
-            yield pa.RecordBatch.from_arrays([part.column(0), _lists(prefixes), pa.array(shown, pa.int32())], names=["sid", "tokens", "shown"])
-
-    return docs.mapInArrow(run, "sid long, tokens array<long>, shown int")
-
-
-def _qualifying(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of groups (comp, blk | comp2, blk2) of different components that may hold a link, from the token-group matrix."""
-    rows = _prefixes(docs).join(groups, "sid").select("n", "comp", "blk", "shown", F.posexplode("tokens").alias("at", "token"))
-    rows = rows.select("token", "comp", "blk", "n", (F.col("at") < F.col("shown")).alias("shown"))
+def _looked_at(groups: DataFrame) -> DataFrame:
+    """Pairs of groups (comp, blk | comp2, blk2) of different components that share a token which linked sets of theirs could share first."""
+    each = groups.select("comp", "blk", "n", "shown", F.posexplode("prefix").alias("at", "token")).select("token", "comp", "blk", "n", (F.col("at") < F.col("shown")).alias("shown"))
     # pre-aggregated where a group has several members, so that a token of many copies is few rows
-    many, one = rows.where("blk >= 0"), rows.where("blk < 0")
-    matrix = lambda df: df.groupBy("token", "comp", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("shown").alias("shown"))
-    entries = one.select("token", "comp", "blk", F.col("n").alias("lo"), F.col("n").alias("hi"), "shown").unionByName(matrix(many))
-    w = Window.partitionBy("token")
-    entries = cut_small(entries.withColumn("least", F.min("comp").over(w)).withColumn("most", F.max("comp").over(w)).where("least <> most").drop("least", "most"))
-    other = entries.select("token", *[F.col(c).alias(f"{c}2") for c in entries.columns if c != "token"])
-    # the smaller of two sets shows the shorter prefix
-    allowed = "comp < comp2 and 4 * hi >= 3 * lo2 and 4 * hi2 >= 3 * lo and ((shown and lo <= hi2) or (shown2 and lo2 <= hi))"
-    return entries.join(other, "token").where(allowed).select("comp", "blk", "comp2", "blk2").distinct()
-
-
-def _fold(bits: np.ndarray, size: int) -> np.ndarray:
-    """Bitmaps (a row each) folded to ``size`` bytes."""
-    return bits if bits.shape[1] == size else np.bitwise_xor.reduce(bits.reshape(len(bits), -1, size), axis=1)
-
-
-def _compare(queries: pa.Table, members: pa.Table) -> pa.Table:
-    """Pairs of a query and a member that sizes and bitmaps allow to link; each side's bitmaps are compared as matrices by size."""
-    classes: dict[int, list[int]] = {}
-    bits = members.column("bits").to_pylist()
-    for i, b in enumerate(bits):
-        classes.setdefault(len(b), []).append(i)
-    n, sid = members.column("n").to_numpy().astype(np.int64), members.column("sid").to_numpy()
-    made = [(np.array(rows), np.frombuffer(b"".join(bits[i] for i in rows), np.uint8).reshape(len(rows), size)) for size, rows in classes.items()]
-    found: list[tuple] = []
-    for q, m, own, comp in zip(*(queries.column(c).to_pylist() for c in ("sid", "n", "bits", "comp")), strict=True):
-        mine = np.frombuffer(own, np.uint8)[None, :]
-        for rows, matrix in made:
-            size = min(matrix.shape[1], mine.shape[1])
-            both = n[rows] + m
-            fits = (4 * np.minimum(n[rows], m) >= 3 * np.maximum(n[rows], m)).nonzero()[0]
-            if len(fits):
-                apart = np.bitwise_count(_fold(matrix[fits], size) ^ _fold(mine, size)).sum(axis=1).astype(np.int64)
-                near = 7 * apart <= both[fits]
-                found += [(q, int(sid[r]), comp, d / t) for r, d, t in zip(rows[fits[near]].tolist(), apart[near].tolist(), both[fits[near]].tolist(), strict=True)]
-    a, b, comp, apart = zip(*found, strict=True) if found else ((), (), (), ())
-    other = members.column("comp")[0].as_py() if len(members) else None
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "comp": pa.array(comp, pa.int64()), "comp2": pa.array([other] * len(a), pa.int64()), "apart": pa.array(apart, pa.float64())})
-
-
-#: Qualifying pairs of one block that a task opens at once; more are dealt over copies of the block.
-PAIRS_AT_ONCE = 2048
-
-
-def _opened(pairs: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """Member pairs (a, b, comp, comp2, apart) of qualifying groups that may link.
-
-    Two single sets are compared in a join. A block of several is sent once to each task that
-    opens it, and the members of the other group meet it there: rows are queries and members, not their pairs.
+    many = each.where("blk >= 0").groupBy("token", "comp", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("shown").alias("shown"))
+    entries = each.where("blk < 0").select("token", "comp", "blk", F.col("n").alias("lo"), F.col("n").alias("hi"), "shown").unionByName(many)
+    # tokens of one component, and those that none shows, make no pairs: counted by partial sums, however many groups hold a token
+    used = entries.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("least"), F.max("comp").alias("most"), F.max("shown").alias("any")).where("any and least <> most")
+    used = cut_small(used.select("token", F.ceil(F.col("c") / ENTRIES_AT_ONCE).alias("parts")))
+    dealt = used.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    spot = F.xxhash64("comp", "blk")
+    kept = cut_small(entries.withColumn("salt", F.pmod(spot, F.lit(SALTS))).join(dealt, ["token", "salt"]).drop("salt"))
+    # those that show the token meet all that hold it, in as many parts as these need
+    smaller = kept.where("shown").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts", "shown")
+    larger = kept.select("token", F.pmod(F.shiftright(spot, 8), F.col("parts")).alias("part"), *[F.col(c).alias(f"{c}2") for c in ("comp", "blk", "lo", "hi")])
+    fits = smaller.join(larger, ["token", "part"]).where("comp <> comp2 and lo <= hi2 and 4 * hi >= 3 * lo2")
+    ends = F.array_sort(F.array(F.struct("comp", "blk"), F.struct(F.col("comp2").alias("comp"), F.col("blk2").alias("blk"))))
+    return fits.select(ends.alias("e")).distinct().select(*[F.col("e")[k][c].alias(f"{c}{x}") for k, x in enumerate(("", "2")) for c in ("comp", "blk")])
+
+
+def _open(queries: pa.Table, block: pa.Table) -> pa.Table:
+    """A link (a, b) of each query's component with the block's where a member links with the query; the block is opened for those queries alone whose overlap with the union of its tokens allows one."""
+    found: set[int] = set()
+    other = block.column("comp")[0].as_py() if len(block) else None
+    if len(block) and len(queries):
+        column = block.column("tokens").combine_chunks()
+        sizes = np.diff(column.offsets.to_numpy())
+        union, place = np.unique(column.flatten().to_numpy(), return_inverse=True)
+        owner, least = np.repeat(np.arange(len(sizes)), sizes), sizes.min()
+        for comp, tokens in zip(queries.column("comp").to_pylist(), queries.column("tokens").combine_chunks(), strict=True):
+            q = tokens.values.to_numpy()
+            if comp in found:
+                continue
+            at = np.minimum(np.searchsorted(union, q), len(union) - 1)
+            at = at[union[at] == q]
+            # no member can share more than the union does
+            if 4 * len(at) < 3 * len(q) or 7 * len(at) < 3 * (len(q) + least):
+                continue
+            mine = np.zeros(len(union), bool)
+            mine[at] = True
+            shared = np.bincount(owner[mine[place]], minlength=len(sizes))
+            if (7 * shared >= 3 * (len(q) + sizes)).any():
+                found.add(comp)
+    return pa.table({"a": pa.array(sorted(found), pa.int64()), "b": pa.array([other] * len(found), pa.int64())})
+
+
+def _links(pairs: DataFrame, groups: DataFrame, read: DataFrame) -> DataFrame:
+    """Links (a, b) between the components of pairs of groups: all between components that have any.
+
+    Two single sets are compared in a join. A block of several meets its queries, the members of
+    the other group, in a task; many queries are dealt over copies of the block.
     """
-    single = pairs.where("blk < 0 and blk2 < 0").select(F.col("comp").alias("a"), F.col("comp2").alias("b"), "comp", "comp2")
-    many = pairs.where("blk >= 0 or blk2 >= 0")
+    single = cut_small(_bounded(pairs.where("blk < 0 and blk2 < 0").select(F.col("comp").alias("a"), F.col("comp2").alias("b")), groups))
     pick = lambda yes, no: F.when(F.col("blk2") >= 0, F.col(yes)).otherwise(F.col(no))
-    many = many.select(pick("comp", "comp2").alias("qc"), pick("blk", "blk2").alias("qb"), pick("comp2", "comp").alias("gc"), pick("blk2", "blk").alias("gb"))
-    copies = many.groupBy("gc", "gb").agg(F.ceil(F.count(F.lit(1)) / F.lit(PAIRS_AT_ONCE)).alias("copies"))
-    members = groups.join(sets.select("sid", "bits"), "sid")
-    queries = many.join(copies, ["gc", "gb"]).withColumn("copy", F.pmod(F.xxhash64("qc", "qb"), F.col("copies"))).join(members, (F.col("qc") == F.col("comp")) & (F.col("qb") == F.col("blk")))
-    blocks = copies.join(members, (F.col("gc") == F.col("comp")) & (F.col("gb") == F.col("blk"))).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
-    key, kept = ["gc", "gb", "copy"], ["gc", "gb", "copy", "sid", "n", "bits", "comp"]
-    opened = queries.select(kept).toDF(*kept).groupBy(key).cogroup(blocks.select(kept).toDF(*kept).groupBy(key)).applyInArrow(_compare, "a long, b long, comp long, comp2 long, apart double")
-    return _bounded(single, sets).unionByName(opened)
+    many = pairs.where("blk >= 0 or blk2 >= 0").select(pick("comp", "comp2").alias("comp"), pick("blk", "blk2").alias("blk"), pick("comp2", "comp").alias("gc"), pick("blk2", "blk").alias("gb"))
+    members = groups.select("comp", "blk", "sid", "n")
+    queries = cut_small(many.join(members, ["comp", "blk"]).select("gc", "gb", "sid", "n", "comp"))
+    copies = queries.groupBy("gc", "gb").agg(F.ceil(F.sum("n") / F.lit(QUERY_TOKENS)).alias("copies"))
+    blocks = cut_small(copies.join(members, (F.col("gc") == F.col("comp")) & (F.col("gb") == F.col("blk"))).select("gc", "gb", "copies", "sid", "comp"))
+    tokens = _tokens(read, single.select(F.explode(F.array("a", "b")).alias("sid")).unionByName(queries.select("sid")).unionByName(blocks.select("sid")), groups)
+    key = ["gc", "gb", "copy"]
+    left = queries.join(copies, ["gc", "gb"]).withColumn("copy", F.pmod(F.xxhash64("sid"), F.col("copies"))).join(tokens, "sid").select(*key, "comp", "tokens")
+    right = blocks.join(tokens, "sid").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).select(*key, "comp", "tokens")
+    opened = left.toDF(*left.columns).groupBy(key).cogroup(right.toDF(*right.columns).groupBy(key)).applyInArrow(_open, "a long, b long")
+    return _verified(single, tokens).unionByName(opened)
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per row of docs: doc_id, n_shingles, component_id (the least id reachable over links, itself included)."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sketched = cut(_sketch(rows))
-    docs = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    firsts = [F.first(c).alias(c) for c in ("n", *(f"b{k}" for k in range(BANDS)), "bits")]
-    sets = cut_small(sketched.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("sid"), *firsts))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    read = rows.where("doc_id is not null and text is not null")
+    held = docs.sparkSession.sparkContext.broadcast(_common_tokens(read))
+    sketched = cut(_sketch(rows, held))
+    held.destroy()
+    firsts = [F.first(c).alias(c) for c in sketched.columns if c not in ("doc_id", "digest")]
+    distinct = sketched.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("label"), *firsts)
+    # numbered while they are written, so the numbers stay
+    sets = cut_small(distinct.withColumn("sid", F.monotonically_increasing_id()))
 
     # groups of similar sets
-    near = cut_small(_bounded(_neighbours(sets), sets))
-    ends = near.select(F.col("a").alias("x"), "a", "b", "apart").unionByName(near.select(F.col("b").alias("x"), "a", "b", "apart"))
-    best = ends.groupBy("x").agg(F.min(F.struct("apart", "a", "b")).alias("m")).select("m.a", "m.b")
-    rest = ends.join(best, ["a", "b"], "left_anti").groupBy("x").agg(F.min(F.struct("apart", "a", "b")).alias("m")).select("m.a", "m.b")
-    linked = components(_verified(docs, cut_small(best.unionByName(rest).distinct())))
-    placed = sets.select("sid", "n").join(linked.withColumnRenamed("node", "sid"), "sid", "left")
-    sizes = linked.join(sets.select(F.col("sid").alias("node"), "n"), "node").groupBy("component").agg(F.ceil(F.sum("n") / F.lit(BLOCK_TOKENS)).cast("int").alias("blocks"))
-    placed = placed.join(sizes, "component", "left")
-    groups = cut_small(placed.select("sid", "n", F.coalesce("component", "sid").alias("comp"), F.when(F.col("component").isNull(), -1).otherwise(F.pmod(F.xxhash64("sid"), F.col("blocks").cast("long"))).cast("int").alias("blk")))
+    near = cut_small(_nearest(_neighbours(sets)))
+    linked = components(_verified(near, _tokens(read, near.select(F.explode(F.array("a", "b")).alias("sid")), sets)))
+    groups = cut_small(_grouped(sets.drop(*[f"b{k}" for k in range(BANDS)]), linked))
 
     # open the groups that qualify
-    pairs = cut_small(_qualifying(docs, groups))
-    possible = cut_small(_opened(pairs, groups, sets))
-    nearest = cut_small(possible.groupBy("comp", "comp2").agg(F.min(F.struct("apart", "a", "b")).alias("m")).select("m.a", "m.b"))
-    of = groups.select("sid", "comp")
-    by_comp = lambda links: links.join(of.withColumnsRenamed({"sid": "a", "comp": "ca"}), "a").join(of.withColumnsRenamed({"sid": "b", "comp": "cb"}), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    edges = cut_small(by_comp(_verified(docs, nearest)))
-    joined = cut_small(components(edges))
-    root = lambda c, r: joined.select(F.col("node").alias(c), F.col("component").alias(r))
-    left = possible.join(nearest, ["a", "b"], "left_anti").join(root("comp", "r1"), "comp", "left").join(root("comp2", "r2"), "comp2", "left")
-    left = cut_small(left.where(F.coalesce("r1", "comp") != F.coalesce("r2", "comp2")).select("a", "b"))
-    if not left.isEmpty():
-        joined = components(edges.unionByName(by_comp(_verified(docs, left))))
-
-    comps = of.join(joined.withColumnsRenamed({"node": "comp"}), "comp", "left").select("sid", F.coalesce("component", "comp").alias("component_id"))
-    named = sets.select("digest", "sid").join(comps, "sid").select("digest", "component_id")
+    joined = components(_links(cut_small(_looked_at(groups)), groups, read))
+    of = groups.select("digest", "label", "comp").join(joined.withColumnsRenamed({"node": "comp"}), "comp", "left").select("digest", "label", F.coalesce("component", "comp").alias("root"))
+    of = cut_small(of)
+    named = of.select("digest", "root").join(of.groupBy("root").agg(F.min("label").alias("component_id")), "root").select("digest", "component_id")
     done = sketched.select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(named, "digest", "left")
     return done.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))

@@ -67,6 +67,31 @@ def test_repeats_null_ids_and_empty_table(spark):
     assert ngram_join.join(df.limit(0)).count() == 0
 
 
+def test_one_id_with_several_texts(spark):
+    rows = [(5, "a b c d e f"), (5, "p q r s t u"), (5, "m n o"), (7, "P q r s t u"), (2, "m n o"), (9, "x y"), (5, "a b c d e f")]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted([(5, 2, 5), (5, 2, 5), (5, 1, 2), (7, 2, 5), (2, 1, 2), (9, 1, 9), (5, 2, 5)])
+
+
+def test_a_passage_that_all_share_makes_no_pairs(spark):
+    passage = " ".join(f"p{k}" for k in range(19))
+    rows = [(i, passage + "".join(f" o{i}x{k}" for k in range(4))) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    held = spark.sparkContext.broadcast(ngram_join._common_tokens(df))
+    groups = ngram_join._sketch(df, held).selectExpr("doc_id as comp", "-1 as blk", "n", "shown", "prefix")
+    assert ngram_join._looked_at(groups).count() == 0
+    assert {r.component_id for r in ngram_join.join(df).collect()} == set(range(200))
+
+
+def test_small_blocks_and_parts_give_the_same(spark, monkeypatch):
+    rows = corpus()
+    for name, value in (("BLOCK_TOKENS", 500), ("QUERY_TOKENS", 400), ("ENTRIES_AT_ONCE", 2), ("BANDS", 1)):
+        monkeypatch.setattr(ngram_join, name, value)
+    monkeypatch.setattr(ngram_join, "ODD", ngram_join.ODD[:1])
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows)
+
+
 def test_bounds_never_exceed_the_truth():
     r = np.random.default_rng(1)
     for _ in range(200):
@@ -79,9 +104,10 @@ def test_bounds_never_exceed_the_truth():
         assert 1 <= q <= p <= n and p == n - -(-3 * n // 4) + 1
 
 
-def test_components_of_a_long_chain_and_a_star(spark):
+@pytest.mark.parametrize("in_a_task", [0, 10_000])
+def test_components_of_a_long_chain_and_a_star(spark, in_a_task):
     edges = [(i, i + 1) for i in range(50)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7), (None, 3)]
-    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), in_a_task=in_a_task).collect()}
     assert got == {i: 0 for i in range(51)} | {100 + k: 100 for k in range(30)}
 
 
