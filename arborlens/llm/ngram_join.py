@@ -45,11 +45,11 @@ BANDS = 4
 GAPS = (1, 2, 3)
 SAMPLE, COMMON, MOST_COMMON = 16, 3, 1 << 18
 #: Tokens in a block of a group of several sets, about.
-BLOCK_TOKENS = 100_000
+BLOCK_TOKENS = 50_000
 #: Tokens of queries that meet a block in one task, about; more are dealt over copies of the block.
-QUERY_TOKENS = 1_000_000
-#: Over how many tasks the groups that hold a token are dealt, and how many of them one task pairs.
-SALTS, ENTRIES_AT_ONCE = 16, 20_000
+QUERY_TOKENS = 200_000
+#: Groups holding one token that a task pairs at once; tokens that are dealt by a broadcast list, at most.
+ENTRIES_AT_ONCE, HOT_TOKENS = 20_000, 1000
 MOST_BLOOM_BITS = 1 << 27
 ODD = np.random.default_rng(11).integers(0, 2**63, BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 LINKED = "7 * shared >= 3 * (n_a + n_b)"  # 100 * intersection >= 75 * union
@@ -203,6 +203,14 @@ def _places(ids: np.ndarray, size: int) -> list[np.ndarray]:
     return [((h >> np.uint64(k * 16)) ^ (h << np.uint64(k))).astype(np.int64) & (size - 1) for k in range(4)]
 
 
+def _holds(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether the filter lets each id through."""
+    hit = np.ones(len(ids), bool)
+    for p in _places(ids, len(bits) * 32):
+        hit &= (bits[p >> 5] >> (p & 31).astype(np.uint32)) & 1 == 1
+    return hit
+
+
 def _tokens(read: DataFrame, sids: DataFrame, sets: DataFrame) -> DataFrame:
     """(sid, tokens) of the sids, written; only these documents' tokens leave the scan."""
     ids = cut_small(sets.select("sid", "digest", "label").join(sids.distinct(), "sid", "left_semi"))
@@ -211,11 +219,7 @@ def _tokens(read: DataFrame, sids: DataFrame, sets: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = held.value
         for batch in batches:
-            doc = batch.column(0).to_numpy()
-            hit = np.ones(len(doc), bool)
-            for p in _places(doc, len(bits) * 32):
-                hit &= (bits[p >> 5] >> (p & 31).astype(np.uint32)) & 1 == 1
-            for _, texts in in_chunks([batch.filter(pa.array(hit))]):
+            for _, texts in in_chunks([batch.filter(pa.array(_holds(bits, batch.column(0).to_numpy())))]):
                 made = shingle_sets(texts)
                 yield pa.RecordBatch.from_arrays([_digests(made), _lists(made)], names=["digest", "tokens"])
 
@@ -241,21 +245,45 @@ def _grouped(sets: DataFrame, linked: DataFrame) -> DataFrame:
     return sets.join(placed, "sid", "left").withColumns({"comp": F.coalesce("comp", "sid"), "blk": F.coalesce("blk", F.lit(-1))})
 
 
+def _entries(groups: DataFrame, held: object | None = None) -> DataFrame:
+    """The rows (token, comp, blk, lo, hi, shown) of prefixes; held: a filter that drops tokens which aren't in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = held.value if held is not None else None
+        for batch in batches:
+            prefix = batch.column("prefix")
+            sizes = np.diff(prefix.offsets.to_numpy())
+            token, row = prefix.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
+            shown = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes) < batch.column("shown").to_numpy()[row]
+            if bits is not None:
+                hit = _holds(bits, token)
+                token, row, shown = token[hit], row[hit], shown[hit]
+            columns = [pa.array(token), *(batch.column(c).take(pa.array(row)) for c in ("comp", "blk", "n", "n")), pa.array(shown)]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "comp", "blk", "lo", "hi", "shown"])
+
+    each = groups.select("comp", "blk", "n", "shown", "prefix").mapInArrow(run, "token long, comp long, blk int, lo int, hi int, shown boolean")
+    # pre-aggregated where a group has several members, so that a token of many copies is few rows
+    many = each.where("blk >= 0").groupBy("token", "comp", "blk").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("shown").alias("shown"))
+    return each.where("blk < 0").unionByName(many)
+
+
 def _looked_at(groups: DataFrame) -> DataFrame:
     """Pairs of groups (comp, blk | comp2, blk2) of different components that share a token which linked sets of theirs could share first."""
-    each = groups.select("comp", "blk", "n", "shown", F.posexplode("prefix").alias("at", "token")).select("token", "comp", "blk", "n", (F.col("at") < F.col("shown")).alias("shown"))
-    # pre-aggregated where a group has several members, so that a token of many copies is few rows
-    many = each.where("blk >= 0").groupBy("token", "comp", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("shown").alias("shown"))
-    entries = each.where("blk < 0").select("token", "comp", "blk", F.col("n").alias("lo"), F.col("n").alias("hi"), "shown").unionByName(many)
     # tokens of one component, and those that none shows, make no pairs: counted by partial sums, however many groups hold a token
-    used = entries.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("least"), F.max("comp").alias("most"), F.max("shown").alias("any")).where("any and least <> most")
-    used = cut_small(used.select("token", F.ceil(F.col("c") / ENTRIES_AT_ONCE).alias("parts")))
-    dealt = used.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    spot = F.xxhash64("comp", "blk")
-    kept = cut_small(entries.withColumn("salt", F.pmod(spot, F.lit(SALTS))).join(dealt, ["token", "salt"]).drop("salt"))
+    flag = F.lit(1).cast("long") + F.shiftleft(F.col("shown").cast("long"), 40)
+    entries = _entries(groups)
+    by_comp = entries.where("blk < 0").select("token", "shown").unionByName(entries.where("blk >= 0").groupBy("token", "comp").agg(F.max("shown").alias("shown")).select("token", "shown"))
+    used = by_comp.groupBy("token").agg(F.sum(flag).alias("s")).select("token", F.expr("s & 1099511627775").alias("c"), (F.shiftright("s", 40) > 0).alias("any")).where("any and c > 1")
+    used = cut_small(used.select("token", "c", F.ceil(F.col("c") / ENTRIES_AT_ONCE).alias("parts")))
+    held = groups.sparkSession.sparkContext.broadcast(_bloom(used.select(F.col("token").alias("id"))))
+    # those of over a thousandth of the entries, so a thousand rows at most
+    hot = F.broadcast(used.where(F.col("c") > max(ENTRIES_AT_ONCE, (used.agg(F.sum("c")).first()[0] or 0) / HOT_TOKENS)).select("token", F.col("parts").alias("hot")))
+    known = _entries(groups, held).join(hot, "token", "left")
+    kept = cut_small(known.where("hot is null").drop("hot").join(used.select("token", "parts"), "token").unionByName(known.where("hot is not null").withColumnRenamed("hot", "parts")))
+    held.destroy()
     # those that show the token meet all that hold it, in as many parts as these need
     smaller = kept.where("shown").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts", "shown")
-    larger = kept.select("token", F.pmod(F.shiftright(spot, 8), F.col("parts")).alias("part"), *[F.col(c).alias(f"{c}2") for c in ("comp", "blk", "lo", "hi")])
+    larger = kept.select("token", F.pmod(F.xxhash64("comp", "blk"), F.col("parts")).alias("part"), *[F.col(c).alias(f"{c}2") for c in ("comp", "blk", "lo", "hi")])
     fits = smaller.join(larger, ["token", "part"]).where("comp <> comp2 and lo <= hi2 and 4 * hi >= 3 * lo2")
     ends = F.array_sort(F.array(F.struct("comp", "blk"), F.struct(F.col("comp2").alias("comp"), F.col("blk2").alias("blk"))))
     return fits.select(ends.alias("e")).distinct().select(*[F.col("e")[k][c].alias(f"{c}{x}") for k, x in enumerate(("", "2")) for c in ("comp", "blk")])
@@ -318,12 +346,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     firsts = [F.first(c).alias(c) for c in sketched.columns if c not in ("doc_id", "digest")]
     distinct = sketched.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("label"), *firsts)
     # numbered while they are written, so the numbers stay
-    sets = cut_small(distinct.withColumn("sid", F.monotonically_increasing_id()))
+    sets = cut(distinct.withColumn("sid", F.monotonically_increasing_id()))
 
     # groups of similar sets
     near = cut_small(_nearest(_neighbours(sets)))
     linked = components(_verified(near, _tokens(read, near.select(F.explode(F.array("a", "b")).alias("sid")), sets)))
-    groups = cut_small(_grouped(sets.drop(*[f"b{k}" for k in range(BANDS)]), linked))
+    groups = cut(_grouped(sets.drop(*[f"b{k}" for k in range(BANDS)]), linked))
 
     # open the groups that qualify
     joined = components(_links(cut_small(_looked_at(groups)), groups, read))
