@@ -32,7 +32,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from there: cuts lineage, survives lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    # what led to df is garbage by now; collecting it lets Spark delete its shuffle files during a long run, not only at the end
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
 
 
 #: Rows of a partition of intermediate tables that are keys, pairs or edges.
@@ -40,15 +44,9 @@ SMALL_ROWS = 50_000
 
 
 def cut_small(df: DataFrame) -> DataFrame:
-    """cut() for tables of narrow rows, in partitions of some SMALL_ROWS, so that the next shuffle writes no more files than its rows need.
-
-    What led to df is garbage by now; collecting it lets Spark delete its shuffle files during a long run, not only at the end.
-    """
+    """cut() for tables of narrow rows, in partitions of some SMALL_ROWS, so that the next shuffle writes no more files than its rows need."""
     out = cut(df)
-    few = out.coalesce(max(1, -(-out.count() // SMALL_ROWS)))
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return few
+    return out.coalesce(max(1, -(-out.count() // SMALL_ROWS)))
 
 
 def fresh(taken: Iterable[str], name: str) -> str:

@@ -1,7 +1,8 @@
 """N-gram Jaccard join by a token-group matrix.
 
 A document's set holds the hashes of its distinct 5-word shingles (64 bits; two shingles of one
-hash count as one). Two documents link when their sets' Jaccard similarity is 3/4 or more.
+hash count as one). Two documents link when their sets' Jaccard similarity is 3/4 or more:
+7 * shared tokens >= 3 * (summed sizes).
 
 1. Documents of equal sets become one row (``sets``) with a number of its own (``sid``), min-hashes,
    and a bitmap of the parity of tokens by hash. The bits in which two bitmaps differ are at most
@@ -28,7 +29,7 @@ rows of one id with different texts have a set each. An empty table gives an emp
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,8 @@ WORDS = 5
 BANDS = 4
 #: Places apart in the order of a min-hash at which sets are still neighbours.
 GAPS = (1, 2, 3)
+#: Sets side by side in that order whose tokens one task holds at a time.
+RUN = 64
 SAMPLE, COMMON, MOST_COMMON = 16, 3, 1 << 18
 #: Tokens in a block of a group of several sets, about.
 BLOCK_TOKENS = 50_000
@@ -52,7 +55,6 @@ QUERY_TOKENS = 200_000
 ENTRIES_AT_ONCE, HOT_TOKENS = 20_000, 1000
 MOST_BLOOM_BITS = 1 << 27
 ODD = np.random.default_rng(11).integers(0, 2**63, BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-LINKED = "7 * shared >= 3 * (n_a + n_b)"  # 100 * intersection >= 75 * union
 
 
 def shingle_sets(texts: list[str | None], n: int = WORDS) -> list[np.ndarray]:
@@ -133,7 +135,10 @@ def _sketch(rows: DataFrame, held: object) -> DataFrame:
 
 
 def _neighbours(sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets that stand near each other in the order of a min-hash that both have and that sizes and bitmaps allow to link, with ``apart``: the bits in which they differ over their summed sizes."""
+    """Pairs (a, b) of sets that stand near each other in the order of a min-hash that both have and that sizes and bitmaps allow to link.
+
+    With ``apart``, the bits in which they differ over their summed sizes, and ``run``, a number of RUN sets side by side that both are of.
+    """
     rows = sets.select("sid", "n", "bits", F.posexplode(F.array(*[f"b{k}" for k in range(BANDS)])).alias("band", "key")).withColumn("h", F.xxhash64("sid", "band"))
     # a range partition on all three, so that a min-hash of many sets is dealt over tasks; pairs over an edge are found by step 3
     ordered = rows.repartitionByRange("key", "band", "h").sortWithinPartitions("key", "band", "h")
@@ -142,27 +147,30 @@ def _neighbours(sets: DataFrame) -> DataFrame:
         for batch in batches:
             sid, n, band, key = (batch.column(c).to_numpy() for c in ("sid", "n", "band", "key"))
             bits = batch.column("bits")
+            places = np.arange(len(key))
+            first = np.maximum.accumulate(np.where(np.append(True, (key[1:] != key[:-1]) | (band[1:] != band[:-1])), places, 0))
+            start = places - (places - first) % RUN
             found = []
             for gap in GAPS:
-                at = np.flatnonzero((key[gap:] == key[:-gap]) & (band[gap:] == band[:-gap]) & (sid[gap:] != sid[:-gap])) if len(key) > gap else np.empty(0, np.int64)
+                at = np.flatnonzero((start[gap:] == start[:-gap]) & (sid[gap:] != sid[:-gap])) if len(key) > gap else np.empty(0, np.int64)
                 at = at[4 * np.minimum(n[at], n[at + gap]) >= 3 * np.maximum(n[at], n[at + gap])]
                 found.append((at, at + gap))
             a, b = (np.concatenate([f[i] for f in found]) for i in range(2))
             both = n[a].astype(np.int64) + n[b]
             d = np.fromiter((differing(bits[i].as_py(), bits[j].as_py()) for i, j in zip(a.tolist(), b.tolist(), strict=True)), np.int64, len(a))
             few = 7 * d <= both
-            x, y = sid[a[few]], sid[b[few]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(d[few] / both[few])], names=["a", "b", "apart"])
+            x, y, at = sid[a[few]], sid[b[few]], start[a[few]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(d[few] / both[few]), pa.array(sid[at] * BANDS + band[at])], names=["a", "b", "apart", "run"])
 
-    return ordered.select("sid", "n", "bits", "band", "key").mapInArrow(run, "a long, b long, apart double")
+    return ordered.select("sid", "n", "bits", "band", "key").mapInArrow(run, "a long, b long, apart double, run long")
 
 
 def _nearest(near: DataFrame) -> DataFrame:
-    """Of each set's neighbours (2 * BANDS * len(GAPS) at most) the two nearest: distinct pairs (a, b)."""
-    pair = F.struct("apart", "a", "b")
-    ends = near.select(F.explode(F.array("a", "b")).alias("x"), pair.alias("p"))
-    two = ends.groupBy("x").agg(F.slice(F.array_sort(F.collect_set("p")), 1, 2).alias("p"))
-    return two.select(F.explode("p").alias("p")).select("p.a", "p.b").distinct()
+    """Of each set's neighbours (2 * BANDS * len(GAPS) at most) the two nearest: distinct pairs (a, b) with a run."""
+    once = near.groupBy("a", "b").agg(F.min("apart").alias("apart"), F.min("run").alias("run"))
+    ends = once.select(F.explode(F.array("a", "b")).alias("x"), F.struct("apart", "a", "b", "run").alias("p"))
+    two = ends.groupBy("x").agg(F.slice(F.array_sort(F.collect_list("p")), 1, 2).alias("p"))
+    return two.select(F.explode("p").alias("p")).select("p.a", "p.b", "p.run").distinct()
 
 
 def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -211,12 +219,16 @@ def _holds(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return hit
 
 
-def _tokens(read: DataFrame, sids: DataFrame, sets: DataFrame) -> DataFrame:
-    """(sid, tokens) of the sids, written; only these documents' tokens leave the scan."""
-    ids = cut_small(sets.select("sid", "digest", "label").join(sids.distinct(), "sid", "left_semi"))
-    held = read.sparkSession.sparkContext.broadcast(_bloom(ids.select(F.col("label").alias("id"))))
+def _sent(read: DataFrame, wanted: DataFrame, sets: DataFrame, keys: list[str], run: Callable, schema: str) -> DataFrame:
+    """run over the wanted rows (sid, keys, what else they have) with the tokens of their sets, in the order of keys, each key in one task; rows without sid have null tokens. The outcome is written.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Only the wanted documents' tokens leave the scan; they move twice, to meet what is wanted of them and to their keys.
+    """
+    rows = cut_small(wanted.join(sets.select("sid", "digest", "label"), "sid", "left"))
+    labels = rows.where("sid is not null").select(F.col("label").alias("id")).distinct()
+    held = read.sparkSession.sparkContext.broadcast(_bloom(labels))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = held.value
         for batch in batches:
             for _, texts in in_chunks([batch.filter(pa.array(_holds(bits, batch.column(0).to_numpy())))]):
@@ -224,17 +236,42 @@ def _tokens(read: DataFrame, sids: DataFrame, sets: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([_digests(made), _lists(made)], names=["digest", "tokens"])
 
     # one row for each set before the join: an id may be repeated over many rows
-    found = read.mapInArrow(run, "digest binary, tokens array<long>").groupBy("digest").agg(F.first("tokens").alias("tokens"))
-    out = cut(found.join(ids.select("digest", "sid"), "digest").select("sid", "tokens"))
+    found = read.mapInArrow(scan, "digest binary, tokens array<long>").groupBy("digest").agg(F.first("tokens").alias("tokens"))
+    met = rows.where("sid is not null").join(found, "digest").drop("digest", "label").unionByName(rows.where("sid is null").drop("digest", "label").withColumn("tokens", F.lit(None).cast("array<long>")))
+    out = cut_small(met.repartition(*keys[:-1]).sortWithinPartitions(*keys).mapInArrow(run, schema))
     held.destroy()
     return out
 
 
-def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link."""
-    side = lambda x: tokens.select(F.col("sid").alias(x), F.col("tokens").alias(f"t_{x}"), F.size("tokens").alias(f"n_{x}"))
-    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").withColumn("shared", F.size(F.array_intersect("t_a", "t_b")))
-    return both.where(LINKED).select("a", "b")
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    """Tokens in both of two sorted sets."""
+    if len(a) > len(b):
+        a, b = b, a
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) that link; of each run first the sets, then the pairs."""
+    run, sets = None, {}
+    for batch in batches:
+        found = []
+        tokens = batch.column("tokens")
+        for i, (at, sid, a, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("run", "sid", "a", "b")), strict=True)):
+            if at != run:
+                run, sets = at, {}
+            if sid is not None:
+                sets[sid] = tokens[i].values.to_numpy().view(np.uint64)
+            elif 7 * _shared(sets[a], sets[b]) >= 3 * (len(sets[a]) + len(sets[b])):
+                found.append((a, b))
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(2)], names=["a", "b"])
+
+
+def _linked_neighbours(near: DataFrame, sets: DataFrame, read: DataFrame) -> DataFrame:
+    """Of the pairs (a, b, run) those that link."""
+    none = F.lit(None).cast("long")
+    ends = near.select("run", F.explode(F.array("a", "b")).alias("sid")).distinct().select("sid", "run", none.alias("a"), none.alias("b"), F.lit(0).alias("role"))
+    wanted = ends.unionByName(near.select(none.alias("sid"), "run", "a", "b", F.lit(1).alias("role")))
+    return _sent(read, wanted, sets, ["run", "role"], _verify, "a long, b long")
 
 
 def _grouped(sets: DataFrame, linked: DataFrame) -> DataFrame:
@@ -289,51 +326,65 @@ def _looked_at(groups: DataFrame) -> DataFrame:
     return fits.select(ends.alias("e")).distinct().select(*[F.col("e")[k][c].alias(f"{c}{x}") for k, x in enumerate(("", "2")) for c in ("comp", "blk")])
 
 
-def _open(queries: pa.Table, block: pa.Table) -> pa.Table:
-    """A link (a, b) of each query's component with the block's where a member links with the query; the block is opened for those queries alone whose overlap with the union of its tokens allows one."""
-    found: set[int] = set()
-    other = block.column("comp")[0].as_py() if len(block) else None
-    if len(block) and len(queries):
-        column = block.column("tokens").combine_chunks()
-        sizes = np.diff(column.offsets.to_numpy())
-        union, place = np.unique(column.flatten().to_numpy(), return_inverse=True)
-        owner, least = np.repeat(np.arange(len(sizes)), sizes), sizes.min()
-        for comp, tokens in zip(queries.column("comp").to_pylist(), queries.column("tokens").combine_chunks(), strict=True):
-            q = tokens.values.to_numpy()
-            if comp in found:
-                continue
-            at = np.minimum(np.searchsorted(union, q), len(union) - 1)
-            at = at[union[at] == q]
-            # no member can share more than the union does
-            if 4 * len(at) < 3 * len(q) or 7 * len(at) < 3 * (len(q) + least):
+class _Block:
+    """The members of a block of a group, and the union of their tokens."""
+
+    def __init__(self, comp: int, members: list[np.ndarray]) -> None:
+        self.comp, self.found = comp, set()
+        self.sizes = np.array([len(m) for m in members])
+        self.union, self.place = np.unique(np.concatenate(members), return_inverse=True)
+        self.owner, self.least = np.repeat(np.arange(len(members)), self.sizes), int(self.sizes.min())
+
+    def links(self, q: np.ndarray) -> bool:
+        """Whether a member links with the query. It is opened only if the overlap of query and union, which no member's exceeds, allows that."""
+        at = np.minimum(np.searchsorted(self.union, q), len(self.union) - 1)
+        at = at[self.union[at] == q]
+        if 4 * len(at) < 3 * len(q) or 7 * len(at) < 3 * (len(q) + self.least):
+            return False
+        mine = np.zeros(len(self.union), bool)
+        mine[at] = True
+        shared = np.bincount(self.owner[mine[self.place]], minlength=len(self.sizes))
+        return bool((7 * shared >= 3 * (len(q) + self.sizes)).any())
+
+
+def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of queries' components with those of the blocks that they meet; of each key first the members, then the queries, of which a task holds one at a time."""
+    key, members, block = None, [], None
+    for batch in batches:
+        found = []
+        tokens = batch.column("tokens")
+        for i, (*at, role, comp) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("gc", "gb", "copy", "role", "comp")), strict=True)):
+            if at != key:
+                key, members, block = at, [], None
+            own = tokens[i].values.to_numpy().view(np.uint64)
+            if role == 0:
+                members.append(own)
                 continue
-            mine = np.zeros(len(union), bool)
-            mine[at] = True
-            shared = np.bincount(owner[mine[place]], minlength=len(sizes))
-            if (7 * shared >= 3 * (len(q) + sizes)).any():
-                found.add(comp)
-    return pa.table({"a": pa.array(sorted(found), pa.int64()), "b": pa.array([other] * len(found), pa.int64())})
+            block = block or _Block(at[0], members)
+            if comp not in block.found and block.links(own):
+                block.found.add(comp)
+                found.append((comp, block.comp))
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(2)], names=["a", "b"])
 
 
 def _links(pairs: DataFrame, groups: DataFrame, read: DataFrame) -> DataFrame:
-    """Links (a, b) between the components of pairs of groups: all between components that have any.
+    """Links (a, b) between the components of pairs of groups: some link of any two components that have one.
 
-    Two single sets are compared in a join. A block of several meets its queries, the members of
-    the other group, in a task; many queries are dealt over copies of the block.
+    Pairs of single sets pass the bound by bitmaps first. A group's block meets its queries, the
+    members of the other group, in a task; many queries are dealt over copies of the block.
     """
-    single = cut_small(_bounded(pairs.where("blk < 0 and blk2 < 0").select(F.col("comp").alias("a"), F.col("comp2").alias("b")), groups))
+    single = _bounded(pairs.where("blk < 0 and blk2 < 0").select(F.col("comp").alias("a"), F.col("comp2").alias("b")), groups)
+    alone = F.lit(-1).alias
     pick = lambda yes, no: F.when(F.col("blk2") >= 0, F.col(yes)).otherwise(F.col(no))
     many = pairs.where("blk >= 0 or blk2 >= 0").select(pick("comp", "comp2").alias("comp"), pick("blk", "blk2").alias("blk"), pick("comp2", "comp").alias("gc"), pick("blk2", "blk").alias("gb"))
+    met = many.unionByName(single.select(F.col("b").alias("comp"), alone("blk"), F.col("a").alias("gc"), alone("gb")))
     members = groups.select("comp", "blk", "sid", "n")
-    queries = cut_small(many.join(members, ["comp", "blk"]).select("gc", "gb", "sid", "n", "comp"))
+    queries = cut_small(met.join(members, ["comp", "blk"]).select("gc", "gb", "sid", "n", "comp"))
     copies = queries.groupBy("gc", "gb").agg(F.ceil(F.sum("n") / F.lit(QUERY_TOKENS)).alias("copies"))
-    blocks = cut_small(copies.join(members, (F.col("gc") == F.col("comp")) & (F.col("gb") == F.col("blk"))).select("gc", "gb", "copies", "sid", "comp"))
-    tokens = _tokens(read, single.select(F.explode(F.array("a", "b")).alias("sid")).unionByName(queries.select("sid")).unionByName(blocks.select("sid")), groups)
-    key = ["gc", "gb", "copy"]
-    left = queries.join(copies, ["gc", "gb"]).withColumn("copy", F.pmod(F.xxhash64("sid"), F.col("copies"))).join(tokens, "sid").select(*key, "comp", "tokens")
-    right = blocks.join(tokens, "sid").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).select(*key, "comp", "tokens")
-    opened = left.toDF(*left.columns).groupBy(key).cogroup(right.toDF(*right.columns).groupBy(key)).applyInArrow(_open, "a long, b long")
-    return _verified(single, tokens).unionByName(opened)
+    asked = queries.join(copies, ["gc", "gb"]).select("sid", "gc", "gb", F.pmod(F.xxhash64("sid"), F.col("copies")).alias("copy"), F.lit(1).alias("role"), "comp")
+    blocks = copies.join(members, (F.col("gc") == F.col("comp")) & (F.col("gb") == F.col("blk"))).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    wanted = asked.unionByName(blocks.select("sid", "gc", "gb", "copy", F.lit(0).alias("role"), F.col("gc").alias("comp")))
+    return _sent(read, wanted, groups, ["gc", "gb", "copy", "role"], _open, "a long, b long")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -349,8 +400,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     sets = cut(distinct.withColumn("sid", F.monotonically_increasing_id()))
 
     # groups of similar sets
-    near = cut_small(_nearest(_neighbours(sets)))
-    linked = components(_verified(near, _tokens(read, near.select(F.explode(F.array("a", "b")).alias("sid")), sets)))
+    linked = components(_linked_neighbours(cut_small(_nearest(_neighbours(sets))), sets, read))
     groups = cut(_grouped(sets.drop(*[f"b{k}" for k in range(BANDS)]), linked))
 
     # open the groups that qualify
