@@ -12,7 +12,7 @@ DEAD = ("DB", "DI", "DU", "SH", "DP", "NN", "NIC", "BLS")
 EXCUSES = {"Species": "203", "Revive": "308", "Shrinking": "313", "Increase": "314"}
 
 # Colours of crews on the map; trees without a diameter are grey.
-CREW_COLOURS = {"Cerveny": "red", "Duhovy": "purple", "Modry": "blue", "Zeleny": "green"}
+CREW_COLOURS = {"Cerveny": "red", "Duhovy": "violet", "Modry": "blue3", "Zeleny": "green"}
 UNMEASURED_COLOUR = "grey80"
 
 

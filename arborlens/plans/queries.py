@@ -354,7 +354,7 @@ def crew_counts(spark, d):
     return reports.with_group_count(read(spark, d, "events").select("event_id", F.nullif("event_type", F.lit("view")).alias("crew")), "crew")
 
 
-@query("""SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'grey80' WHEN user_id % 4 = 0 THEN 'red' WHEN user_id % 4 = 1 THEN 'purple' WHEN user_id % 4 = 2 THEN 'blue' END AS colour FROM events""")
+@query("""SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'grey80' WHEN user_id % 4 = 0 THEN 'red' WHEN user_id % 4 = 1 THEN 'violet' WHEN user_id % 4 = 2 THEN 'blue3' END AS colour FROM events""")
 def crew_colours(spark, d):
     crew = F.when(F.col("user_id") % 4 == 0, "Cerveny").when(F.col("user_id") % 4 == 1, "Duhovy").when(F.col("user_id") % 4 == 2, "Modry")
     return read(spark, d, "events").select("event_id", reports.crew_colour(crew, F.when(F.col("event_id") % 5 != 0, F.col("value"))).alias("colour"))
@@ -362,9 +362,8 @@ def crew_colours(spark, d):
 
 @query("""WITH e AS (SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN event_type END AS crew FROM events),
 d AS (SELECT ts::DATE AS day, arg_min(crew, event_id) AS c FROM e WHERE crew IS NOT NULL GROUP BY 1),
-f AS (SELECT e.*, coalesce(e.crew, d.c) AS c1 FROM e LEFT JOIN d ON d.day = e.ts::DATE),
-w AS (SELECT weekofyear(ts) AS wk, arg_min(c1, event_id) AS c FROM f WHERE c1 IS NOT NULL GROUP BY 1)
-SELECT event_id, ts AS date, coalesce(c1, w.c, 'unknown_mapper') AS crew FROM f LEFT JOIN w ON w.wk = weekofyear(ts)""")
+w AS (SELECT weekofyear(ts) AS wk, arg_min(crew, event_id) AS c FROM e WHERE crew IS NOT NULL GROUP BY 1)
+SELECT event_id, ts AS date, coalesce(e.crew, d.c, w.c, 'unknown_mapper') AS crew FROM e LEFT JOIN d ON d.day = e.ts::DATE LEFT JOIN w ON w.wk = weekofyear(ts)""")
 def author_inference(spark, d):
     e = read(spark, d, "events").select("event_id", F.col("ts").alias("date"), F.when(F.col("event_id") % 3 == 0, F.col("event_type")).alias("crew"))
     return authors.infer_authors(e, seq="event_id", normalise=False)

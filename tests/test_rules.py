@@ -135,3 +135,12 @@ def test_result_layers(spark):
     assert [r.uuid for r in result.lying_layer().collect()] == ["l"]
     row = result.progress().first()
     assert (row.total, row.visited, row.percent, row.error_count) == (2, 2, 100.0, 1)
+
+
+def test_only_signed_records_give_their_week_an_author(spark):
+    from arborlens.operators.authors import infer_authors
+
+    day = lambda n: datetime(2024, 5, n)  # noqa: E731  the 6th is a Monday
+    rows = [(1, None, day(6)), (5, "B", day(7)), (10, "A", day(6)), (20, None, day(8)), (30, None, day(20)), (31, None, None)]
+    got = infer_authors(spark.createDataFrame(rows, "seq long, crew string, date timestamp_ntz")).collect()
+    assert {r.seq: r.crew for r in got} == {1: "A", 5: "B", 10: "A", 20: "B", 30: "unknown_mapper", 31: "unknown_mapper"}
