@@ -1,22 +1,27 @@
 """Personal data by patterns and by bootstrapped contextual extraction, with DataFrame functions only.
 
 Base kinds, each leftmost and without overlaps: e-mail addresses, IP addresses, card numbers
-(Luhn) and phone numbers, with their places in code points.
-
-Bootstrapping: numbers of 7 digits or more in running text are instances. An instance that
-overlaps a base finding is a seed. Each instance has lexical patterns: its shape (digit
-groups and what stands between them) after the word on its left, before the word on its right,
-and by itself. In each round a pattern's confidence is the mean belief in its instances, drawn
-towards 0 by one instance, and an unseeded value's belief is the mean confidence of its
-patterns. After some rounds, values believed at ``accept`` or more, through patterns with the
-support of ``least_support`` different seeds, are added with the kind of the seeds of their
-strongest pattern. A number that is a base finding in one place is added with its kind wherever
-else it stands, unless it overlaps a base finding there. Patterns and values are aggregated before they are joined, so one that a
-third of all texts have is a row like others.
+(Luhn) and phone numbers, with their places in code points. Beside them, values that are
+assigned to a name of a secret (``token = "..."``) are seeds of the kind secret.
+
+Bootstrapping: instances are numbers of 7 digits or more and long tokens of letters and digits.
+An instance that overlaps a base finding or a secret is a seed. Each instance has lexical
+patterns: its shape (digit groups and what stands between them, or the length of a token) with
+the word on its left, with the word on its right and by itself; and its context without its
+shape: the two words on its left, and the words on both sides. In each round a pattern's
+confidence is the mean belief in its values, drawn towards 0 by one value, and an unseeded
+value's belief is the mean confidence of its patterns with shape or of those of context alone,
+whichever is higher. After some rounds, values believed at ``accept`` or more, through patterns
+with the support of ``least_support`` different seeds, are added with the kind of the seeds of
+their best supported pattern, equal ones of the kind that comes last by name. A value that
+is a finding in one place is added with its kind wherever else it stands, unless it overlaps a
+base finding there. Patterns and values are aggregated before they are joined, so one that a third
+of all texts have is a row like others; patterns and values of many rows of the graph are
+joined by a broadcast of at most HOT rows.
 
 Null texts count as empty and have no findings. Rows are independent in the base search;
 repeated rows get equal results, and copies count once for support, as values are distinct.
-Long runs of digits or letters are read in linear time.
+An empty table gives an empty result. Long runs of digits or letters are read in linear time.
 """
 
 from __future__ import annotations
@@ -26,37 +31,66 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arborlens.llm.common import cut, fresh
+from arborlens.llm.common import cut, cut_small, fresh
 
 KINDS = ("email", "ip", "card", "phone")
+SECRET = "secret"
 # \G and the look-behind start a match only where a run of its characters begins or the last match ended: what the plain
-# pattern finds, without trying each place of a long run
+# pattern finds, without trying each place of a long run. Possessive groups are loops, not recursion, in Java.
 PATTERNS = {
-    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-INSTANCE = r"[(]?[0-9](?:[\x20().:/-]{0,2}[0-9])++"
+# Names that secrets are assigned to.
+SECRET_NAMES = "token|secret|password|passwd|api_key|apikey|api-key|access_key|private_key"
+NAMED = rf"(?i)(?:{SECRET_NAMES})[\"']?\s{{0,3}}[:=]"
+ASSIGNED = rf"(?<=[:=\s\"'])(?<=(?i:{SECRET_NAMES})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?)[A-Za-z0-9_+/=.-]{{8,}}+"
+NUMBER = r"[(]?[0-9](?:[\x20().:/-]{0,2}[0-9])++"
+TOKEN = r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9][A-Za-z0-9_+/=-]{15,}+"
 LEAST_DIGITS = 7
-HAS_NUMBER = r"[0-9](?:[\x20().:/-]{0,2}[0-9]){6}"
+HAS_INSTANCE = r"[0-9](?:[\x20().:/-]{0,2}[0-9]){6}|[A-Za-z0-9][A-Za-z0-9_+/=-]{15}"
+WORD_AFTER = r"^[^\p{L}\p{N}_]*+([\p{L}\p{N}_]++)"
+TWO_BEFORE = WORD_AFTER + r"(?:[^\p{L}\p{N}_]++([\p{L}\p{N}_]++))?+"
 
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
+#: Keys that are joined by broadcast hold more than one in HOT of all rows, so there are HOT at most.
+HOT = 500
+#: Numbers added up at once.
+CHUNK = 128
 
 
-def matches(text: Column, pattern: str, kind: str | Column) -> Column:
-    """Places and values of all matches: array of (kind, start, end, value), end exclusive, in code points."""
+def running(lengths: Column) -> Column:
+    """The sums of the first 1, 2, ... of an array of ints, by chunks, so that a text of very many matches takes no square time."""
+    fold = lambda a: F.aggregate(a, F.array().cast("array<int>"), lambda acc, x: F.concat(acc, F.array(F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0)) + x)))
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / CHUNK).cast("int")), lambda i: fold(F.slice(lengths, i * CHUNK + 1, CHUNK)))
+    before = fold(F.concat(F.array(F.lit(0)), F.transform(chunks, lambda c: F.coalesce(F.get(c, F.size(c) - 1), F.lit(0)))))
+    whole = F.flatten(F.zip_with(F.slice(before, 1, F.size(chunks)), chunks, lambda b, c: F.transform(c, lambda x: x + b)))
+    return F.when(F.size(lengths) <= CHUNK, fold(lengths)).otherwise(whole)
+
+
+def matches(text: Column, pattern: str, kind: str, context: bool = False) -> Column:
+    """Places and values of all matches: array of (kind, start, end, value), end exclusive, in code points; with context also the words before and after."""
     values, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    kind = F.lit(kind) if isinstance(kind, str) else kind
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("found"))
+    n = F.size(values)
+    sizes = F.zip_with(F.slice(between, 1, n), values, lambda b, v: F.char_length(b) + F.char_length(v))
+
+    def span(v: Column, end: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), (end - F.char_length(v)).alias("start"), end.alias("end"), v.alias("value"))
+
+    found = F.zip_with(values, running(sizes), span)
+    if context:
+        word = lambda c, p, k: F.lower(F.regexp_extract(c, p, k))
+        sides = F.zip_with(F.slice(between, 1, n), F.slice(between, 2, F.greatest(n, F.lit(1))), lambda b, a: F.struct(F.reverse(F.coalesce(b, F.lit(""))).alias("b"), F.coalesce(a, F.lit("")).alias("a")))
+        words = F.transform(sides, lambda s: F.struct(F.reverse(word(s["b"], TWO_BEFORE, 1)).alias("left"), F.reverse(word(s["b"], TWO_BEFORE, 2)).alias("left2"), word(s["a"], WORD_AFTER, 1).alias("right")))
+        found = F.zip_with(found, F.slice(words, 1, n), lambda s, w: F.struct(*[s[c].alias(c) for c in ("kind", "start", "end", "value")], w["left"].alias("left"), w["left2"].alias("left2"), w["right"].alias("right")))
+    return F.when(n > 0, found)
 
-    def step(acc: Column, pair: Column) -> Column:
-        a = acc["at"] + F.char_length(pair["b"])
-        z = a + F.char_length(pair["v"])
-        return F.struct(z.alias("at"), F.concat(acc["found"], F.array(F.struct(kind.alias("kind"), a.alias("start"), z.alias("end"), pair["v"].alias("value")))).alias("found"))
 
-    pairs = F.zip_with(F.slice(between, 1, F.size(values)), values, lambda b, v: F.struct(b.alias("b"), v.alias("v")))
-    return F.aggregate(pairs, start, step, lambda acc: acc["found"])
+def _or_none(spans: Column, when: Column | None = None) -> Column:
+    some = spans if when is None else F.when(when, spans)
+    return F.coalesce(some, F.array().cast(SPAN))
 
 
 def digits(value: Column) -> Column:
@@ -73,90 +107,120 @@ def luhn(number: Column) -> Column:
 
 def base_spans(text: Column) -> Column:
     """All base findings, by kind as listed and then by place."""
-    none = F.array().cast(SPAN)
-    small = lambda p: F.char_length(F.ltrim(p, F.lit("0"))) <= 3  # noqa: E731  so that the cast can't overflow
-    ip_ok = lambda x: F.forall(F.split(x["value"], r"\."), lambda p: small(p) & (F.coalesce(F.try_to_number(F.substring(F.lpad(p, 30, "0"), 28, 3), F.lit("999")), F.lit(0)) <= 255))
+    # parts are compared without leading zeros, so that no number can be too long for the cast
+    part_ok = lambda p: F.regexp_replace(p, "^0+", "").rlike(r"^(?:[0-9]{0,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$")
+    ip_ok = lambda x: F.forall(F.split(x["value"], r"\."), part_ok)
     card_ok = lambda x: F.char_length(digits(x["value"])).between(16, 19) & luhn(digits(x["value"]))
     phone_ok = lambda x: F.char_length(digits(x["value"])).between(8, 15)
     # a cheap look first: most texts hold none of these signs
     number = text.rlike(r"[0-9]")
     return F.concat(
-        F.when(F.contains(text, F.lit("@")), matches(text, PATTERNS["email"], "email")).otherwise(none),
-        F.when(number, F.filter(matches(text, PATTERNS["ip"], "ip"), ip_ok)).otherwise(none),
-        F.when(number, F.filter(matches(text, PATTERNS["card"], "card"), card_ok)).otherwise(none),
-        F.when(F.contains(text, F.lit("+")), F.filter(matches(text, PATTERNS["phone"], "phone"), phone_ok)).otherwise(none),
+        _or_none(matches(text, PATTERNS["email"], "email"), F.contains(text, F.lit("@"))),
+        _or_none(F.filter(matches(text, PATTERNS["ip"], "ip"), ip_ok), number),
+        _or_none(F.filter(matches(text, PATTERNS["card"], "card"), card_ok), number),
+        _or_none(F.filter(matches(text, PATTERNS["phone"], "phone"), phone_ok), F.contains(text, F.lit("+"))),
     )
 
 
+def secret_spans(text: Column) -> Column:
+    """Values with a digit that are assigned to a name of a secret."""
+    return _or_none(F.filter(matches(text, ASSIGNED, SECRET), lambda s: s["value"].rlike("[0-9]")), text.rlike(NAMED))
+
+
 def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
 def shape(value: Column) -> Column:
-    """Digit groups as N and their length, with what stands between them."""
-    return F.array_join(F.transform(F.regexp_extract_all(value, F.lit(r"[0-9]+|[^0-9]+"), F.lit(0)), lambda g: F.when(g.rlike("^[0-9]"), F.concat(F.lit("N"), F.char_length(g).cast("string"))).otherwise(g)), "")
+    """Of a number, digit groups as N and their length with what stands between them; of a token, its length and whether it is hexadecimal."""
+    groups = F.array_join(F.transform(F.regexp_extract_all(value, F.lit(r"[0-9]+|[^0-9]+"), F.lit(0)), lambda g: F.when(g.rlike("^[0-9]"), F.concat(F.lit("N"), F.char_length(g).cast("string"))).otherwise(g)), "")
+    token = F.concat(F.when(value.rlike("^[0-9A-Fa-f]+$"), "X").otherwise("W"), F.char_length(value).cast("string"))
+    return F.when(value.rlike("[A-Za-z]"), token).otherwise(groups)
+
+
+def instance_spans(text: Column, context: bool = False) -> Column:
+    """Numbers of LEAST_DIGITS or more, and tokens with letters and digits; null where there are none."""
+    numbers = F.filter(matches(text, NUMBER, "number", context), lambda s: F.char_length(digits(s["value"])) >= LEAST_DIGITS)
+    tokens = F.filter(matches(text, TOKEN, "token", context), lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
+    both = F.array_compact(F.array(numbers, tokens))
+    return F.when(text.rlike(HAS_INSTANCE), F.when(F.size(both) > 0, F.flatten(both)))
+
+
+def _meets(spans: Column, s: Column) -> Column:
+    return F.filter(spans, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
 
 
 def instances(found: DataFrame, text: str) -> DataFrame:
-    """A row per number in running text: value, shape, left, right, the kind of the base finding that it overlaps (seed) or null, and that of the one that has the same digits and is a number itself (whole) or null. found has base spans in ``_base``."""
-    t = F.col(text)
-    some = found.where(t.rlike(HAS_NUMBER))
-    each = some.select(text, "_base", F.explode(F.filter(matches(t, INSTANCE, "number"), lambda s: F.char_length(digits(s["value"])) >= LEAST_DIGITS)).alias("_s"))
+    """A row per instance: value, shape, left, left2, right, the kind of the finding that it overlaps (seed) or null, and that of the one that it is in another form (whole) or null. found has base findings and secrets in ``_seeds``."""
+    each = found.select("_seeds", F.explode(instance_spans(F.col(text), True)).alias("_s"))
     s = F.col("_s")
-    seed = F.filter("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    whole = F.filter(seed, lambda b: (b["kind"] != "email") & (digits(b["value"]) == digits(s["value"])))
-    word = lambda c, p: F.lower(F.regexp_extract(c, p, 1))
-    left = F.substring(t, F.greatest(s["start"] - 39, F.lit(1)), F.least(s["start"], F.lit(40)))
+    seed = _meets(F.col("_seeds"), s)
+    same = lambda b: F.when(b["kind"] == SECRET, b["value"] == s["value"]).otherwise((b["kind"] != "email") & (digits(b["value"]) == digits(s["value"])))
     return each.select(
-        s["value"].alias("value"), shape(s["value"]).alias("shape"), word(left, r"(\S+)\s*$").alias("left"), word(F.substring(t, s["end"] + 1, F.lit(40)), r"^\s*(\S+)").alias("right"), F.get(seed, F.lit(0))["kind"].alias("seed"), F.get(whole, F.lit(0))["kind"].alias("whole")
-    )
+        s["value"].alias("value"), shape(s["value"]).alias("shape"), s["left"].alias("left"), s["left2"].alias("left2"), s["right"].alias("right"),
+        F.get(seed, F.lit(0))["kind"].alias("seed"), F.get(F.filter(seed, same), F.lit(0))["kind"].alias("whole"),
+    )
+
+
+def _hot(graph: DataFrame, key: str, rows: int) -> DataFrame:
+    """The keys of more than one in HOT of the rows."""
+    return cut_small(graph.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(1000, rows / HOT)).select(key))
+
+
+def _lookup(big: DataFrame, small: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """big joined with small's one row of each key; the rows of hot keys (HOT at most) stay where they are."""
+    marked = big.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
+    few = F.broadcast(small.join(F.broadcast(hot), key, "left_semi"))
+    return marked.where("_hot is null").drop("_hot").join(small, key).unionByName(marked.where("_hot").drop("_hot").join(few, key))
 
 
 def discover(found: DataFrame, text: str, rounds: int = 3, accept: float = 0.6, least_support: int = 5) -> DataFrame:
-    """(value, kind) of numbers that are base findings somewhere, and of those that stand in the patterns of base findings."""
+    """(value, kind) of instances that are findings somewhere, and of those that stand in the patterns of findings."""
     seen = instances(found, text)
-    patterns = F.array(F.concat_ws("|", F.lit("L"), "left", "shape"), F.concat_ws("|", F.lit("R"), "shape", "right"), F.concat_ws("|", F.lit("S"), "shape"))
+    name = lambda *parts: F.concat_ws("|", *[F.lit(p) if len(p) == 1 else F.col(p) for p in parts])
+    patterns = F.array(name("L", "left", "shape"), name("R", "shape", "right"), name("S", "shape"), name("C", "left2", "left"), name("D", "left", "right"))
     graph = cut(seen.select("value", "seed", "whole", F.explode(patterns).alias("pattern")).groupBy("value", "pattern").agg(F.max("seed").alias("seed"), F.max("whole").alias("whole")))
+    rows = graph.count()
+    hot_patterns, hot_values = _hot(graph, "pattern", rows), _hot(graph, "value", rows)
+    plain = F.substring("pattern", 1, 1).isin("C", "D")
     # kinds of the seeds of each pattern, and how many different ones there are
-    support = graph.groupBy("pattern").agg(F.count("seed").alias("support"), F.mode("seed", True).alias("kind"))
-    values = graph.groupBy("value").agg(F.max(F.when(F.col("seed").isNotNull(), 1.0).otherwise(0.0)).alias("belief"), F.max("seed").alias("known"))
+    support = cut_small(graph.groupBy("pattern").agg(F.count("seed").alias("support"), F.mode("seed", True).alias("kind")).where(F.col("support") >= least_support))
+    values = cut_small(graph.groupBy("value").agg(F.max(F.when(F.col("seed").isNotNull(), 1.0).otherwise(0.0)).alias("belief"), F.max("seed").alias("known")))
     for _ in range(rounds):
-        scored = graph.join(values, "value").groupBy("pattern").agg((F.sum("belief") / (F.count(F.lit(1)) + 1)).alias("confidence"))
-        held = graph.join(scored, "pattern").groupBy("value").agg(F.round(F.avg("confidence"), 9).alias("mean"), F.max("seed").alias("known"))
-        values = held.select("value", F.when(F.col("known").isNotNull(), 1.0).otherwise(F.col("mean")).alias("belief"), "known")
-    values = cut(values)
+        scored = cut_small(_lookup(graph, values, "value", hot_values).groupBy("pattern").agg((F.sum("belief") / (F.count(F.lit(1)) + 1)).alias("confidence")))
+        means = [F.round(F.avg(F.when(x, F.col("confidence"))), 9) for x in (plain, ~plain)]
+        held = _lookup(graph, scored, "pattern", hot_patterns).groupBy("value").agg(F.greatest(*means).alias("mean"), F.max("seed").alias("known"))
+        values = cut_small(held.select("value", F.when(F.col("known").isNotNull(), 1.0).otherwise(F.col("mean")).alias("belief"), "known"))
     sure = graph.where(F.col("whole").isNotNull()).groupBy("value").agg(F.max("whole").alias("kind"))
     new = values.where(F.col("known").isNull() & (F.col("belief") >= accept)).select("value")
-    ranked = graph.join(new, "value").join(support.where(F.col("support") >= least_support), "pattern")
+    ranked = _lookup(graph.join(new, "value", "left_semi"), support, "pattern", hot_patterns)
     return ranked.groupBy("value").agg(F.max(F.struct("support", "kind")).getField("kind").alias("kind")).where(F.col("kind").isNotNull()).unionByName(sure)
 
 
 def find(docs: DataFrame, text: str = "text", spans: str = "pii_spans", **settings: object) -> DataFrame:
-    """docs with base_spans and all spans (base and discovered), each an array of (kind, start, end, value) by kind and place. Names that clash get a leading underscore.
+    """docs with base_spans and all spans (base, secrets and discovered), each an array of (kind, start, end, value) by kind and place. Names that clash get a leading underscore.
 
-    The discovered values meet the texts again by a join on the numbers, not by a broadcast.
+    The discovered values meet the texts again by a join on the instances, not by a broadcast.
     """
     names = docs.columns
     base_name, span_name = fresh(names, "base_spans"), fresh(names, spans)
+    secret, key, hit = (fresh(names, x) for x in ("_secrets", "_row", "_hits"))
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    found = docs.select(t.alias("_text"), base_spans(t).alias("_base"))
-    new = cut(discover(found, "_text", **settings))
-    base = docs.withColumn(base_name, base_spans(t))
-    if new.isEmpty():
-        return base.withColumn(span_name, F.col(base_name))
-    key, hit = fresh(names, "_row"), fresh(names, "_hits")
-    # only the numbers of texts that have any are looked up, and only these texts meet the finds again; the others never move
-    numbered, digest = t.rlike(HAS_NUMBER), F.sha2(t, 256)
-    # those that overlap a base finding are found already
-    clear = lambda s: (F.char_length(digits(s["value"])) >= LEAST_DIGITS) & ~F.exists(F.col(base_name), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    numbers = base.where(numbered).select(digest.alias(key), F.explode(F.filter(matches(t, INSTANCE, "number"), clear)).alias("s"))
-    hits = numbers.select(key, "s", F.col("s.value").alias("value")).distinct().join(new, "value")
-    each = hits.groupBy(key).agg(F.collect_set(F.struct(F.col("kind"), F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("value"))).alias(hit))
-    joined = base.where(numbered).withColumn(key, digest).join(each, key, "left")
-    place = lambda k: reduce(lambda acc, x: acc.when(k == x[1], x[0]), list(enumerate(KINDS))[1:], F.when(k == KINDS[0], 0))
-    ranked = F.transform(F.concat(F.col(base_name), F.coalesce(F.col(hit), F.array().cast(SPAN))), lambda s: F.struct(place(s["kind"]).alias("k"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["value"].alias("value")))
+    found = docs.select(t.alias("_text")).where(F.col("_text").rlike(HAS_INSTANCE)).withColumn("_seeds", F.concat(base_spans(F.col("_text")), secret_spans(F.col("_text"))))
+    new = cut_small(discover(found, "_text", **settings))
+    base = docs.withColumn(base_name, base_spans(t)).withColumn(secret, secret_spans(t))
+    # only the instances of texts that have any are looked up, and only these texts meet the finds again; the others never move
+    some, digest = t.rlike(HAS_INSTANCE), F.sha2(t, 256)
+    # those that overlap a finding are found already
+    clear = lambda s: F.size(_meets(F.concat(base_name, secret), s)) == 0
+    each = base.where(some).select(digest.alias(key), F.explode(F.filter(instance_spans(t), clear)).alias("s")).select(key, "s", F.col("s.value").alias("value")).distinct()
+    hits = each.join(new, "value").groupBy(key).agg(F.collect_set(F.struct(F.col("kind"), F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("value"))).alias(hit))
+    joined = base.where(some).withColumn(key, digest).join(hits, key, "left").drop(key)
+    every = joined.unionByName(base.where(~some).withColumn(hit, F.lit(None).cast(SPAN)))
+    place = lambda k: reduce(lambda acc, x: acc.when(k == x[1], x[0]), list(enumerate((*KINDS, SECRET)))[1:], F.when(k == KINDS[0], 0))
+    ranked = F.transform(F.concat(base_name, secret, F.coalesce(hit, F.array().cast(SPAN))), lambda s: F.struct(place(s["kind"]).alias("k"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["value"].alias("value")))
     ordered = F.transform(F.array_sort(ranked), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
-    return joined.withColumn(span_name, ordered).drop(key, hit).unionByName(base.where(~numbered).withColumn(span_name, F.col(base_name)))
+    return every.withColumn(span_name, ordered).drop(secret, hit)
 
 
 def redact(text: Column, spans: Column) -> Column:

@@ -1,3 +1,4 @@
+import random
 import re
 
 from arborlens.llm import pii
@@ -23,6 +24,9 @@ TEXTS = [
     "1" * 30000 + " 1.2.3.4" + "x" * 30000,
     "0000.0.0.0 12.34.56.78",
     "4111111111111111 4111111111111111",
+    "a@b" + ".c" * 100_000,
+    "0" * 28 + "300.1.1.1 " + "0" * 28 + "999.1.1.1 " + "0" * 40 + "255.0.00.1 256.1.1.1",
+    "x@y.z 1.2.3.4 " * 3000,
 ]
 
 
@@ -72,6 +76,56 @@ def test_a_base_finding_is_found_in_its_bare_form_elsewhere(spark):
     assert all(got[i].pii_spans == got[i].base_spans for i in (1, 3, 4))
 
 
+def test_contexts_find_other_shapes_and_secrets(spark):
+    rows = [(i, f"you can call Anna on +1 (523) 555-10{i:02d} until noon") for i in range(20)]
+    rows += [(30, "you can call Anna on 523-555-1099 until noon"), (31, "order number 523-555-1099-77 is late"), (32, "until 2024 they call Anna"), (40, 'token = "f33e61083db5dbdf4bd2369d2f80176e57f7fda2" x'), (41, "seen f33e61083db5dbdf4bd2369d2f80176e57f7fda2 here"), (42, "the build abcdef0123456789abcdef is fine, password: required"), (43, "mail a.b@mail.example.com")]
+    got = {r.doc_id: [(s.kind, s.value) for s in r.pii_spans] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[30] == [("phone", "523-555-1099")]
+    assert got[31] == got[32] == got[42] == []
+    assert got[40] == got[41] == [("secret", "f33e61083db5dbdf4bd2369d2f80176e57f7fda2")]
+    assert got[43] == [("email", "a.b@mail.example.com")]
+
+
+def discovered(rows, rounds=3, accept=0.6, least_support=5):
+    """Brute force of the pattern graph, for texts whose findings are cards alone and whose instances are numbers of one group."""
+    graph, seeds = set(), set()
+    for text in rows:
+        base = [tuple(map(int, x.split(":")[1:])) for x in brute(text).split(",") if x]
+        for m in re.finditer(r"[0-9]{7,}", text):
+            left, right = re.findall(r"\w+", text[: m.start()])[::-1] + ["", ""], re.findall(r"\w+", text[m.end() :]) + [""]
+            v, sh = m.group(), f"N{len(m.group())}"
+            graph |= {(v, p) for p in (("L", left[0], sh), ("R", sh, right[0]), ("S", sh), ("C", left[1], left[0]), ("D", left[0], right[0]))}
+            if any(a < m.end() and m.start() < b for a, b in base):
+                seeds.add(v)
+    values = {v for v, _ in graph}
+    belief = {v: float(v in seeds) for v in values}
+    of = lambda k, x: [g for g in graph if g[k] == x]
+    for _ in range(rounds):
+        conf = {p: sum(belief[v] for v, _ in of(1, p)) / (len(of(1, p)) + 1) for p in {p for _, p in graph}}
+        mean = lambda ps: sum(conf[p] for p in ps) / len(ps)
+        belief = {v: 1.0 if v in seeds else max(mean([p for _, p in of(0, v) if (p[0] in "CD") == x]) for x in (True, False)) for v in values}
+    supported = {p for _, p in graph if sum(v in seeds for v, _ in of(1, p)) >= least_support}
+    return seeds | {v for v in values if round(belief[v], 9) >= accept and any(p in supported for _, p in of(0, v))}
+
+
+def test_discovery_equals_brute_force(spark):
+    r = random.Random(8)
+    words = ["pay", "card", "with", "the", "and"]
+
+    def number(n, good):
+        while True:
+            x = "".join(r.choice("123456789") for _ in range(n))
+            if bool(brute(x)) == good:
+                return x
+
+    texts = [f"{r.choice(words)} {r.choice(words)} {number(16, r.random() < 0.8)} {r.choice(words)}" for _ in range(150)]
+    texts += [f"{r.choice(words)} {r.choice(words)} {number(r.choice([8, 12]), False)} {r.choice(words)}" for _ in range(30)]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("_seeds", pii.base_spans(F.col("t")))
+    got = {x.value for x in pii.discover(found, "t", accept=0.55).collect()}
+    want = discovered(texts, accept=0.55)
+    assert got == want and len(want) > sum(bool(brute(t)) for t in texts)
+
+
 def test_redaction_keeps_everything_else(spark):
     rows = spark.createDataFrame([(1, "mail a@b.cc or +12345678 end"), (2, "clean"), (3, None)], "doc_id long, text string")
     found = pii.find(rows)
