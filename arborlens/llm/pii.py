@@ -26,6 +26,7 @@ An empty table gives an empty result. Long runs of digits or letters are read in
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -48,9 +49,11 @@ SECRET_NAMES = "token|secret|password|passwd|api_key|apikey|api-key|access_key|p
 NAMED = rf"(?i)(?:{SECRET_NAMES})[\"']?\s{{0,3}}[:=]"
 ASSIGNED = rf"(?<=[:=\s\"'])(?<=(?i:{SECRET_NAMES})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?)[A-Za-z0-9_+/=.-]{{8,}}+"
 NUMBER = r"[(]?[0-9](?:[\x20().:/-]{0,2}[0-9])++"
-TOKEN = r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9][A-Za-z0-9_+/=-]{15,}+"
+# a run that has both a digit and a letter
+MIXED = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*+[0-9])(?=[0-9_+/=-]*+[A-Za-z])"
+TOKEN = MIXED + r"[A-Za-z0-9][A-Za-z0-9_+/=-]{15,}+"
 LEAST_DIGITS = 7
-HAS_INSTANCE = r"[0-9](?:[\x20().:/-]{0,2}[0-9]){6}|[A-Za-z0-9][A-Za-z0-9_+/=-]{15}"
+HAS_INSTANCE = r"[0-9](?:[\x20().:/-]{0,2}[0-9]){6}|" + MIXED + r"[A-Za-z0-9][A-Za-z0-9_+/=-]{15}"
 WORD_AFTER = r"^[^\p{L}\p{N}_]*+([\p{L}\p{N}_]++)"
 TWO_BEFORE = WORD_AFTER + r"(?:[^\p{L}\p{N}_]++([\p{L}\p{N}_]++))?+"
 
@@ -61,31 +64,36 @@ HOT = 500
 CHUNK = 128
 
 
-def running(lengths: Column) -> Column:
+def running(of: Column) -> Column:
     """The sums of the first 1, 2, ... of an array of ints, by chunks, so that a text of very many matches takes no square time."""
     fold = lambda a: F.aggregate(a, F.array().cast("array<int>"), lambda acc, x: F.concat(acc, F.array(F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0)) + x)))
-    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / CHUNK).cast("int")), lambda i: fold(F.slice(lengths, i * CHUNK + 1, CHUNK)))
-    before = fold(F.concat(F.array(F.lit(0)), F.transform(chunks, lambda c: F.coalesce(F.get(c, F.size(c) - 1), F.lit(0)))))
-    whole = F.flatten(F.zip_with(F.slice(before, 1, F.size(chunks)), chunks, lambda b, c: F.transform(c, lambda x: x + b)))
-    return F.when(F.size(lengths) <= CHUNK, fold(lengths)).otherwise(whole)
+    chunked = lambda a: F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / CHUNK).cast("int")), lambda i: fold(F.slice(a, i * CHUNK + 1, CHUNK)))
+    before = lambda chunks: fold(F.concat(F.array(F.lit(0)), F.transform(chunks, lambda c: F.coalesce(F.get(c, F.size(c) - 1), F.lit(0)))))
+    whole = lambda chunks: F.flatten(F.zip_with(F.slice(before(chunks), 1, F.size(chunks)), chunks, lambda b, c: F.transform(c, lambda x: x + b)))
+    return let(of, lambda a: F.when(F.size(a) <= CHUNK, fold(a)).otherwise(let(chunked(a), whole)))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value worked out once however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def matches(text: Column, pattern: str, kind: str, context: bool = False) -> Column:
-    """Places and values of all matches: array of (kind, start, end, value), end exclusive, in code points; with context also the words before and after."""
-    values, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    n = F.size(values)
-    sizes = F.zip_with(F.slice(between, 1, n), values, lambda b, v: F.char_length(b) + F.char_length(v))
+    """Places and values of all matches: array of (kind, start, end, value), end exclusive, in code points; with context also the words before and after. Null where there are none."""
 
-    def span(v: Column, end: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), (end - F.char_length(v)).alias("start"), end.alias("end"), v.alias("value"))
+    def placed(p: Column) -> Column:
+        n = F.size(p["v"])
+        sizes = F.zip_with(F.slice(p["b"], 1, n), p["v"], lambda b, v: F.char_length(b) + F.char_length(v))
+        words = []
+        if context:
+            word = lambda c, x, k: F.lower(F.regexp_extract(c, x, k))
+            around = F.zip_with(F.slice(p["b"], 1, n), F.slice(p["b"], 2, n), lambda b, a: F.struct(F.reverse(b).alias("b"), a.alias("a")))
+            words = [F.transform(around, lambda s: F.struct(F.reverse(word(s["b"], TWO_BEFORE, 1)).alias("left"), F.reverse(word(s["b"], TWO_BEFORE, 2)).alias("left2"), word(s["a"], WORD_AFTER, 1).alias("right")))]
+        each = F.arrays_zip(p["v"].alias("v"), running(sizes).alias("end"), *[w.alias("w") for w in words])
+        at = lambda x: [F.lit(kind).alias("kind"), (x["end"] - F.char_length(x["v"])).alias("start"), x["end"].alias("end"), x["v"].alias("value")]
+        return F.when(n > 0, F.transform(each, lambda x: F.struct(*at(x), *[x["w"][c].alias(c) for c in ("left", "left2", "right") if words])))
 
-    found = F.zip_with(values, running(sizes), span)
-    if context:
-        word = lambda c, p, k: F.lower(F.regexp_extract(c, p, k))
-        sides = F.zip_with(F.slice(between, 1, n), F.slice(between, 2, F.greatest(n, F.lit(1))), lambda b, a: F.struct(F.reverse(F.coalesce(b, F.lit(""))).alias("b"), F.coalesce(a, F.lit("")).alias("a")))
-        words = F.transform(sides, lambda s: F.struct(F.reverse(word(s["b"], TWO_BEFORE, 1)).alias("left"), F.reverse(word(s["b"], TWO_BEFORE, 2)).alias("left2"), word(s["a"], WORD_AFTER, 1).alias("right")))
-        found = F.zip_with(found, F.slice(words, 1, n), lambda s, w: F.struct(*[s[c].alias(c) for c in ("kind", "start", "end", "value")], w["left"].alias("left"), w["left2"].alias("left2"), w["right"].alias("right")))
-    return F.when(n > 0, found)
+    return let(F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("v"), F.split(text, pattern, -1).alias("b")), placed)
 
 
 def _or_none(spans: Column, when: Column | None = None) -> Column:
@@ -124,7 +132,7 @@ def base_spans(text: Column) -> Column:
 
 def secret_spans(text: Column) -> Column:
     """Values with a digit that are assigned to a name of a secret."""
-    return _or_none(F.filter(matches(text, ASSIGNED, SECRET), lambda s: s["value"].rlike("[0-9]")), text.rlike(NAMED))
+    return _or_none(F.filter(matches(text, ASSIGNED, SECRET), lambda s: s["value"].rlike("[0-9]")), text.rlike("[0-9]") & text.rlike(NAMED))
 
 
 def spans_text(spans: Column) -> Column:
@@ -141,9 +149,12 @@ def shape(value: Column) -> Column:
 def instance_spans(text: Column, context: bool = False) -> Column:
     """Numbers of LEAST_DIGITS or more, and tokens with letters and digits; null where there are none."""
     numbers = F.filter(matches(text, NUMBER, "number", context), lambda s: F.char_length(digits(s["value"])) >= LEAST_DIGITS)
-    tokens = F.filter(matches(text, TOKEN, "token", context), lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
-    both = F.array_compact(F.array(numbers, tokens))
-    return F.when(text.rlike(HAS_INSTANCE), F.when(F.size(both) > 0, F.flatten(both)))
+    tokens = matches(text, TOKEN, "token", context)
+    return F.when(has_instance(text), F.flatten(F.array_compact(F.array(numbers, tokens))))
+
+
+def has_instance(text: Column) -> Column:
+    return text.rlike("[0-9]") & text.rlike(HAS_INSTANCE)
 
 
 def _meets(spans: Column, s: Column) -> Column:
@@ -206,11 +217,11 @@ def find(docs: DataFrame, text: str = "text", spans: str = "pii_spans", **settin
     base_name, span_name = fresh(names, "base_spans"), fresh(names, spans)
     secret, key, hit = (fresh(names, x) for x in ("_secrets", "_row", "_hits"))
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    found = docs.select(t.alias("_text")).where(F.col("_text").rlike(HAS_INSTANCE)).withColumn("_seeds", F.concat(base_spans(F.col("_text")), secret_spans(F.col("_text"))))
+    found = docs.select(t.alias("_text")).where(has_instance(F.col("_text"))).withColumn("_seeds", F.concat(base_spans(F.col("_text")), secret_spans(F.col("_text"))))
     new = cut_small(discover(found, "_text", **settings))
     base = docs.withColumn(base_name, base_spans(t)).withColumn(secret, secret_spans(t))
     # only the instances of texts that have any are looked up, and only these texts meet the finds again; the others never move
-    some, digest = t.rlike(HAS_INSTANCE), F.sha2(t, 256)
+    some, digest = has_instance(t), F.sha2(t, 256)
     # those that overlap a finding are found already
     clear = lambda s: F.size(_meets(F.concat(base_name, secret), s)) == 0
     each = base.where(some).select(digest.alias(key), F.explode(F.filter(instance_spans(t), clear)).alias("s")).select(key, "s", F.col("s.value").alias("value")).distinct()
