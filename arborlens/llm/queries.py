@@ -28,9 +28,14 @@ def vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.OrdinalModel:
+    """The labels only say toxic or not, so the toxic ones are graded by toxicity.severity."""
+    return toxicity.fit(toxicity.severity(toxicity.sample(docs, labels, F.when(F.col("toxic") > 0, 1).when(F.col("toxic").isNotNull(), 0), MAX_LABELLED)))
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.fit(toxicity.labelled_texts(docs, table(spark, sf_dir, "labels"), "toxic", MAX_LABELLED))
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs.select("doc_id", "text"), model).drop("text")
 
 

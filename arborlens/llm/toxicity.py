@@ -5,33 +5,37 @@ thresholds. x holds, for each term of a learnt vocabulary that the text has, 1;
 and beginnings of words, so that unseen forms of a telling stem count. The expected severity is
 sum_k P(grade > k), from 0 to the highest grade.
 
-The model is fitted on a bounded sample of labelled rows (``max_labelled``, those of least
-md5 of the id, so the same rows on every run) and is of bounded size (``max_terms``).
+Grades are an expression over the labels that the caller gives; where labels only say yes or no,
+``severity`` grades the yes rows by words that the other half of the rows taught. The model is
+fitted on a bounded sample of labelled ids (``max_labelled``, those of least md5, so the same
+ids on every run; rows of one id are one document) and is of bounded size (``max_terms``). Terms
+are counted by Spark; the driver sees the chosen terms, and their numbers for each sampled id.
 
 Null or empty texts have no terms; their severity is that of a text without any. Repeated
 rows get equal results; an empty table gives an empty result; without labelled rows of two
-grades nothing is toxic.
+grades nothing is toxic. Very long texts are scored whole.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arborlens.llm.common import fresh, in_chunks
+from arborlens.llm.common import cut_small, fresh, in_chunks
 
 WORD = re.compile(r"[^\W\d_]+").findall
 #: Letters of the beginnings of words that are terms beside the words.
 STEMS = range(3, 9)
+#: Words whose terms a scoring task remembers.
+REMEMBERED = 200_000
 
 
 def terms(text: str | None) -> list[str]:
@@ -39,90 +43,139 @@ def terms(text: str | None) -> list[str]:
     return WORD((text or "").lower())
 
 
-def features(words: set[str]) -> set[str]:
-    """The words, and their beginnings of STEMS letters with a hyphen, which no word has."""
-    return words.union(*({f"{w[:n]}-" for w in words if len(w) >= n} for n in STEMS))
+def features(word: str) -> list[str]:
+    """The word, and its beginnings of STEMS letters with a hyphen, which no word has."""
+    return [word, *(f"{word[:n]}-" for n in STEMS if len(word) >= n)]
 
 
 @dataclass
 class OrdinalModel:
     weights: dict[str, float]
     thresholds: np.ndarray
+    known: dict[str, tuple[str, ...]] = field(default_factory=dict, repr=False, compare=False)
+
+    def found(self, text: str | None) -> set[str]:
+        """The terms of the model that the text has."""
+        out: set[str] = set()
+        for word in set(terms(text)):
+            have = self.known.get(word)
+            if have is None:
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                have = self.known[word] = tuple(t for t in features(word) if t in self.weights)
+            out.update(have)
+        return out
 
     def exceed(self, text: str | None) -> np.ndarray:
         """P(grade > k) for each threshold k."""
-        s = sum(self.weights[t] for t in self.weights.keys() & features(set(terms(text))))
+        s = sum(self.weights[t] for t in sorted(self.found(text)))
         return 1 / (1 + np.exp(np.clip(self.thresholds - s, -50, 50)))
 
 
-def severity_grades(rows: list[tuple[str, int]], telling: dict[str, float]) -> np.ndarray:
-    """Ordered grades from a yes/no label: 0 for no; of the rest, 2 where the text has more different words with telling terms than the median, else 1."""
-    count = np.array([sum(not telling.keys().isdisjoint(features({w})) for w in set(terms(x))) if y > 0 else 0 for x, y in rows])
-    toxic = np.array([y > 0 for _, y in rows], bool)
-    middle = np.median(count[toxic]) if toxic.any() else 0
-    return np.where(toxic, np.where(count > middle, 2, 1), 0)
+def sample(docs: DataFrame, labels: DataFrame, grade: Column, max_labelled: int, text: str = "text") -> DataFrame:
+    """(doc_id, grade, term), distinct, of a bounded sample of labelled ids; an id without terms has one row of a null term. The ids are drawn from the labels before their texts are looked up."""
+    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    few = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(grade).cast("int").alias("grade")).where("grade is not null").orderBy(key, "doc_id").limit(max_labelled)
+    rows = docs.select("doc_id", F.col(f"`{text}`").alias("text")).join(F.broadcast(few), "doc_id").select("doc_id", "grade", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in in_chunks(batches):
+            found = [list({f for w in set(terms(t)) for f in features(w)}) for t in texts]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.list_(pa.string()))], names=["doc_id", "grade", "terms"])
+
+    made = rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], T.StructField("grade", T.IntegerType()), T.StructField("terms", T.ArrayType(T.StringType()))]))
+    return cut_small(made.select("doc_id", "grade", F.explode_outer("terms").alias("term")).distinct())
+
 
+def _beginnings() -> Column:
+    """The beginnings of the word in the column term, as features has them."""
+    return F.transform(F.filter(F.array(*map(F.lit, STEMS)), lambda n: n <= F.char_length("term")), lambda n: F.concat(F.substring(F.col("term"), F.lit(1), n), F.lit("-")))
 
-def telling_terms(rows: list[tuple[str, int]], max_terms: int, false_share: float = 0.05) -> dict[str, float]:
-    """Terms that the label depends on by the likelihood-ratio test and more often with it than without, with their log odds.
+
+def telling_terms(rows: DataFrame, max_terms: int, false_share: float = 0.05) -> dict[str, bool]:
+    """Terms that a grade over 0 depends on by the likelihood-ratio test, and whether they speak for it or against it.
 
     The least G squared is not fixed: of all terms tried, as many are kept as leave a share of
-    false_share of false ones among the kept (Benjamini and Hochberg). A beginning of words that
-    only one word or one longer beginning has is that one.
+    false_share of false ones among the kept (Benjamini and Hochberg), max_terms at most. A
+    beginning of words that only one word or one longer beginning has is that one, and not tried.
     """
-    n1 = sum(y > 0 for _, y in rows)
-    n0 = len(rows) - n1
-    seen: dict[bool, Counter] = {True: Counter(), False: Counter()}
-    for x, y in rows:
-        seen[y > 0].update(features(set(terms(x))))
-    every = seen[True].keys() | seen[False].keys()
-    forms = Counter(f for w in every if not w.endswith("-") for f in features({w}) if f != w)
-    same = {f"{s[: n - 1]}-" for s, k in forms.items() if (n := len(s) - 1) - 1 in STEMS and forms[f"{s[: n - 1]}-"] == k}
-    tried = [t for t in every if not t.endswith("-") or forms[t] > 1 and t not in same]
-    found = []
-    for t in tried:
-        a, b = seen[True][t], seen[False][t]
-        if a * max(n0, 1) <= b * max(n1, 1):
-            continue
-        cells = ((a, n1 * (a + b)), (b, n0 * (a + b)), (n1 - a, n1 * (n1 + n0 - a - b)), (n0 - b, n0 * (n1 + n0 - a - b)))
-        g2 = 2 * sum(c * math.log(c * (n1 + n0) / e) for c, e in cells if c > 0)
-        found.append((-g2, t, float(np.log((a + 0.5) / (b + 0.5)) - np.log((n1 + 0.5) / (n0 + 0.5)))))
-    found.sort()
+    bad = F.col("grade") > 0
+    n1, n0 = rows.groupBy("doc_id").agg(F.max("grade").alias("grade")).agg(F.count_if(bad), F.count_if(~bad)).first()
+    counts = rows.where("term is not null").groupBy("term").agg(F.count_if(bad).alias("a"), F.count_if(~bad).alias("b"))
+    stem = F.col("term").endswith("-")
+    forms = cut_small(counts.where(~stem).select(F.explode(_beginnings()).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("k")))
+    shorter = forms.select(F.concat(F.expr("substring(term, 1, length(term) - 2)"), F.lit("-")).alias("term"), F.col("k").alias("k2"))
+    same = forms.join(shorter, "term").where("k = k2").select("term").distinct()
+    beginnings = forms.where("k > 1").select("term").join(same, "term", "left_anti")
+    tried = cut_small(counts.where(~stem).unionByName(counts.where(stem).join(beginnings, "term", "left_semi")))
+    a, b, n = F.col("a"), F.col("b"), n1 + n0
+    cell = lambda c, one, other: F.when(c > 0, c * F.log(c * F.lit(float(n)) / (F.lit(float(one)) * other))).otherwise(0.0)
+    g2 = 2 * (cell(a, n1, a + b) + cell(b, n0, a + b) + cell(n1 - a, n1, n - a - b) + cell(n0 - b, n0, n - a - b))
+    many = tried.count()
+    best = tried.select("term", F.round(g2, 9).alias("g2"), (a * F.lit(n0) > b * F.lit(n1)).alias("for")).orderBy(F.desc("g2"), "term").limit(max_terms).collect() if n1 and n0 else []
     # the chance of a G squared or more, of one degree of freedom
-    kept = [k for k, (g, _, _) in enumerate(found, 1) if math.erfc(math.sqrt(max(-g, 0) / 2)) * len(tried) <= false_share * k]
-    return {t: w for _, t, w in found[: min(max(kept, default=0), max_terms)]}
+    kept = [k for k, r in enumerate(best, 1) if math.erfc(math.sqrt(max(r["g2"], 0) / 2)) * many <= false_share * k]
+    return {r["term"]: r["for"] for r in best[: max(kept, default=0)]}
 
 
-def fit(rows: list[tuple[str, int]], max_terms: int = 4096, l2: float = 0.02, steps: int = 1500) -> OrdinalModel:
-    """Maximum likelihood with a ridge penalty, by gradient ascent with running means of gradients and of their squares (Adam).
+def severity(rows: DataFrame, max_terms: int = 4096) -> DataFrame:
+    """rows of yes/no grades as rows of the grades 0, 1 and 2: of the toxic ids, those with more different telling words than the middle one are 2.
 
-    rows: text, and a label over 0 for toxic. Grades: see severity_grades.
+    The words that tell are chosen on the other half of the ids, so no id's grade rests on its own label.
+    """
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    toxic = rows.where("grade > 0")
+    words = toxic.where(~F.col("term").endswith("-")).select("doc_id", "term", F.explode(F.concat(F.array("term"), _beginnings())).alias("f"))
+    counts = []
+    for h in (0, 1):
+        tell = [(t,) for t, speaks_for in telling_terms(rows.where(half != h), max_terms).items() if speaks_for]
+        hits = words.where(half == h).join(F.broadcast(rows.sparkSession.createDataFrame(tell, "f string")), "f").groupBy("doc_id").agg(F.count_distinct("term").alias("hits"))
+        counts.append(toxic.where(half == h).select("doc_id").distinct().join(hits, "doc_id", "left").fillna(0, "hits"))
+    every = cut_small(counts[0].unionByName(counts[1]))
+    middle = every.agg(F.percentile("hits", 0.5)).first()[0] or 0
+    more = every.where(F.col("hits") > middle).select("doc_id", F.lit(2).alias("more"))
+    return cut_small(rows.join(more, "doc_id", "left").withColumn("grade", F.coalesce("more", F.least("grade", F.lit(1)))).drop("more"))
+
+
+def loss(w: np.ndarray, theta: np.ndarray, row: np.ndarray, col: np.ndarray, grades: np.ndarray, l2: float) -> tuple[float, np.ndarray]:
+    """Penalised log likelihood of the grades, and its gradient by the weights and then the thresholds. Document row[i] has term col[i]."""
+    n, k = len(grades), len(theta)
+    s = np.bincount(row, w[col], n)
+    c = np.concatenate([np.zeros((n, 1)), 1 / (1 + np.exp(-np.clip(theta[None, :] - s[:, None], -50, 50))), np.ones((n, 1))], axis=1)
+    at = np.arange(n)
+    p = np.maximum(c[at, grades + 1] - c[at, grades], 1e-12)
+    d = c * (1 - c)
+    up, low = d[at, grades + 1] / p, d[at, grades] / p
+    by_w = np.bincount(col, (low - up)[row], len(w)) - l2 * w
+    by_theta = np.array([up[grades == j].sum() - low[grades == j + 1].sum() for j in range(k)])
+    return float(np.log(p).sum() - l2 / 2 * (w**2).sum()), np.concatenate([by_w, by_theta])
+
+
+def fit(rows: DataFrame, max_terms: int = 4096, l2: float = 0.02, steps: int = 1500, both_ways: bool = False) -> OrdinalModel:
+    """Maximum likelihood with a ridge penalty, by gradient ascent with running means of gradients and of their squares (Adam). rows: see sample.
+
+    Terms that speak against a grade are left out unless both_ways: most are common words of a
+    language with few toxic labels, and would let its toxic texts pass.
     """
-    tell = telling_terms(rows, max_terms)
-    grades = severity_grades(rows, tell)
-    k = int(grades.max()) if len(grades) else 0
-    if not tell or k == 0:
+    tell = [t for t, speaks_for in telling_terms(rows, max_terms).items() if speaks_for or both_ways]
+    if not tell:
         return OrdinalModel({}, np.array([50.0]))
-    index = {t: i for i, t in enumerate(tell)}
-    at = [(r, index[t]) for r, (x, _) in enumerate(rows) for t in features(set(terms(x))) & index.keys()]
-    row, col = (np.array(v) for v in zip(*at, strict=True))
-    w, theta = np.zeros(len(tell)), np.linspace(1, 1 + k - 1, k)
-    n, both = len(rows), np.zeros((2, len(w) + k))
-    sig = lambda v: 1 / (1 + np.exp(-np.clip(v, -50, 50)))
+    spark = rows.sparkSession
+    index = spark.createDataFrame(list(enumerate(tell)), "i int, term string")
+    # an id of at most max_terms numbers, and max_labelled ids
+    held = rows.join(F.broadcast(index), "term", "left").groupBy("doc_id").agg(F.max("grade").alias("grade"), F.sort_array(F.collect_set("i")).alias("at")).orderBy("doc_id").collect()
+    grades = np.unique([r["grade"] for r in held], return_inverse=True)[1]
+    k = int(grades.max())
+    row, col = np.repeat(np.arange(len(held)), [len(r["at"]) for r in held]), np.array([i for r in held for i in r["at"]], int)
+    w, theta = np.zeros(len(tell)), np.linspace(1, k, k)
+    both = np.zeros((2, len(w) + k))
     for step in range(1, steps + 1):
-        s = np.bincount(row, w[col], n)
-        c = np.concatenate([np.zeros((n, 1)), sig(theta[None, :] - s[:, None]), np.ones((n, 1))], axis=1)
-        p = np.maximum(c[np.arange(n), grades + 1] - c[np.arange(n), grades], 1e-12)
-        d = c * (1 - c)
-        up, low = d[np.arange(n), grades + 1] / p, d[np.arange(n), grades] / p
-        gw = np.bincount(col, (low - up)[row], len(w)) - l2 * w
-        gt = np.array([up[grades == j].sum() - low[grades == j + 1].sum() for j in range(k)])
-        g = np.concatenate([gw, gt]) / n
+        g = loss(w, theta, row, col, grades, l2)[1] / len(held)
         both = np.array([0.9 * both[0] + 0.1 * g, 0.999 * both[1] + 0.001 * g**2])
         move = 0.05 * both[0] / (1 - 0.9**step) / (np.sqrt(both[1] / (1 - 0.999**step)) + 1e-10)
         w += move[: len(w)]
         theta = np.maximum.accumulate(theta + move[len(w) :] + np.arange(k) * 1e-9)
-    return OrdinalModel({t: float(w[i]) for t, i in index.items()}, theta)
+    return OrdinalModel(dict(zip(tell, w.tolist(), strict=True)), theta)
 
 
 def score(docs: DataFrame, model: OrdinalModel, text: str = "text", least: float = 0.5) -> DataFrame:
@@ -141,11 +194,3 @@ def score(docs: DataFrame, model: OrdinalModel, text: str = "text", least: float
             yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=schema.names)
 
     return docs.mapInArrow(run, schema)
-
-
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, max_labelled: int) -> list[tuple[str, int]]:
-    """Text and label of a bounded sample; the sample is drawn from the labels before their texts are looked up."""
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    few = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label")).orderBy(key).limit(max_labelled)
-    rows = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("doc_id", "text", "label").orderBy("doc_id", "text").collect()
-    return [(r["text"] or "", int(r["label"])) for r in rows]

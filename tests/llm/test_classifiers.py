@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from arborlens.llm import langid, licences, quality, toxicity
+from pyspark.sql import functions as F
 
 LANGUAGES = {"aa": "the of and ing tion er on", "bb": "der ein ich sch und ung keit", "cc": "les que eau oi ment ère"}
 
@@ -26,36 +27,81 @@ def labelled():
     return rows
 
 
+def model_of(spark, rows, **settings):
+    """rows: id, text, grade."""
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, y int")
+    return toxicity.fit(toxicity.sample(docs, labels, F.col("y"), 10_000), **settings)
+
+
 def test_toxicity_on_held_out_rows(spark):
     rows = labelled()
-    model = toxicity.fit([(t, y) for i, t, y in rows if i % 4])
-    assert (np.diff(model.thresholds) >= 0).all() and set(model.weights) == {"vile", "rotten"}
-    df = spark.createDataFrame([*rows, (900, None, 0), (901, "", 0), (902, "VILE!", 1)], "doc_id long, text string, toxic int")
+    model = model_of(spark, [(i, t, y * (1 + (i % 10 == 0))) for i, t, y in rows if i % 4])
+    assert (np.diff(model.thresholds) >= 0).all() and len(model.thresholds) == 2 and {"vile", "rotten"} <= set(model.weights)
+    df = spark.createDataFrame([*rows, (900, None, 0), (901, "", 0), (902, "VILE!", 1), (902, "VILE!", 1), (903, "vile " + "of " * 200_000, 1)], "doc_id long, text string, toxic int")
     got = toxicity.score(df, model).collect()
     assert got[0].__fields__[-3:] == ["expected_severity", "severity_grade", "_toxic"]
-    held = [r for r in got if r.doc_id % 4 == 0 or r.doc_id >= 900]
+    held = [r for r in got if r.doc_id % 4 == 0 or 900 <= r.doc_id < 903]
     assert all(r["_toxic"] == (r.toxic > 0) for r in held)
     assert all(0 <= r.expected_severity <= 2 for r in got)
     both = {r.doc_id: r.expected_severity for r in got}
-    assert both[902] > both[901] == both[900]
+    assert both[902] > both[901] == both[900] and len(got) == len(rows) + 5
+    assert toxicity.score(df.limit(0), model).count() == 0
 
 
-def test_toxicity_of_a_language_with_few_labels():
+def test_toxicity_of_a_language_with_few_labels(spark):
     """Five toxic rows of a second language, each with another form of one stem, and unseen forms of it."""
     r = random.Random(6)
     rows = [(t, y) for _, t, y in labelled()]
     forms = [f"schlimm{x}" for x in ("er", "es", "ste", "en", "em")]
     rows += [(sentence(r, "bb", 40) + f" {forms[i]}", 1) for i in range(5)] + [(sentence(r, "bb", 40), 0) for _ in range(60)]
-    model = toxicity.fit(rows)
+    model = model_of(spark, [(i, *x) for i, x in enumerate(rows)])
     assert all(model.exceed(sentence(r, "bb", 40) + f" schlimm{x}")[0] >= 0.5 for x in ("ung", "keit", "ich"))
     assert all(model.exceed(sentence(r, "bb", 40))[0] < 0.5 for _ in range(50))
 
 
+def test_severity_of_yes_or_no_labels(spark):
+    """Grades against a count of the words that tell, in rows of which each half teaches the same ones."""
+    rows = labelled()
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, y int")
+    got = {r.doc_id: r.grade for r in toxicity.severity(toxicity.sample(docs, labels, F.col("y"), 1000)).collect()}
+    hits = {i: len({"vile", "rotten"} & set(t.split())) for i, t, y in rows if y}
+    middle = np.median(list(hits.values()))
+    assert got == {i: 1 + (hits[i] > middle) if y else 0 for i, _, y in rows}
+    assert toxicity.severity(toxicity.sample(docs, labels.limit(0), F.col("y"), 9)).count() == 0
+
+
 def test_toxicity_without_labels(spark):
-    df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
-    model = toxicity.fit([])
-    assert not toxicity.score(df, model).first()["toxic"]
-    assert toxicity.labelled_texts(df, spark.createDataFrame([(1, 1), (None, 1)], "doc_id long, toxic int"), "toxic", 5) == [("x", 1)]
+    df = spark.createDataFrame([(1, "x"), (1, "y x"), (2, None), (3, "zz")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (2, 0), (7, 1), (3, None)], "doc_id long, toxic int")
+    got = sorted(tuple(x) for x in toxicity.sample(df, labels, F.col("toxic"), 5).collect())
+    assert got[:2] == [(1, 1, "x"), (1, 1, "y")] and got[2:] == [(2, 0, None)]
+    assert not toxicity.score(df, toxicity.fit(toxicity.sample(df, labels.limit(0), F.col("toxic"), 5))).first()["toxic"]
+    assert not toxicity.score(df, toxicity.fit(toxicity.sample(df.limit(0), labels, F.col("toxic"), 5))).first()["toxic"]
+
+
+def test_likelihood_and_its_gradient():
+    """The likelihood against its definition, the gradient against differences."""
+    r = np.random.default_rng(5)
+    n, m, k = 40, 6, 3
+    x = r.random((n, m)) < 0.4
+    grades = r.integers(0, k + 1, n)
+    row, col = np.nonzero(x)
+    w, theta = r.normal(size=m), np.sort(r.normal(size=k))
+
+    def plain(w, theta):
+        edges = [-np.inf, *theta, np.inf]
+        sig = lambda v: 1 / (1 + np.exp(-v))
+        return sum(np.log(sig(edges[g + 1] - v @ w) - sig(edges[g] - v @ w)) for v, g in zip(x, grades, strict=True)) - 0.15 * (w @ w)
+
+    value, gradient = toxicity.loss(w, theta, row, col, grades, 0.3)
+    assert value == pytest.approx(plain(w, theta))
+    both = np.concatenate([w, theta])
+    for i in range(m + k):
+        step = np.zeros(m + k)
+        step[i] = 1e-6
+        up, down = both + step, both - step
+        assert gradient[i] == pytest.approx((plain(up[:m], up[m:]) - plain(down[:m], down[m:])) / 2e-6, rel=1e-4, abs=1e-5)
 
 
 def slow_bits(training, data, order):
@@ -100,8 +146,6 @@ def test_language_on_held_out_rows(spark):
     r = random.Random(2)
     rows = [(i, sentence(r, lang, r.randint(3, 60)), lang) for i, lang in enumerate(list(LANGUAGES) * 60)]
     df = spark.createDataFrame([*rows, (1000, None, "aa"), (1001, "123 !", "bb"), (1002, "", None)], "doc_id long, text string, lang string")
-    from pyspark.sql import functions as F
-
     tables = langid.PpmTables.train(langid.training_texts(df, F.col("doc_id") % 4 != 2, 3000))
     got = {x.doc_id: x for x in langid.predict(df, tables).collect()}
     assert np.mean([got[i].lang_pred == lang for i, _, lang in rows if i % 4 == 2]) > 0.97
@@ -114,8 +158,6 @@ def test_language_on_held_out_rows(spark):
 def test_a_language_of_one_long_document_is_learnt(spark):
     import hashlib
 
-    from pyspark.sql import functions as F
-
     late = [i for i in range(100, 200) if int(hashlib.md5(str(i).encode()).hexdigest()[:13], 16) / 2**52 > 0.5]
     rows = [(i, "the of and ing", "aa") for i in range(100)] + [(late[0], "der ein ich sch " * 5000, "bb")]
     got = langid.training_texts(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), 3000)
