@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from arborlens.llm import bpe, mixing, ngram_join, pii, toxicity
 from arborlens.llm.common import cut, table
-from arborlens.llm.queries import MAX_LABELLED, vocabulary
-from pyspark.sql import DataFrame, SparkSession, Window
+from arborlens.llm.queries import toxicity_model, vocabulary
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal model, fitted on the labelled ones among them, doesn't find toxic."""
-    model = toxicity.fit(toxicity.labelled_texts(docs, table(spark, sf_dir, "labels"), "toxic", MAX_LABELLED))
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).where(~F.col("toxic")).select(docs.columns)
 
 
@@ -24,8 +24,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Of documents that links join, the one of least id stays, once; documents without id stay."""
     first = ngram_join.join(docs).where("doc_id = component_id").select("doc_id").distinct()
     named = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi").select(docs.columns)
-    again = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy("doc_id"))
-    return named.withColumn("_again", again).where("_again = 1").drop("_again").unionByName(docs.where(F.col("doc_id").isNull()))
+    return named.dropDuplicates(["doc_id", "text"]).select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
