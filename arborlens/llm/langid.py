@@ -8,10 +8,13 @@ bytes. With frozen statistics a byte's code length depends on the bytes before i
 each context becomes a row of code lengths, and a text's exact code length is a sum of table
 entries. The language with the shortest code wins; equal lengths go to the first name.
 
-Statistics are gathered by Spark over a bounded training text per language (``max_bytes``,
-documents of least md5 of the id, of which the last is cut). Texts that are null or have no letter are ``und``
-with score 0, and so is everything when no language can be learnt. Bytes that training never
-showed, or that are beyond the commonest, share one symbol. Very long texts are scored whole, in pieces of bounded memory.
+Statistics are gathered by Spark over a bounded training text per language: documents of least
+md5 of the id until ``max_bytes``, the last of them cut between two code points, and
+less of each if there are so many languages that all would have over ``max_total``. No language goes,
+however few documents hold it. Texts that are null or have no letter are ``und`` with score 0, and so
+is everything when no language can be learnt. All 256 bytes count; those that a language's training
+never showed have equal code lengths in it. Very long texts are scored whole, in pieces of bounded memory.
+Repeated rows get equal results; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,61 +42,89 @@ def has_letter(text: str | None) -> bool:
 
 
 @dataclass
-class PpmTables:
-    languages: list[str]
-    symbol: np.ndarray  # byte -> symbol; 0: any byte without one
+class Language:
+    """One language's tables. A byte's symbol is its rank among those that training showed; 0 stands for
+    every other byte, which is exact: all of these have the same code length after any context."""
+
+    symbol: np.ndarray  # byte -> symbol
     size: int  # symbols
-    order: int
-    rows: list[np.ndarray]  # per language: context number -> row of its longest known suffix
-    bits: list[np.ndarray]  # per language: row x symbol -> code length in bits
+    short: np.ndarray  # context of order - 1 -> row of its longest known suffix
+    first: np.ndarray  # context of order - 1 -> its number among the known ones, from 1; 0: unknown
+    last: np.ndarray  # that number x the next symbol -> row of the longest known suffix of both
+    bits: np.ndarray  # row x symbol -> code length in bits
 
     @classmethod
-    def train(cls, texts: dict[str, bytes], order: int = 3, max_symbols: int = 127) -> PpmTables:
-        """texts: the training bytes of each language. The max_symbols commonest bytes have a symbol each, which bounds the tables."""
-        languages = sorted(texts)
-        counts = sum((np.bincount(np.frombuffer(texts[x], np.uint8), minlength=256) for x in languages), np.zeros(256, np.int64))
-        used = np.sort(np.argsort(-counts, kind="stable")[: min(max_symbols, int((counts > 0).sum()))])
+    def train(cls, data: bytes, order: int) -> Language:
+        raw = np.frombuffer(data, np.uint8)
+        used = np.unique(raw)
         symbol = np.zeros(256, np.int64)
         symbol[used] = np.arange(1, len(used) + 1)
-        made = [cls._one(symbol[np.frombuffer(texts[x], np.uint8)], len(used) + 1, order) for x in languages]
-        return cls(languages, symbol, len(used) + 1, order, [m[0] for m in made], [m[1] for m in made])
-
-    @staticmethod
-    def _one(s: np.ndarray, a: int, order: int) -> tuple[np.ndarray, np.ndarray]:
-        """Code lengths of one language. a: symbols; context k of order o is the number of its symbols in base a."""
-        p = np.full((1, a), 1 / 256)
-        rows, at = p, np.zeros(1, np.int64)  # at: context of the order at hand -> its row
+        s, a = symbol[raw], len(used) + 1
+        rows = np.full((1, a), 1 / 256)
+        # short and then longest: context of the order at hand -> row of its longest known suffix, the empty one included
+        short = np.zeros(1, np.int64)
+        first, last = np.zeros(1, np.int64), np.zeros((2, a), np.int64)
         for o in range(order + 1):
-            nxt = s[o:]
-            keys = np.zeros(len(nxt), np.int64)
+            keys, nxt = np.zeros(max(len(s) - o, 0), np.int64), s[o:]
             for k in range(o if len(nxt) else 0):
                 keys = keys * a + s[k : len(s) - o + k]
-            # the parent of a context is what is left without its first symbol
-            parent = at[np.arange(a**o) % max(a ** (o - 1), 1)] if o else at
             seen, back = np.unique(keys, return_inverse=True)
+            # the parent of a context is what is left without its first symbol
+            parent = short[seen % a ** max(o - 1, 0)]
             counts = np.zeros((len(seen), a))
             np.add.at(counts, (back, nxt), 1)
             total, distinct = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                own = np.where(counts > 0, counts / (total + distinct), distinct / (total + distinct) * rows[parent[seen]])
-            at = parent.copy()
-            at[seen] = len(rows) + np.arange(len(seen))
+            own = np.where(counts > 0, counts / np.maximum(total + distinct, 1), distinct / np.maximum(total + distinct, 1) * rows[parent])
+            at = len(rows) + np.arange(len(seen))
             rows = np.concatenate([rows, own])
-        return at.astype(np.int32), (-np.log2(rows)).astype(np.float32)
+            if o < order:
+                wide = short[np.arange(a**o) % a ** max(o - 1, 0)]
+                wide[seen] = at
+                short = wide
+            else:
+                known = np.unique(seen // a) if o else np.zeros(1, np.int64)
+                first = np.zeros(a ** max(o - 1, 0), np.int64)
+                first[known] = np.arange(1, len(known) + 1)
+                # without the whole context, the suffix of order - 1: the context's end and the next symbol
+                last = np.concatenate([np.zeros((1, a), np.int64), short[(known[:, None] * a + np.arange(a)) % a ** max(o - 1, 0)]]) if o else np.tile(at[:1] if len(at) else 0, (2, a))
+                last[first[seen // a], seen % a] = at
+        return cls(symbol, a, short.astype(np.int32), first.astype(np.int32), last.astype(np.int32), (-np.log2(rows)).astype(np.float32))
+
+    def length(self, s: np.ndarray, order: int) -> float:
+        """Code length of the symbols after the first ``order``, which are context."""
+        a, n = self.size, len(s) - order
+        head = np.zeros(n, np.int64)
+        for k in range(order - 1):
+            head = head * a + s[k : n + k]
+        end = s[order - 1 : order - 1 + n] if order else np.zeros(n, np.int64)
+        number = self.first[head]
+        row = self.last[number, end]
+        lost = np.flatnonzero(number == 0)
+        if order and len(lost):
+            row[lost] = self.short[(head[lost] * a + end[lost]) % a ** max(order - 1, 0)]
+        return float(self.bits[row, s[order:]].sum(dtype=np.float64))
+
+
+@dataclass
+class PpmTables:
+    languages: list[str]
+    order: int
+    tables: list[Language]
+
+    @classmethod
+    def train(cls, texts: dict[str, bytes], order: int = 3) -> PpmTables:
+        """texts: the training bytes of each language."""
+        languages = sorted(texts)
+        return cls(languages, order, [Language.train(texts[x], order) for x in languages])
 
     def lengths(self, data: bytes) -> np.ndarray:
         """Code length of the bytes in each language, in bits. The first ``order`` bytes are given the context of unseen bytes."""
-        total = np.zeros(len(self.languages))
-        a, o = self.size, self.order
+        total, o = np.zeros(len(self.languages)), self.order
         for start in range(0, len(data), PIECE):
-            s = self.symbol[np.frombuffer(data[max(0, start - o) : start + PIECE], np.uint8)]
-            if start < o:
-                s = np.concatenate([np.zeros(o - start, np.int64), s])
-            context = np.zeros(len(s) - o, np.int64)
-            for k in range(o):
-                context = context * a + s[k : len(s) - o + k]
-            for j, (rows, bits) in enumerate(zip(self.rows, self.bits, strict=True)):
-                total[j] += bits[rows[context], s[o:]].sum(dtype=np.float64)
+            raw = np.frombuffer(data[max(0, start - o) : start + PIECE], np.uint8)
+            for j, table in enumerate(self.tables):
+                s = table.symbol[raw]
+                total[j] += table.length(np.concatenate([np.zeros(o - start, np.int64), s]) if start < o else s, o)
         return total
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -105,18 +136,20 @@ class PpmTables:
         return self.languages[best], float(1 / np.exp2(np.clip(bits[best] - bits, -1000, 0)).sum())
 
 
-def training_texts(docs: DataFrame, keep: object, max_bytes: int) -> dict[str, bytes]:
+def training_texts(docs: DataFrame, keep: object, max_bytes: int, max_total: int = 2_000_000) -> dict[str, bytes]:
     """Of each language the documents of least md5 of the id, until max_bytes, where the last is cut; the rows are chosen by sizes before any text moves.
 
     The md5 is a number in [0, 1). Bytes are summed by its powers of two, and of each language
     the least powers that hold max_bytes are kept, or all: a language never goes, however few
-    documents hold it, and no language's rows meet in one task however many there are.
+    documents hold it, and no language's rows meet in one task however many there are. A row that
+    is chosen brings max_bytes code points at most to the driver, one row at a time.
     """
     rows = docs.select("doc_id", "lang", "text").where(keep & F.col("lang").isNotNull() & F.col("text").isNotNull())
     u = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 13), 16, 10).cast("double") / float(2**52)
     power = F.when(u > 0, F.least(F.floor(-F.log2(u)), F.lit(52))).otherwise(52).cast("int")
     # a row per language and power
     sizes = rows.groupBy("lang", power.alias("power")).agg(F.sum(F.octet_length("text")).alias("size")).collect()
+    max_bytes = max(1, min(max_bytes, max_total // max(len({r["lang"] for r in sizes}), 1)))
     least: dict[str, int] = {}
     held: dict[str, int] = {}
     for r in sorted(sizes, key=lambda r: -r["power"]):
@@ -131,9 +164,10 @@ def training_texts(docs: DataFrame, keep: object, max_bytes: int) -> dict[str, b
     left = dict.fromkeys(least, max_bytes)
     for r in chosen.orderBy("u", "doc_id", "text").toLocalIterator():
         if left[r["lang"]] > 0:
-            data = r["text"].encode("utf-8", "surrogatepass")[: left[r["lang"]]]
+            data = r["text"].encode("utf-8", "surrogatepass")
+            whole = len(data) <= left[r["lang"]]
+            texts[r["lang"]].append(data if whole else data[: left[r["lang"]]].decode("utf-8", "ignore").encode())
             left[r["lang"]] -= len(data)
-            texts[r["lang"]].append(data)
         elif not any(v > 0 for v in left.values()):
             break
     return {x: b"\n".join(t) for x, t in texts.items() if t}
@@ -143,7 +177,7 @@ def predict(docs: DataFrame, tables: PpmTables, text: str = "text") -> DataFrame
     """docs with lang_pred and score; names that clash get a leading underscore."""
     names = [fresh(docs.columns, x) for x in ("lang_pred", "score")]
     schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
-    held = docs.sparkSession.sparkContext.broadcast(tables)  # its size is bounded by max_bytes and the number of languages
+    held = docs.sparkSession.sparkContext.broadcast(tables)  # its size is bounded by max_total
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value

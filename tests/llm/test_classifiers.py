@@ -135,6 +135,30 @@ def test_ppm_code_lengths_are_exact():
     assert tables.lengths(b"")[0] == 0
 
 
+def test_all_bytes_and_orders_have_exact_code_lengths():
+    r = random.Random(8)
+    training = bytes(r.choice([r.randrange(256), 65, 66, 200]) for _ in range(3000))
+    data = bytes(r.choice([r.randrange(256), 65, 66, 200]) for _ in range(200)) + training[:100]
+    few = "日本語 и русский é".encode() * 5
+    for order in (0, 1, 2, 3):
+        tables = langid.PpmTables.train({"x": training, "y": few, "z": b""}, order=order)
+        got = tables.lengths(data)
+        assert got[0] == pytest.approx(slow_bits(training, data, order), rel=1e-4)
+        assert got[1] == pytest.approx(slow_bits(few, data, order), rel=1e-4)
+        assert got[2] == pytest.approx(8 * len(data))
+
+
+def test_many_languages_share_the_bytes(spark):
+    r = random.Random(3)
+    alphabets = {f"l{k:03}": [chr(0x400 + r.randrange(2000)) for _ in range(12)] for k in range(300)}
+    text = lambda k: "".join(r.choice(alphabets[k]) for _ in range(60))
+    df = spark.createDataFrame([(i, text(k), k) for i, k in enumerate(list(alphabets) * 2)] + [(10_000, text("l007"), "l007")] * 3, "doc_id long, text string, lang string")
+    got = langid.training_texts(df, F.lit(True), 1000, max_total=30_000)
+    assert set(got) == set(alphabets) and all(50 < len(v) <= 100 and v.decode() for v in got.values())
+    tables = langid.PpmTables.train(got)
+    assert np.mean([tables.predict(text(k))[0] == k for k in alphabets]) > 0.95
+
+
 def test_long_texts_are_scored_whole(monkeypatch):
     tables = langid.PpmTables.train({"x": b"abracadabra", "y": b"zzz"}, order=2)
     whole = tables.lengths(b"abracadabra" * 50)
