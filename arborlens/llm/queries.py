@@ -151,7 +151,7 @@ WITH s AS (
 ), m AS (
   SELECT source, CASE WHEN c = 0 THEN 1.0::DOUBLE ELSE 1.0::DOUBLE / (SELECT count(*) FROM s) * (SELECT sum(c) FROM s)::DOUBLE / c END AS mean FROM s
 ), p AS (
-  SELECT source, k, exp(-mean) * CASE WHEN k = 0 THEN 1 ELSE pow(mean, k) / gamma(k + 1) END AS p
+  SELECT source, k, exp(k * ln(mean) - mean - lgamma(k + 1)) AS p
   FROM m, LATERAL (SELECT unnest(range(0, 2 + ceil(mean + 12 * sqrt(mean) + 24)::BIGINT)) AS k)
 ), c AS (
   SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS cdf FROM p

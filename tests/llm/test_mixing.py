@@ -2,6 +2,7 @@ import hashlib
 import math
 from collections import Counter
 
+import pytest
 from arborlens.llm import mixing
 
 
@@ -61,6 +62,32 @@ def test_plan_has_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def inverse(mean, u):
+    """Least k whose cumulative probability exceeds u, each probability from its logarithm."""
+    k, c = 0, math.exp(-mean)
+    while c <= u:
+        k += 1
+        c += math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))
+    return k
+
+
+@pytest.mark.parametrize("mean", [0.1, 50.0, 700.0, 5000.0])
+def test_counts_by_mean_equal_inversion_in_logarithms(spark, mean):
+    n = 20
+    rows = [(i, "x" * 10, "s") for i in range(n)]
+    got = Counter(r.doc_id for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), {"s": 1.0}, total=mean * n * 10).collect())
+    parts = math.ceil(mean / mixing.MOST_MEAN)
+    u = lambda *key: int(hashlib.md5(":".join(map(str, key)).encode()).hexdigest()[:13], 16) / 2**52
+    want = {i: sum(inverse(mean / parts, u(17, i) if k == 0 else u("17/part", i, k)) for k in range(parts)) for i in range(n)}
+    assert got == +Counter(want)
+
+
+def test_sources_beyond_the_broadcast_list(spark, monkeypatch):
+    rows, df = table(spark)
+    monkeypatch.setattr(mixing, "MOST_BROADCAST", 3)
+    assert Counter(r.doc_id for r in mixing.mix(df).collect()) == +expected(rows)
+
+
 def test_large_means_are_drawn_too(spark):
     # exp(-mean) is 0 in double precision from 746 on
     rows = [(i, "x", "small") for i in range(60)] + [(60, "y" * 240_000, "big")]
