@@ -49,7 +49,7 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cut(simhash.sensitivity(table(spark, sf_dir, "documents")))
-    within = simhash.count_within(rows, "fp", F.col("doc_id") % 20 == 0, radius=3, extra=2)
+    within = simhash.count_within(rows, "fp", F.col("doc_id") % 20 == 0, radius=3, extra=simhash.whole_blocks(rows.count()))
     counted = rows.join(within, "fp", "left")
     return counted.select(
         "doc_id",

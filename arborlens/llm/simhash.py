@@ -9,19 +9,22 @@ that is texts of some 60 million long terms.
 
 Search: fingerprints are cut into radius + d blocks. Two within the radius agree in at least d
 blocks whole, so a table for each choice of d blocks, keyed by their bits, finds all pairs.
-More blocks make longer keys, so d is chosen by the number of fingerprints.
+More blocks make longer keys, so d follows the number of fingerprints (``whole_blocks``).
 
 Null text counts as empty; a text without terms has the fingerprint 0. Equal texts have equal
-fingerprints.
+fingerprints, repeated rows equal results. Equal ids come in order of their texts.
 """
 
 from __future__ import annotations
 
+import json
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from arborlens.llm.common import fresh
+
 BITS = 64
 BLANKS = r"[\x20\x09-\x0D]+"
 PAIR = 0x0000000100000001
@@ -79,6 +82,11 @@ def tables(radius: int, extra: int) -> list[int]:
     return [sum(c) for c in combinations(blocks, extra)]
 
 
+def whole_blocks(n: int, radius: int = 3, per_key: int = 4) -> int:
+    """The least d from 2 on whose keys of 64 d / (radius + d) bits leave at most per_key of n evenly spread fingerprints to a key."""
+    return next((d for d in range(2, 7) if n <= per_key << (BITS * d // (radius + d))), 6)
+
+
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -105,35 +113,44 @@ def count_within(docs: DataFrame, fp: str, is_query: Column, radius: int = 3, ex
     return pairs.join(sizes, "corpus_fp").groupBy(F.col("query_fp").alias(fp)).agg(F.sum("n").alias("n_within"))
 
 
-#: Buckets of ids at most, and so rows of the small table that is broadcast.
-MOST_BUCKETS = 65_536
+#: Buckets of ids at most, in groups of GROUP; so many bounds reach the driver, and rows the small table that is broadcast.
+MOST_BUCKETS, GROUP = 16_384, 128
+
+
+def bucket_of(key: Column, bounds: list[int]) -> Column:
+    """How many of the sorted bounds are up to the key: first the group of bounds, then the place in it."""
+    groups = [bounds[i : i + GROUP] for i in range(0, len(bounds), GROUP)] or [[]]
+    listed = lambda x, kind: F.from_json(F.lit(json.dumps(x)), kind)  # noqa: E731  one literal, however long
+    upto = lambda a: F.size(F.filter(a, lambda b: b <= key))
+    group = upto(listed([g[0] for g in groups[1:]], "array<bigint>"))
+    return F.get(F.transform(F.array(group), lambda g: g * GROUP + upto(F.get(listed(groups, "array<array<bigint>>"), g))), F.lit(0)).cast("long")
 
 
-def in_id_order(docs: DataFrame, id_col: str, rows_per_bucket: int = 256) -> tuple[DataFrame, Column]:
-    """docs dealt by buckets of ids, with columns _bucket and _look, and the order of rows in a bucket.
+def in_id_order(docs: DataFrame, id_col: str, bucket: str, look: str, rows_per_bucket: int = 256) -> tuple[DataFrame, list[Column]]:
+    """docs dealt by buckets of ids, with columns bucket and look, and the order of rows in a bucket.
 
-    Ids (longs) are cut into at most MOST_BUCKETS buckets of equal width, so no task sees all
-    rows. The first row by descending id of each bucket is also dealt to the bucket before it
-    (that of the highest bucket to the lowest), marked _look: so within a bucket a window finds
-    every row's next one, after the last the first. Null ids come last.
+    Ids (longs) are cut into at most MOST_BUCKETS buckets by their quantiles, so no task sees all
+    rows, however unevenly ids are spread. The first row by descending id of each bucket is also dealt to the
+    bucket before it (that of the highest bucket to the lowest), marked look: so within a bucket a
+    window finds every row's next one, after the last the first. Null ids come last; rows of
+    one id share a bucket.
     """
-    low = F.lit(-(2**63)).cast("long")
-    span = docs.agg(F.min(id_col).cast("double").alias("lo"), F.max(id_col).cast("double").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    buckets = min(MOST_BUCKETS, max(1, span["n"] // rows_per_bucket))
-    width = max(1.0, ((span["hi"] or 0) - (span["lo"] or 0) + 1) / buckets)
-    bucket = F.coalesce(F.floor((F.col(id_col) - F.lit(span["lo"] or 0.0)) / F.lit(width)).cast("long"), F.lit(-1).cast("long"))
-    put = docs.withColumn("_bucket", bucket).withColumn("_key", F.coalesce(F.col(id_col).cast("long"), low))
-    tops = put.groupBy("_bucket").agg(F.max("_key").alias("_top"))
-    down = Window.orderBy(F.col("_bucket").desc())
-    wrap = F.coalesce(F.lag("_bucket").over(down), F.min("_bucket").over(Window.partitionBy(F.lit(0))))
-    copy_to = tops.select("_top", wrap.alias("_to"))
-    # at most MOST_BUCKETS + 1 rows of two longs
-    both = put.join(F.broadcast(copy_to), F.col("_key") == F.col("_top"), "left")
-    places = F.when(F.col("_to").isNull(), F.array(F.struct(F.col("_bucket").alias("b"), F.lit(False).alias("l")))).otherwise(
-        F.array(F.struct(F.col("_bucket").alias("b"), F.lit(False).alias("l")), F.struct(F.col("_to").alias("b"), F.lit(True).alias("l")))
-    )
-    dealt = both.select(*docs.columns, "_key", F.explode(places).alias("_p")).select(*docs.columns, "_key", F.col("_p.b").alias("_bucket"), F.col("_p.l").alias("_look"))
-    return dealt, F.struct(F.col("_look"), -F.col("_key").cast("decimal(20,0)"))
+    taken = docs.columns
+    key, top, to, place = (fresh(taken, x) for x in ("_key", "_top", "_to", "_place"))
+    ids = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)).cast("long"))
+    n = min(MOST_BUCKETS, max(1, docs.count() // rows_per_bucket))
+    shares = [i / n for i in range(1, n)]
+    found = docs.agg(F.percentile_approx(ids, F.from_json(F.lit(json.dumps(shares)), "array<double>"), F.lit(10 * n)).alias("b")).first()["b"] if shares else []
+    put = docs.withColumn(key, ids).withColumn(bucket, bucket_of(F.col(key), sorted(set(found or []))))
+    tops = put.groupBy(bucket).agg(F.max(key).alias(top))
+    down = Window.orderBy(F.col(bucket).desc())  # over a row per bucket
+    wrap = F.coalesce(F.lag(bucket).over(down), F.min(bucket).over(Window.partitionBy(F.lit(0))))
+    # at most MOST_BUCKETS rows of two longs
+    both = put.join(F.broadcast(tops.select(F.col(top), wrap.alias(to))), F.col(key) == F.col(top), "left")
+    one = lambda b, x: F.struct(F.col(b).alias("b"), F.lit(x).alias("l"))
+    places = F.when(F.col(to).isNull(), F.array(one(bucket, False))).otherwise(F.array(one(bucket, False), one(to, True)))
+    dealt = both.withColumn(place, F.explode(places)).withColumn(bucket, F.col(f"{place}.b")).withColumn(look, F.col(f"{place}.l")).drop(top, to, place)
+    return dealt.select(*taken, bucket, look, key), [F.col(look), F.col(key).desc()]
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -146,11 +163,11 @@ def edited(text: Column, following: Column) -> Column:
 def sensitivity(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_chars, edited_sha256, fp and edited_fp (longs) of the text and of its edited text, next_fp of the next row by descending id.
 
-    Rows of one id are ordered by text. The texts are shuffled once.
+    Rows of one id are ordered by text. The texts are shuffled once. An empty table gives an empty result.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    dealt, place = in_id_order(rows, "doc_id")
-    w = Window.partitionBy("_bucket").orderBy(place, "text")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    dealt, place = in_id_order(rows, "doc_id", "_bucket", "_look")
+    w = Window.partitionBy("_bucket").orderBy(*place, "text")
     paired = dealt.withColumn("_next", F.lead("text").over(w)).withColumn("_n", F.row_number().over(w))
     own = paired.withColumn("_edited", F.when(~F.col("_look"), edited(F.col("text"), F.coalesce("_next", F.lit("")))))
     keyed = own.select("_bucket", "_look", "_n", "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"), "text", "_edited")

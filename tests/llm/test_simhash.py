@@ -39,6 +39,21 @@ def test_edited_text_and_neighbours_follow_the_ids(spark):
         assert (r.fp, r.edited_fp, r.next_fp) == (prints[text], prints[edited], prints[following])
 
 
+def test_buckets_follow_the_rows_not_the_ids(spark):
+    ids = [*range(3000), 2**60, 2**62, -(2**62)]
+    df = spark.createDataFrame([(i,) for i in ids] + [(None,)], "doc_id long")
+    dealt, _ = simhash.in_id_order(df, "doc_id", "b", "l", rows_per_bucket=20)
+    sizes = [r["count"] for r in dealt.where("not l").groupBy("b").count().collect()]
+    assert sum(sizes) == 3004 and max(sizes) < 80 and len(sizes) > 100
+    bounds = list(range(0, 3000, 7))
+    got = spark.createDataFrame([(i,) for i in range(-3, 3010)], "k long").select("k", simhash.bucket_of(F.col("k"), bounds).alias("b")).collect()
+    assert all(r.b == sum(x <= r.k for x in bounds) for r in got)
+
+
+def test_whole_blocks():
+    assert [simhash.whole_blocks(n) for n in (0, 100_000, 10_000_000, 10**10)] == [2, 2, 2, 3]
+
+
 def test_likeness_follows_the_edits(spark):
     rows = [x for x in corpus() if x[1] and len(x[1]) > 200]
     found = simhash.sensitivity(spark.createDataFrame(rows, "doc_id long, text string"))
