@@ -233,6 +233,7 @@ def dice(a, b):
 def test_licences_equal_brute_force(spark):
     r = random.Random(5)
     texts = [None, "", "MIT", "some prose\nReleased under the MIT License.\nmore", "LICENSED UNDER the apache license version 2.0!!", "Licensed under CC BY-NC 4.0.\n\nReleased under the MIT License."]
+    texts += ["Copyright 2020 Example Authors. This work is licensed under the GNU\nGeneral Public License, version 3. See the file COPYING for details.", "Copyright (c) 2001, Someone\n\n" + licences.TEMPLATES["BSD-3-Clause"][0].replace("\n", "\n\n"), "Copyright 2001. All rights reserved. Then some more prose."]
     flat = [(n, t) for n, ts in licences.TEMPLATES.items() for t in ts]
     for _ in range(60):
         words = r.choice(flat)[1].split()
@@ -243,7 +244,18 @@ def test_licences_equal_brute_force(spark):
     matcher = licences.LicenceMatcher(licences.TEMPLATES)
     for i, t in enumerate(texts):
         want = {n for u in matcher.units(t or "") for n, x in flat if dice(" ".join(u), x) >= 0.8}
+        words = licences.normalise(t or "")
+        for n, x in flat:
+            size, pairs = len(licences.normalise(x)), licences.grams(licences.normalise(x))
+            for k in range(len(words) - 1):
+                if (words[k], words[k + 1]) in pairs and size <= len(words):
+                    start = min(k, len(words) - size)
+                    want |= {n} if dice(" ".join(words[start : start + size]), x) >= 0.8 else set()
         assert set(got[i].license_ids) == want
         assert (got[i].license_id in want) if want else got[i].license_id is None
     assert got[3].license_id == "MIT" and not got[3].restrictive
+    assert got[6].license_id == "GPL-3.0" and got[6].restrictive and got[7].license_id == "BSD-3-Clause" and got[8].license_ids == ["LicenseRef-All-Rights-Reserved"]
+    assert licences.scan(spark.createDataFrame([], "doc_id long, dice int, text string")).columns[:4] == ["doc_id", "dice", "text", "license_id"]
+    twice = licences.scan(spark.createDataFrame([(1, "x " * 100_000 + texts[6])] * 2, "doc_id long, text string")).collect()
+    assert twice[0] == twice[1] and twice[0].license_id == "GPL-3.0"
     assert got[5].license_ids == ["CC-BY-NC-4.0", "MIT"] and got[5].restrictive
