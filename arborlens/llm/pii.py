@@ -173,13 +173,16 @@ def instances(found: DataFrame, text: str) -> DataFrame:
     )
 
 
-def _hot(graph: DataFrame, key: str, rows: int) -> DataFrame:
-    """The keys of more than one in HOT of the rows."""
-    return cut_small(graph.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(1000, rows / HOT)).select(key))
+def _hot(graph: DataFrame, key: str, rows: int) -> DataFrame | None:
+    """The keys of more than one in HOT of the rows, if any."""
+    hot = cut_small(graph.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(1000, rows / HOT)).select(key))
+    return None if hot.isEmpty() else hot
 
 
-def _lookup(big: DataFrame, small: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def _lookup(big: DataFrame, small: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
     """big joined with small's one row of each key; the rows of hot keys (HOT at most) stay where they are."""
+    if hot is None:
+        return big.join(small, key)
     marked = big.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
     few = F.broadcast(small.join(F.broadcast(hot), key, "left_semi"))
     return marked.where("_hot is null").drop("_hot").join(small, key).unionByName(marked.where("_hot").drop("_hot").join(few, key))
