@@ -30,7 +30,7 @@ def vocabulary() -> str:
 
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.OrdinalModel:
     """The labels only say toxic or not, so the toxic ones are graded by toxicity.severity."""
-    return toxicity.fit(toxicity.severity(toxicity.sample(docs, labels, F.when(F.col("toxic") > 0, 1).when(F.col("toxic").isNotNull(), 0), MAX_LABELLED)))
+    return toxicity.fit(toxicity.sample(docs, labels, F.when(F.col("toxic") > 0, 1).when(F.col("toxic").isNotNull(), 0), MAX_LABELLED), yes_no=True)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

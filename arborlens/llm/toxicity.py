@@ -92,49 +92,64 @@ def _beginnings() -> Column:
     return F.transform(F.filter(F.array(*map(F.lit, STEMS)), lambda n: n <= F.char_length("term")), lambda n: F.concat(F.substring(F.col("term"), F.lit(1), n), F.lit("-")))
 
 
-def telling_terms(rows: DataFrame, max_terms: int, false_share: float = 0.05) -> dict[str, bool]:
-    """Terms that a grade over 0 depends on by the likelihood-ratio test, and whether they speak for it or against it.
+@dataclass
+class Counted:
+    """How often terms occur in toxic (a) and other (b) ids of either half of the sample, and how many of these ids there are."""
 
-    The least G squared is not fixed: of all terms tried, as many are kept as leave a share of
-    false_share of false ones among the kept (Benjamini and Hochberg), max_terms at most. A
-    beginning of words that only one word or one longer beginning has is that one, and not tried.
-    """
-    bad = F.col("grade") > 0
-    n1, n0 = rows.groupBy("doc_id").agg(F.max("grade").alias("grade")).agg(F.count_if(bad), F.count_if(~bad)).first()
-    counts = rows.where("term is not null").groupBy("term").agg(F.count_if(bad).alias("a"), F.count_if(~bad).alias("b"))
+    terms: DataFrame  # term, a0, b0, a1, b1
+    ids: dict[str, int]
+
+
+def _half() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(2))
+
+
+def count_terms(rows: DataFrame) -> Counted:
+    """rows: see sample. A beginning of words that only one word or one longer beginning has is that one, and left out."""
+    split = [F.count_if((F.col("grade") > 0 if x == "a" else F.col("grade") <= 0) & (_half() == h)).alias(f"{x}{h}") for h in (0, 1) for x in "ab"]
+    ids = rows.groupBy("doc_id").agg(F.max("grade").alias("grade")).agg(*split).first().asDict()
+    counts = rows.where("term is not null").groupBy("term").agg(*split)
     stem = F.col("term").endswith("-")
     forms = cut_small(counts.where(~stem).select(F.explode(_beginnings()).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("k")))
-    shorter = forms.select(F.concat(F.expr("substring(term, 1, length(term) - 2)"), F.lit("-")).alias("term"), F.col("k").alias("k2"))
-    same = forms.join(shorter, "term").where("k = k2").select("term").distinct()
-    beginnings = forms.where("k > 1").select("term").join(same, "term", "left_anti")
-    tried = cut_small(counts.where(~stem).unionByName(counts.where(stem).join(beginnings, "term", "left_semi")))
-    a, b, n = F.col("a"), F.col("b"), n1 + n0
+    longer = forms.select(F.concat(F.expr("substring(term, 1, length(term) - 2)"), F.lit("-")).alias("term"), F.col("k").alias("k2")).groupBy("term").agg(F.max("k2").alias("k2"))
+    beginnings = forms.join(longer, "term", "left").where("k > 1 and k > coalesce(k2, 0)").select("term")
+    return Counted(cut_small(counts.where(~stem).unionByName(counts.where(stem).join(beginnings, "term", "left_semi"))), ids)
+
+
+def telling_terms(counted: Counted, max_terms: int, halves: tuple[int, ...] = (0, 1), false_share: float = 0.05) -> dict[str, bool]:
+    """Terms that a grade over 0 depends on by the likelihood-ratio test over the halves, and whether they speak for it or against it.
+
+    The least G squared is not fixed: of all terms tried, as many are kept as leave a share of
+    false_share of false ones among the kept (Benjamini and Hochberg), max_terms at most.
+    """
+    a, b = (sum((F.col(f"{x}{h}") for h in halves), F.lit(0)) for x in "ab")
+    n1, n0 = (sum(counted.ids[f"{x}{h}"] for h in halves) for x in "ab")
+    if not n1 or not n0:
+        return {}
+    n = n1 + n0
     cell = lambda c, one, other: F.when(c > 0, c * F.log(c * F.lit(float(n)) / (F.lit(float(one)) * other))).otherwise(0.0)
     g2 = 2 * (cell(a, n1, a + b) + cell(b, n0, a + b) + cell(n1 - a, n1, n - a - b) + cell(n0 - b, n0, n - a - b))
+    tried = counted.terms.where(a + b > 0)
     many = tried.count()
-    best = tried.select("term", F.round(g2, 9).alias("g2"), (a * F.lit(n0) > b * F.lit(n1)).alias("for")).orderBy(F.desc("g2"), "term").limit(max_terms).collect() if n1 and n0 else []
+    best = tried.select("term", F.round(g2, 9).alias("g2"), (a * F.lit(n0) > b * F.lit(n1)).alias("for")).orderBy(F.desc("g2"), "term").limit(max_terms).collect()
     # the chance of a G squared or more, of one degree of freedom
     kept = [k for k, r in enumerate(best, 1) if math.erfc(math.sqrt(max(r["g2"], 0) / 2)) * many <= false_share * k]
     return {r["term"]: r["for"] for r in best[: max(kept, default=0)]}
 
 
-def severity(rows: DataFrame, max_terms: int = 4096) -> DataFrame:
+def severity(rows: DataFrame, counted: Counted, max_terms: int = 4096) -> DataFrame:
     """rows of yes/no grades as rows of the grades 0, 1 and 2: of the toxic ids, those with more different telling words than the middle one are 2.
 
     The words that tell are chosen on the other half of the ids, so no id's grade rests on its own label.
     """
-    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    tell = [(t, h) for h in (0, 1) for t, speaks_for in telling_terms(counted, max_terms, (1 - h,)).items() if speaks_for]
     toxic = rows.where("grade > 0")
-    words = toxic.where(~F.col("term").endswith("-")).select("doc_id", "term", F.explode(F.concat(F.array("term"), _beginnings())).alias("f"))
-    counts = []
-    for h in (0, 1):
-        tell = [(t,) for t, speaks_for in telling_terms(rows.where(half != h), max_terms).items() if speaks_for]
-        hits = words.where(half == h).join(F.broadcast(rows.sparkSession.createDataFrame(tell, "f string")), "f").groupBy("doc_id").agg(F.count_distinct("term").alias("hits"))
-        counts.append(toxic.where(half == h).select("doc_id").distinct().join(hits, "doc_id", "left").fillna(0, "hits"))
-    every = cut_small(counts[0].unionByName(counts[1]))
+    words = toxic.where(~F.col("term").endswith("-")).select("doc_id", _half().alias("h"), "term", F.explode(F.concat(F.array("term"), _beginnings())).alias("f"))
+    hits = words.join(F.broadcast(rows.sparkSession.createDataFrame(tell, "f string, h long")), ["f", "h"]).groupBy("doc_id").agg(F.count_distinct("term").alias("hits"))
+    every = cut_small(toxic.select("doc_id").distinct().join(hits, "doc_id", "left").fillna(0, "hits"))
     middle = every.agg(F.percentile("hits", 0.5)).first()[0] or 0
     more = every.where(F.col("hits") > middle).select("doc_id", F.lit(2).alias("more"))
-    return cut_small(rows.join(more, "doc_id", "left").withColumn("grade", F.coalesce("more", F.least("grade", F.lit(1)))).drop("more"))
+    return rows.join(F.broadcast(more), "doc_id", "left").withColumn("grade", F.coalesce("more", F.least("grade", F.lit(1)))).drop("more")  # max_labelled ids at most
 
 
 def loss(w: np.ndarray, theta: np.ndarray, row: np.ndarray, col: np.ndarray, grades: np.ndarray, l2: float) -> tuple[float, np.ndarray]:
@@ -151,19 +166,21 @@ def loss(w: np.ndarray, theta: np.ndarray, row: np.ndarray, col: np.ndarray, gra
     return float(np.log(p).sum() - l2 / 2 * (w**2).sum()), np.concatenate([by_w, by_theta])
 
 
-def fit(rows: DataFrame, max_terms: int = 4096, l2: float = 0.02, steps: int = 1500, both_ways: bool = False) -> OrdinalModel:
-    """Maximum likelihood with a ridge penalty, by gradient ascent with running means of gradients and of their squares (Adam). rows: see sample.
+def fit(rows: DataFrame, max_terms: int = 4096, l2: float = 0.02, steps: int = 1500, both_ways: bool = False, yes_no: bool = False) -> OrdinalModel:
+    """Maximum likelihood with a ridge penalty, by gradient ascent with running means of gradients and of their squares (Adam). rows: see sample; yes_no: their grades are, and severity is to refine them.
 
     Terms that speak against a grade are left out unless both_ways: most are common words of a
     language with few toxic labels, and would let its toxic texts pass.
     """
-    tell = [t for t, speaks_for in telling_terms(rows, max_terms).items() if speaks_for or both_ways]
+    counted = count_terms(rows)
+    tell = [t for t, speaks_for in telling_terms(counted, max_terms).items() if speaks_for or both_ways]
     if not tell:
         return OrdinalModel({}, np.array([50.0]))
     spark = rows.sparkSession
     index = spark.createDataFrame(list(enumerate(tell)), "i int, term string")
     # an id of at most max_terms numbers, and max_labelled ids
-    held = rows.join(F.broadcast(index), "term", "left").groupBy("doc_id").agg(F.max("grade").alias("grade"), F.sort_array(F.collect_set("i")).alias("at")).orderBy("doc_id").collect()
+    graded = severity(rows, counted, max_terms) if yes_no else rows
+    held = graded.join(F.broadcast(index), "term", "left").groupBy("doc_id").agg(F.max("grade").alias("grade"), F.sort_array(F.collect_set("i")).alias("at")).orderBy("doc_id").collect()
     grades = np.unique([r["grade"] for r in held], return_inverse=True)[1]
     k = int(grades.max())
     row, col = np.repeat(np.arange(len(held)), [len(r["at"]) for r in held]), np.array([i for r in held for i in r["at"]], int)

@@ -64,11 +64,12 @@ def test_severity_of_yes_or_no_labels(spark):
     """Grades against a count of the words that tell, in rows of which each half teaches the same ones."""
     rows = labelled()
     docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, y int")
-    got = {r.doc_id: r.grade for r in toxicity.severity(toxicity.sample(docs, labels, F.col("y"), 1000)).collect()}
+    rows_of = lambda y: toxicity.sample(docs, y, F.col("y"), 1000)
+    got = {r.doc_id: r.grade for r in toxicity.severity(rows_of(labels), toxicity.count_terms(rows_of(labels))).collect()}
     hits = {i: len({"vile", "rotten"} & set(t.split())) for i, t, y in rows if y}
     middle = np.median(list(hits.values()))
     assert got == {i: 1 + (hits[i] > middle) if y else 0 for i, _, y in rows}
-    assert toxicity.severity(toxicity.sample(docs, labels.limit(0), F.col("y"), 9)).count() == 0
+    assert toxicity.severity(rows_of(labels.limit(0)), toxicity.count_terms(rows_of(labels.limit(0)))).count() == 0
 
 
 def test_toxicity_without_labels(spark):
