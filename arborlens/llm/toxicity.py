@@ -34,7 +34,7 @@ from arborlens.llm.common import cut_small, fresh, in_chunks
 WORD = re.compile(r"[^\W\d_]+").findall
 #: Letters of the beginnings of words that are terms beside the words.
 STEMS = range(3, 9)
-#: Words whose terms a scoring task remembers.
+#: Runs of letters and signs whose terms a scoring task remembers.
 REMEMBERED = 200_000
 
 
@@ -57,13 +57,17 @@ class OrdinalModel:
     def found(self, text: str | None) -> set[str]:
         """The terms of the model that the text has."""
         out: set[str] = set()
-        for word in set(terms(text)):
-            have = self.known.get(word)
+        # no word goes over white space, so runs between it are looked up whole
+        for run in set((text or "").lower().split()):
+            have = self.known.get(run)
             if have is None:
+                have = tuple({t for word in WORD(run) for t in features(word) if t in self.weights})
                 if len(self.known) >= REMEMBERED:
                     self.known.clear()
-                have = self.known[word] = tuple(t for t in features(word) if t in self.weights)
-            out.update(have)
+                if len(run) <= 100:
+                    self.known[run] = have
+            if have:
+                out.update(have)
         return out
 
     def exceed(self, text: str | None) -> np.ndarray:

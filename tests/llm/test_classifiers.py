@@ -260,3 +260,12 @@ def test_licences_equal_brute_force(spark):
     twice = licences.scan(spark.createDataFrame([(1, "x " * 100_000 + texts[6])] * 2, "doc_id long, text string")).collect()
     assert twice[0] == twice[1] and twice[0].license_id == "GPL-3.0"
     assert got[5].license_ids == ["CC-BY-NC-4.0", "MIT"] and got[5].restrictive
+
+
+def test_terms_found_are_those_of_the_text():
+    r = random.Random(12)
+    texts = ["", "Vile! rotten-vile ÉTÉ\x1cété x1y", "a" * 500 + " Vile"] + ["".join(r.choice("aV1_-. \n é") for _ in range(60)) for _ in range(200)]
+    every = {f for t in texts for w in toxicity.terms(t) for f in toxicity.features(w)}
+    model = toxicity.OrdinalModel(dict.fromkeys(sorted(every)[::2], 1.0), np.array([0.0]))
+    for t in texts * 2:
+        assert model.found(t) == {f for w in toxicity.terms(t) for f in toxicity.features(w)} & model.weights.keys()
