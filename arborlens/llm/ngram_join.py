@@ -188,7 +188,7 @@ def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _bloom(ids: DataFrame) -> np.ndarray:
-    """A filter of the ids (column id) of at most MOST_BLOOM_BITS: larger sets of ids let more others through, which a join drops."""
+    """A filter of the ids (column id) of at most MOST_BLOOM_BITS: larger sets of ids let more others through, which a join drops. Twice its size reaches the driver."""
     n = ids.count()
     size = min(MOST_BLOOM_BITS, 1 << max(10, int(16 * n).bit_length()))
 
@@ -198,11 +198,11 @@ def _bloom(ids: DataFrame) -> np.ndarray:
             for p in _places(batch.column(0).to_numpy(), size):
                 np.bitwise_or.at(words, p >> 5, np.uint32(1) << (p & 31).astype(np.uint32))
         at = np.flatnonzero(words)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at].astype(np.int64))], names=["w", "v"])
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(words[at].view(np.int32))], names=["w", "v"])
 
-    rows = ids.select("id").mapInArrow(run, "w long, v long").groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
+    rows = ids.select("id").mapInArrow(run, "w int, v int").groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
     bits = np.zeros(size // 32, np.uint32)
-    bits[rows.column("w").to_numpy()] = rows.column("v").to_numpy().astype(np.uint32)
+    bits[rows.column("w").to_numpy()] = rows.column("v").to_numpy().view(np.uint32)
     return bits
 
 
