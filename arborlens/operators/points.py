@@ -61,6 +61,51 @@ def rotate_z(df: DataFrame, degrees: float) -> DataFrame:
     return affine(df, [[c, -s, 0, 0], [s, c, 0, 0], [0, 0, 1, 0]])
 
 
+def rotate(df: DataFrame, axis: tuple[float, float, float], degrees: float) -> DataFrame:
+    """Turns a cloud about an axis through 0."""
+    x, y, z = np.array(axis, float) / np.linalg.norm(axis)
+    k = np.array([[0, -z, y], [z, 0, -x], [-y, x, 0]])
+    turn = np.eye(4)
+    turn[:3, :3] = np.eye(3) + np.sin(np.radians(degrees)) * k + (1 - np.cos(np.radians(degrees))) * k @ k
+    return affine(df, turn.tolist())
+
+
+def combine(clouds: list[DataFrame], cell: float, order: Column) -> DataFrame:
+    """One cloud from several: of each voxel the points of the cloud whose least ``order`` (a column of the points) there is least; equal ones go to the cloud listed first."""
+    marked = [c.withColumn("_cloud", F.lit(i)) for i, c in enumerate(clouds)]
+    every = marked[0]
+    for c in marked[1:]:
+        every = every.unionByName(c)
+    keys = [f"_v{i}" for i in range(len(XYZ))]
+    at = every.select("*", *[cell_of(a, cell).alias(k) for a, k in zip(XYZ, keys, strict=True)])
+    first = at.groupBy(*keys).agg(F.min(F.struct(order.alias("o"), F.col("_cloud").alias("c"))).getField("c").alias("_cloud"))
+    return at.join(first, [*keys, "_cloud"], "left_semi").select(clouds[0].columns)
+
+
+def difference(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
+    """Voxels that either cloud occupies: points of each, and whether the voxel is common, only in the first, or only in the second."""
+    keys = [cell_of(x, cell).alias(f"v{x}") for x in XYZ]
+    count = lambda df, n: df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
+    both = count(a, "n_first").join(count(b, "n_second"), [f"v{x}" for x in XYZ], "full")
+    filled = both.fillna(0, ["n_first", "n_second"])
+    return filled.withColumn("state", F.when(F.col("n_second") == 0, "removed").when(F.col("n_first") == 0, "added").otherwise("common"))
+
+
+def colour_by(df: DataFrame, column: str, low: tuple[int, int, int] = (0, 0, 255), high: tuple[int, int, int] = (255, 0, 0)) -> DataFrame:
+    """r, g, b on the line from low to high by the column's place between its least and greatest value (all low where these are equal); null where it is null. The bounds are one row."""
+    bounds = df.agg(F.min(column).cast("double").alias("_lo"), F.max(column).cast("double").alias("_hi"))
+    place = F.when(F.col(column).isNotNull(), F.when(F.col("_hi") > F.col("_lo"), (F.col(column) - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))).otherwise(0.0))
+    out = df.join(F.broadcast(bounds))
+    shades = {c: F.floor(F.lit(a) + place * F.lit(b - a) + F.lit(0.5)).cast("int") for c, a, b in zip("rgb", low, high, strict=True)}
+    return out.withColumns(shades).drop("_lo", "_hi")
+
+
+def prune(df: DataFrame, least_height: float, segment: str = "segment_id") -> DataFrame:
+    """Points of trees that are at least so high, from their lowest point to their highest."""
+    tall = segment_info(df, segment).where(F.col("height") >= least_height).select(segment)
+    return df.join(tall, segment, "left_semi").select(df.columns)
+
+
 def ferry(df: DataFrame, source: str = "x", target: str = "gps_time") -> DataFrame:
     return df.withColumn(target, F.col(source))
 
@@ -151,16 +196,29 @@ def ray_ends(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.drop("sx", "sy", "sz"), df.select(F.col("gps_time").alias("time"), *[F.col(f"s{a}").alias(a) for a in XYZ])
 
 
-def as_of(left: DataFrame, right: DataFrame, left_time: str, right_time: str, columns: list[str], by: list[str], bucket: Column | None = None) -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, left_time: str, right_time: str, columns: list[str], by: list[str], width: float | None = None) -> DataFrame:
     """left with the columns of the right row of equal ``by`` whose time is the latest up to its own.
 
     One sort of both sides together: the last value seen is carried along. Right rows come before
     left rows of the same time; several of one time count as their last in order of the columns.
+    ``width`` cuts time (a number) into spans, each a task's work, for a trajectory without keys or with few of
+    them: the last right row of each span is handed on through a table of a row per span.
     """
-    a = left.select("*", F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(right.select(F.struct(*columns)).schema[0].dataType).alias("_v"))
-    b = right.select(*[F.col(c) if c in by else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns], F.col(right_time).alias("_t"), F.lit(0).alias("_side"), F.struct(*columns).alias("_v"))
-    w = Window.partitionBy(*by).orderBy("_t", "_side", "_v").rowsBetween(Window.unboundedPreceding, 0)
-    out = a.unionByName(b).withColumn("_last", F.last("_v", ignorenulls=True).over(w)).where("_side = 1")
+    value = right.select(F.struct(*columns)).schema[0].dataType
+    span = lambda t: F.floor(F.col(t).cast("double") / F.lit(float(width))).cast("bigint") if width else F.lit(0).cast("bigint")
+    a = left.select("*", F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(value).alias("_v"), span(left_time).alias("_span"))
+    empty = [F.col(c) if c in by else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns]
+    b = right.select(*empty, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), F.struct(*columns).alias("_v"), span(right_time).alias("_span"))
+    both = a.unionByName(b)
+    if width:
+        lasts = both.groupBy(*by, "_span").agg(F.max(F.when(F.col("_side") == 0, F.struct("_t", "_v"))).alias("_m"))
+        before = F.last(F.col("_m._v"), ignorenulls=True).over(Window.partitionBy(*by).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1))  # over a row per span
+        handed = lasts.select(*by, "_span", before.alias("_v")).where("_v is not null")
+        none = [F.col(c) if c in by else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns]
+        both = both.unionByName(handed.select(*none, F.lit(None).cast(a.schema["_t"].dataType).alias("_t"), F.lit(0).alias("_side"), "_v", "_span"))
+    # what is handed on has no time, and nulls come first
+    w = Window.partitionBy(*by, "_span").orderBy("_t", "_side", "_v").rowsBetween(Window.unboundedPreceding, 0)
+    out = both.withColumn("_last", F.last("_v", ignorenulls=True).over(w)).where("_side = 1")
     return out.select(*left.columns, *[F.col(f"_last.{c}").alias(c if c not in left.columns else f"{c}_right") for c in columns])
 
 

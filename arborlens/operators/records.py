@@ -17,7 +17,10 @@ def saved(df: DataFrame) -> DataFrame:
     """df from the checkpoint folder (the cluster's, if it names one): rows and partitions stay as they are however often they are read."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="arborlens-checkpoint-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("on a cluster, spark.checkpoint.dir must name a shared folder")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="arborlens-checkpoint-"))
     return df.checkpoint(eager=True)
 
 
@@ -59,9 +62,15 @@ def last_record(df: DataFrame, key: str, date: str, status: str, columns: list[s
 
 
 def mark_duplicates(df: DataFrame, keys: list[Column], name: str = "duplicate", only: Column | None = None) -> DataFrame:
-    """Flags all rows whose keys occur more than once; null keys are equal. Rows where ``only`` isn't true are never flagged."""
-    flag = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
-    return df.withColumn(name, flag if only is None else flag & F.coalesce(only, F.lit(False)))
+    """Flags all rows whose keys occur more than once; null keys are equal. Rows where ``only``, which the keys must decide, isn't true are never flagged.
+
+    Keys are counted by partial sums and joined back, so a key that many rows have is one row, and
+    a join that Spark can split.
+    """
+    names = [f"_key{i}" for i in range(len(keys))]
+    held = df.withColumns({n: F.when(F.lit(True) if only is None else F.coalesce(only, F.lit(False)), F.struct(k.alias("k"))) for n, k in zip(names, keys, strict=True)})
+    twice = held.where(" and ".join(f"{n} is not null" for n in names)).groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").withColumn("_hit", F.lit(True)).drop("_n")
+    return held.join(twice, names, "left").withColumn(name, F.coalesce("_hit", F.lit(False))).select(*df.columns, name)
 
 
 def device_offsets(df: DataFrame, device: str, fid: str) -> DataFrame:

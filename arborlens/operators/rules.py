@@ -27,8 +27,13 @@ class Rule:
     table: str = "standing"
 
 
-def _copies(*keys: Column) -> Column:
-    return F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
+def _copies(*keys: Column, only: Column | None = None) -> Column:
+    """Whether the keys occur more than once; ``only``: among rows for which that is true, which the keys must decide. The others are spread over all tasks, so that unset keys are no hot key."""
+    if only is None:
+        return F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
+    held = F.coalesce(only, F.lit(False))
+    spread = F.when(~held, F.rand(7))
+    return held & (F.count(F.lit(1)).over(Window.partitionBy(*keys, spread)) > 1)
 
 
 def _absent(name: str) -> Column:
@@ -45,7 +50,7 @@ RULES = [
     Rule("002_duplicitni_geometrie_bodu", ("duplicated_xy",), lambda c: C("duplicated_xy")),
     Rule("401_chybne_strom_id", ("tree_id",), lambda c: ~six_digits(C("tree_id").cast("bigint")), table="lying"),
     Rule("402_lezici_duplicita_STROM_ID-KMEN_ID-KUS_ID", ("tree_id", "stem_id", "piece_id"), lambda c: _copies(C("tree_id"), C("stem_id"), F.upper("piece_id")), table="lying"),
-    Rule("403_stojici_duplicita_STROM_ID-KMEN_ID", ("tree_id", "stem_id"), lambda c: _copies(C("tree_id"), C("stem_id")) & C("tree_id").isNotNull()),
+    Rule("403_stojici_duplicita_STROM_ID-KMEN_ID", ("tree_id", "stem_id"), lambda c: _copies(C("tree_id"), C("stem_id"), only=C("tree_id").isNotNull())),
     Rule("203_zmena_dreviny", ("species", "species_o"), lambda c: C("species") != C("species_o")),
     Rule("308_Strom_obzivl", ("status", "status_old"), lambda c: C("status").isin(*ALIVE) & C("status_old").isin(*DEAD)),
     Rule("310_Chyba_v_cetnosti_kmene_nebo_KMEN_ID", ("multi_stem", "stem_id"), lambda c: (C("multi_stem") == "SGL") & (C("stem_id") > 1)),
@@ -56,7 +61,7 @@ RULES = [
     # one site's tag rules
     Rule("606_TAG_mimo_rozsah_povolených_hodnot", ("tag",), lambda c: ~between_any(C("tag"), c.tag_ranges), group="site_tags"),
     Rule("607_Zivy_strom_bez_stitku", ("tag", "status"), lambda c: C("tag").isNull() & isin_two_valued(C("status"), ALIVE), group="site_tags"),
-    Rule("608_Duplicitni_TAG", ("tag",), lambda c: _copies(C("tag")) & C("tag").isNotNull(), group="site_tags"),
+    Rule("608_Duplicitni_TAG", ("tag",), lambda c: _copies(C("tag"), only=C("tag").isNotNull()), group="site_tags"),
     # the alternative tag module
     Rule("601_cislo_stitku_mimo_povoleny_rozsah", ("tag",), lambda c: ~between_any(C("tag"), c.tag_ranges), group="tags"),
     Rule("602_umrel_nepripustny_TAG_STAV_nebo_spatne_STATUS", ("status", "status_old", "tag_status"), lambda c: C("status_old").isin(*ALIVE) & C("status").isin(*DEAD) & ~isin_two_valued(C("tag_status"), (300, 400)), group="tags"),
@@ -64,7 +69,7 @@ RULES = [
     Rule("604_Chyba_TAG_STAV_rekrut_nesmi_mit_stare_DBH", ("tag_status", "dbh_old"), lambda c: (C("tag_status") == 200) & C("dbh_old").isNotNull() & (C("dbh_old") != 0), group="tags"),
     Rule("605_Chyba_TAG_STAV_neni_opozdene_zameren_ma_stare_DBH", ("tag_status", "dbh_old"), lambda c: C("dbh_old").isNotNull() & (C("dbh_old") != 0) & isin_two_valued(C("tag_status"), (700, 800)), group="tags"),
     Rule("606_Chyba_TAG_mimo_rozsah_povolených_hodnot", ("tag_known",), lambda c: ~C("tag_known"), group="tags"),
-    Rule("607_Chyba_duplicitni_TAG", ("tag_prefix", "tag", "stem_id"), lambda c: _copies(C("tag_prefix"), C("tag"), C("stem_id")) & (F.concat_ws("-", _tag_key(), F.coalesce(C("stem_id").cast("string"), F.lit("NA"))) != "13-NA-1"), group="tags"),
+    Rule("607_Chyba_duplicitni_TAG", ("tag_prefix", "tag", "stem_id"), lambda c: _copies(C("tag_prefix"), C("tag"), C("stem_id"), only=F.concat_ws("-", _tag_key(), F.coalesce(C("stem_id").cast("string"), F.lit("NA"))) != "13-NA-1"), group="tags"),
     Rule("606_Chyba_TAG_CISLO_se_lisi_od_TAG_KOMPLET_over_v_lese", ("tag", "tag_complete"), lambda c: ~C("tag_complete").endswith(C("tag").cast("string")), group="tag_suffix"),
     # off by default
     Rule("001_bod_za_hranici_plochy", ("outside_boundary",), lambda c: C("outside_boundary"), group="boundary"),

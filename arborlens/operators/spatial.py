@@ -108,6 +108,3 @@ def smooth(df: DataFrame, axes: list[str], cell: float, key: str = "seq") -> Dat
     joined = at.join(means, names)
     return joined.select(*[F.col(f"_m{axes.index(c)}").alias(c) if c in axes else F.col(c) for c in df.columns])
 
-
-def rank_by_distance(df: DataFrame, group: str, distance: str, name: str = "rank") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(distance)))

@@ -13,7 +13,7 @@ from arborlens.config import Census
 from arborlens.functions import errors, geometry
 from arborlens.functions.text import base_name, between_any, normal_name, six_digits
 from arborlens.operators import authors, points, records, reports, spatial
-from arborlens.operators.rules import Rule, clear_verified, evaluate
+from arborlens.operators.rules import RULES, clear_verified, evaluate, with_tag_known
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -220,8 +220,6 @@ def verified_clear(spark, d):
 
 def _one_rule(number: str):
     def run(spark, d):
-        from arborlens.operators.rules import RULES
-
         rule = [r for r in RULES if r.code.startswith(number) and r.group == "core"]
         checked, _ = evaluate(_census(spark, d), Census(), rules=rule)
         return checked.select("fid", F.get("error_codes", F.lit(0)).alias("code"))
@@ -285,8 +283,6 @@ _TAG_RULES = {
 @query(f"{_CENSUS_SQL}, g AS (SELECT *, (fid % 9 * 100)::INT AS tag_status FROM r) SELECT fid, concat_ws(' ', {', '.join(_TAG_RULES.values())}) AS error FROM g")
 def tag_status_rules(spark, d):
     t = _census(spark, d).withColumn("tag_status", (F.col("fid") % 9 * 100).cast("int"))
-    from arborlens.operators.rules import RULES
-
     checked, _ = evaluate(t, Census(profile=("tags",)), rules=[r for r in RULES if r.code[:3] in _TAG_RULES])
     return checked.select("fid", errors.render(F.col("error_codes")).alias("error"))
 
@@ -294,8 +290,6 @@ def tag_status_rules(spark, d):
 @query("""SELECT p_partkey, NOT (k.q IS NOT NULL OR (p_partkey % 20 = 13 AND nullif(p_size, 7) IS NULL)) AS wrong FROM part
 LEFT JOIN (SELECT DISTINCT 13 AS q, s_suppkey AS t FROM supplier WHERE s_suppkey % 2 = 0) k ON p_partkey % 20 = k.q AND nullif(p_size, 7) = k.t""")
 def tag_table(spark, d):
-    from arborlens.operators.rules import with_tag_known
-
     p = read(spark, d, "part").select("p_partkey", (F.col("p_partkey") % 20).alias("tag_prefix"), F.nullif("p_size", F.lit(7)).alias("tag"))
     known = read(spark, d, "supplier").select(F.when(F.col("s_suppkey") % 2 == 0, 13).otherwise(14).alias("QuadratID"), F.col("s_suppkey").alias("TagID"))
     return with_tag_known(p, known).select("p_partkey", (~F.col("tag_known")).alias("wrong"))
@@ -341,6 +335,55 @@ def stump_rules(spark, d):
     return checked.select("fid", errors.render(F.col("error_codes")).alias("error"))
 
 
+def _error(checked):
+    return errors.render(F.col("error_codes")).alias("error")
+
+
+_LYING = """WITH t AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 7 <> 0 THEN l_orderkey * 97 END AS tree_id, (l_linenumber % 2)::INT AS stem_id, CASE WHEN l_linenumber % 3 = 0 THEN lower(l_linestatus) ELSE l_linestatus END AS piece_id FROM lineitem)"""
+
+
+@query(f"""{_LYING} SELECT l_orderkey, l_linenumber, concat_ws(' ', CASE WHEN tree_id IS NULL OR NOT regexp_full_match(tree_id::VARCHAR, '[0-9]{{6}}') THEN '401_chybne_strom_id' END,
+CASE WHEN count(*) OVER (PARTITION BY tree_id, stem_id, upper(piece_id)) > 1 THEN '402_lezici_duplicita_STROM_ID-KMEN_ID-KUS_ID' END) AS error FROM t""")
+def lying_rules(spark, d):
+    line, order = F.col("l_linenumber"), F.col("l_orderkey")
+    t = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.when(order % 7 != 0, order * 97).alias("tree_id"), (line % 2).cast("int").alias("stem_id"), F.when(line % 3 == 0, F.lower("l_linestatus")).otherwise(F.col("l_linestatus")).alias("piece_id"))
+    checked, _ = evaluate(t, Census(), table="lying")
+    return checked.select("l_orderkey", "l_linenumber", _error(checked))
+
+
+_TAGS = "WITH t AS (SELECT p_partkey, nullif(p_size, 7) AS tag, CASE WHEN p_partkey % 3 = 0 THEN 'AI' WHEN p_partkey % 3 = 1 THEN 'DB' END AS status, p_partkey % 20 AS tag_prefix, (p_partkey % 2)::INT AS stem_id FROM part)"
+
+
+def _tagged(spark, d):
+    key = F.col("p_partkey")
+    return read(spark, d, "part").select("p_partkey", F.nullif("p_size", F.lit(7)).alias("tag"), F.when(key % 3 == 0, "AI").when(key % 3 == 1, "DB").alias("status"), (key % 20).alias("tag_prefix"), (key % 2).cast("int").alias("stem_id"))
+
+
+@query(f"""{_TAGS} SELECT p_partkey, concat_ws(' ', CASE WHEN NOT coalesce(tag BETWEEN 1 AND 10 OR tag BETWEEN 20 AND 30, FALSE) THEN '606_TAG_mimo_rozsah_povolených_hodnot' END,
+CASE WHEN tag IS NULL AND coalesce(status = 'AI', FALSE) THEN '607_Zivy_strom_bez_stitku' END, CASE WHEN tag IS NOT NULL AND count(*) OVER (PARTITION BY tag) > 1 THEN '608_Duplicitni_TAG' END) AS error FROM t""")
+def site_tag_rules(spark, d):
+    checked, _ = evaluate(_tagged(spark, d), Census(profile=("site_tags",), tag_ranges=((1, 10), (20, 30))))
+    return checked.select("p_partkey", _error(checked))
+
+
+@query(f"""{_TAGS}, k AS (SELECT DISTINCT 13 AS q, s_suppkey AS s FROM supplier WHERE s_suppkey % 2 = 0), j AS (SELECT t.*, k.q FROM t LEFT JOIN k ON tag_prefix = k.q AND tag = k.s)
+SELECT p_partkey, concat_ws(' ', CASE WHEN NOT coalesce(tag BETWEEN 1 AND 10 OR tag BETWEEN 20 AND 30, FALSE) THEN '601_cislo_stitku_mimo_povoleny_rozsah' END,
+CASE WHEN NOT (q IS NOT NULL OR (tag_prefix = 13 AND tag IS NULL)) THEN '606_Chyba_TAG_mimo_rozsah_povolených_hodnot' END,
+CASE WHEN count(*) OVER (PARTITION BY tag_prefix, tag, stem_id) > 1 AND NOT (tag_prefix = 13 AND tag IS NULL AND stem_id = 1) THEN '607_Chyba_duplicitni_TAG' END) AS error FROM j""")
+def tag_rules(spark, d):
+    known = read(spark, d, "supplier").select(F.when(F.col("s_suppkey") % 2 == 0, 13).otherwise(14).alias("QuadratID"), F.col("s_suppkey").alias("TagID"))
+    t = with_tag_known(_tagged(spark, d).drop("status"), known)
+    checked, _ = evaluate(t, Census(profile=("tags",), tag_ranges=((1, 10), (20, 30))))
+    return checked.select("p_partkey", _error(checked))
+
+
+@query(f"""{_TAGS} SELECT p_partkey, CASE WHEN NOT ends_with(p_partkey::VARCHAR, tag::VARCHAR) THEN '606_Chyba_TAG_CISLO_se_lisi_od_TAG_KOMPLET_over_v_lese' END AS code FROM t""")
+def tag_suffix_rule(spark, d):
+    t = _tagged(spark, d).withColumn("tag_complete", F.col("p_partkey").cast("string"))
+    checked, _ = evaluate(t, Census(profile=("tag_suffix",)))
+    return checked.select("p_partkey", F.get("error_codes", F.lit(0)).alias("code"))
+
+
 # --- reports -------------------------------------------------------------------------------
 
 
@@ -453,7 +496,7 @@ def crop_polygon(spark, d):
 def boundary_buffer(spark, d):
     ring = [(-0.1, -0.1), (0.1, -0.1), (0.1, 0.1), (-0.1, 0.1)]
     p = _cloud(spark, d).withColumn("outside_boundary", ~geometry.within_buffer(F.col("x"), F.col("y"), ring, 0.05))
-    checked, _ = evaluate(p, Census(profile=("boundary",)), rules=[Rule("001_bod_za_hranici_plochy", ("outside_boundary",), lambda c: F.col("outside_boundary"), "boundary")])
+    checked, _ = evaluate(p, Census(profile=("boundary",)))
     return checked.select("seq", F.get("error_codes", F.lit(0)).alias("code"))
 
 
@@ -508,6 +551,44 @@ def ground(spark, d):
     return points.ground(_cloud(spark, d), 0.1)
 
 
+@query(f"""{_CLOUD} SELECT seq, CASE WHEN EXISTS (SELECT 1 FROM p b WHERE b.seq <> p.seq AND pow(p.x - b.x, 2) + pow(p.y - b.y, 2) < 0.01 * 0.01) THEN '002_duplicitni_geometrie_bodu' END AS code FROM p""")
+def near_point_rule(spark, d):
+    checked, _ = evaluate(spatial.mark_near(_cloud(spark, d), ["x", "y"], Census().duplicate_distance), Census())
+    return checked.select("seq", F.get("error_codes", F.lit(0)).alias("code"))
+
+
+_VOXEL2 = "floor(x / 0.2)::BIGINT AS vx, floor(y / 0.2)::BIGINT AS vy, floor(z / 0.2)::BIGINT AS vz"
+
+
+@query(f"""{_CLOUD}, v AS (SELECT *, {_VOXEL2} FROM p), c AS (SELECT vx, vy, vz, count(*) FILTER (WHERE seq % 3 <> 0)::BIGINT AS n_first, count(*) FILTER (WHERE seq % 3 <> 1)::BIGINT AS n_second FROM v GROUP BY ALL)
+SELECT *, CASE WHEN n_second = 0 THEN 'removed' WHEN n_first = 0 THEN 'added' ELSE 'common' END AS state FROM c WHERE n_first + n_second > 0""")
+def cloud_difference(spark, d):
+    p = _cloud(spark, d)
+    return points.difference(p.where("seq % 3 <> 0"), p.where("seq % 3 <> 1"), 0.2)
+
+
+@query(f"""{_CLOUD}, v AS (SELECT *, (seq % 3)::INT AS c, {_VOXEL2} FROM p), f AS (SELECT vx, vy, vz, arg_min(c, (z, c)) AS c FROM v GROUP BY vx, vy, vz) SELECT seq FROM v JOIN f USING (vx, vy, vz, c)""")
+def combine_clouds(spark, d):
+    p = _cloud(spark, d)
+    return points.combine([p.where(f"seq % 3 = {k}") for k in range(3)], 0.2, F.col("z")).select("seq")
+
+
+@query(f"""{_CLOUD}, b AS (SELECT min(z) AS lo, max(z) AS hi FROM p) SELECT seq, floor(255 * ((z - lo) / (hi - lo)) + 0.5)::INT AS r, 0 AS g, floor(255 - 255 * ((z - lo) / (hi - lo)) + 0.5)::INT AS b FROM p, b""")
+def colour_cloud(spark, d):
+    return points.colour_by(_cloud(spark, d), "z").select("seq", "r", "g", "b")
+
+
+@query(f"{_CLOUD} SELECT seq FROM p WHERE segment_id IN (SELECT segment_id FROM p GROUP BY segment_id HAVING max(z) - min(z) >= 0.6)")
+def prune_trees(spark, d):
+    return points.prune(_cloud(spark, d), 0.6).select("seq")
+
+
+@query(f"{_CLOUD} SELECT seq, round(z, 6) AS x, round(x, 6) AS y, round(y, 6) AS z FROM p")
+def rotate_cloud(spark, d):
+    """A third of a turn about the diagonal carries x to y, y to z and z to x."""
+    return points.rotate(_cloud(spark, d), (1, 1, 1), 120).select("seq", *[F.round(a, 6).alias(a) for a in points.XYZ])
+
+
 @query(f"{_CLOUD} SELECT seq, x - 0 AS sx, y - 0 AS sy, z + 10 AS sz FROM p")
 def rays(spark, d):
     return points.with_ray(_cloud(spark, d)).select("seq", "sx", "sy", "sz")
@@ -541,7 +622,20 @@ def traj_asof(spark, d):
     return points.as_of(a, b, "ts", "t", ["before"], ["user_id"]).select("event_id", "user_id", F.col("before").cast("double").alias("before"))
 
 
-@query()
+@query("""WITH a AS (SELECT event_id, epoch_us(ts) / 1e6 AS t FROM events WHERE event_type = 'purchase'), b AS (SELECT event_id AS before, epoch_us(ts) / 1e6 AS t, row_number() OVER (PARTITION BY ts ORDER BY event_id DESC) AS r FROM events WHERE event_type <> 'purchase')
+SELECT a.event_id, b.before::DOUBLE AS before FROM a ASOF LEFT JOIN (SELECT * FROM b WHERE r = 1) b ON a.t >= b.t""")
+def trajectory_by_time(spark, d):
+    """One trajectory for all points: no key, time cut into days."""
+    e = read(spark, d, "events").select("event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
+    a, b = e.where("event_type = 'purchase'").select("event_id", "t"), e.where("event_type <> 'purchase'").select(F.col("event_id").alias("before"), F.col("t").alias("u"))
+    return points.as_of(a, b, "t", "u", ["before"], [], width=86_400e6).select("event_id", F.col("before").cast("double").alias("before"))
+
+
+# points near none are kept; the others are gone through in order
+@query(f"""{_CLOUD.replace("WITH", "WITH RECURSIVE")}, n AS (SELECT a.seq, list(b.seq) FILTER (WHERE b.seq < a.seq) AS l FROM p a JOIN p b ON a.seq <> b.seq AND pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2) < 0.05 * 0.05 GROUP BY a.seq),
+o AS (SELECT seq, coalesce(l, []) AS l, row_number() OVER (ORDER BY seq) AS i FROM n),
+r(i, seq, kept) AS (SELECT 0::BIGINT, NULL::BIGINT, []::BIGINT[] UNION ALL SELECT o.i, CASE WHEN NOT list_has_any(r.kept, o.l) THEN o.seq END, CASE WHEN list_has_any(r.kept, o.l) THEN r.kept ELSE list_append(r.kept, o.seq) END FROM r JOIN o ON o.i = r.i + 1)
+SELECT seq FROM p WHERE seq NOT IN (SELECT seq FROM n) UNION ALL SELECT seq FROM r WHERE seq IS NOT NULL""")
 def thin_cloud(spark, d):
     return spatial.thin(_cloud(spark, d), list(points.XYZ), 0.05).select("seq")
 
@@ -552,8 +646,9 @@ def denoise(spark, d):
     return spatial.without_outliers(_cloud(spark, d), list(points.XYZ), 0.2).select("seq")
 
 
-@query()
+# the cloud was moved by a known step, so alignment gives the cloud itself
+@query(f"{_CLOUD} SELECT seq, round(x, 3) + 0.0 AS x, round(y, 3) + 0.0 AS y, round(z, 3) + 0.0 AS z FROM p")
 def icp_align(spark, d):
     p = _cloud(spark, d)
     moved, _ = points.icp(points.translate(p, 0.004, -0.003, 0.002), p, 0.05, rounds=5)
-    return moved.select("seq", *[F.round(a, 3).alias(a) for a in points.XYZ])
+    return moved.select("seq", *[(F.round(a, 3) + F.lit(0.0)).alias(a) for a in points.XYZ])
