@@ -103,7 +103,8 @@ def neighbours(queries: DataFrame, corpus: DataFrame, radius: int = 3, extra: in
     # a pair that several tables find is kept from the first of them
     xor = F.col("query_fp").bitwiseXOR(F.col("corpus_fp"))
     first = F.array_min(F.array(*[F.when(xor.bitwiseAND(F.lit(signed(m)).cast("long")) == 0, F.lit(t)) for t, m in enumerate(masks)]))
-    return q.join(c, ["t", "key"]).where((distance <= radius) & (F.col("t") == first)).select("query_fp", "corpus_fp", distance.cast("int").alias("distance"))
+    # always shuffled: Spark takes the queries' size from before they are copied for each table, and would broadcast too much
+    return q.join(c.hint("merge"), ["t", "key"]).where((distance <= radius) & (F.col("t") == first)).select("query_fp", "corpus_fp", distance.cast("int").alias("distance"))
 
 
 def count_within(docs: DataFrame, fp: str, is_query: Column, radius: int = 3, extra: int = 2) -> DataFrame:
