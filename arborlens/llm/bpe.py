@@ -3,14 +3,15 @@
 Two neighbouring symbols that stand side by side inside no entry of the vocabulary can
 never come to lie in one token: every token is an entry, so a token over both would hold
 that very pair. Such places are certain cuts. A word is split at them, the fragments are
-encoded each by itself (and remembered, as they recur far more than words do), and their
-ids are joined. The result is that of BPE over the whole word.
+encoded each by itself, and their ids are joined and remembered by word. The result is that of BPE
+over the whole word.
 
 Reads a tokenizer file of the word-end kind: NFC, white space to blanks, lower case, a
 split by pattern, byte-level symbols and a suffix at word ends.
 
 Null text is encoded as the empty text: no ids, empty decoded text. Rows are independent,
-so repeated rows and ties need no rule; columns beyond the text are kept by ``encode``.
+so repeated rows and ties need no rule, and an empty table gives an empty result; columns beyond
+the text are kept by ``encode``.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ in code points of the formatted text), one for each turn of an assistant.
 
 Rows of a conversation are ordered by turn, then role, then text; null turns come first, null
 texts and roles are empty, rows with null id form a conversation of their own. Repeated rows
-are turns like others. A conversation is one output row and so must fit in one.
+are turns like others. A conversation is one output row and so must fit in one. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations

@@ -269,3 +269,20 @@ def test_terms_found_are_those_of_the_text():
     model = toxicity.OrdinalModel(dict.fromkeys(sorted(every)[::2], 1.0), np.array([0.0]))
     for t in texts * 2:
         assert model.found(t) == {f for w in toxicity.terms(t) for f in toxicity.features(w)} & model.weights.keys()
+
+
+def test_bad_rows_raise_the_threshold_and_are_still_found(spark):
+    r = np.random.default_rng(3)
+    good, bad = r.normal(0.5, 0.05, (400, 2)), r.uniform(0.9, 1.0, (30, 2))
+    forest = quality.IsolationForest.grow(good[::2])
+    alone = forest.calibrate(good[1::2], bad[:0], 0.02).threshold
+    both = forest.calibrate(good[1::2], bad, 0.02).threshold
+    caught = forest.score(bad) > alone
+    assert both > alone and ((forest.score(bad) > both) == caught).all() and caught.mean() > 0.9
+    # one labelled id on many rows is one row of the sample; only bad labels drop nothing
+    docs = spark.createDataFrame([(1, "word " * k) for k in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, quality int")
+    assert quality.fit(docs, labels).threshold == 1.0
+    clash = spark.createDataFrame([(1, "a b", 3), (1, "a b", 3)], "doc_id long, text string, kept int")
+    got = quality.with_statistics(clash, forest=quality.fit(docs, labels)).collect()
+    assert got[0] == got[1] and got[0].kept == 3 and got[0]["_kept"] is False
