@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch that are worked on at once, in characters of text.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,7 +90,7 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """
     hashes, places, i = [], [], 0
     while i < len(data):
-        j = i + CHUNK_CHARS // 4
+        j = i + CHUNK_CHARS // 2
         if j < len(data):
             found = NEXT_BLANK.search(data, j)
             j = found.start() if found else len(data)

@@ -51,6 +51,8 @@ SAMPLE, COMMON, MOST_COMMON = 16, 3, 1 << 18
 BLOCK_TOKENS = 50_000
 #: Tokens of queries that meet a block in one task, about; more are dealt over copies of the block.
 QUERY_TOKENS = 200_000
+#: Rows whose prefixes a task holds as entries at a time.
+ROWS_AT_ONCE = 1000
 #: Groups holding one token that a task pairs at once; tokens that are dealt by a broadcast list, at most.
 ENTRIES_AT_ONCE, HOT_TOKENS = 20_000, 1000
 MOST_BLOOM_BITS = 1 << 27
@@ -287,7 +289,7 @@ def _entries(groups: DataFrame, held: object | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = held.value if held is not None else None
-        for batch in batches:
+        for batch in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, len(b), ROWS_AT_ONCE)):
             prefix = batch.column("prefix")
             sizes = np.diff(prefix.offsets.to_numpy())
             token, row = prefix.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)

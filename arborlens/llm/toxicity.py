@@ -35,7 +35,7 @@ WORD = re.compile(r"[^\W\d_]+").findall
 #: Letters of the beginnings of words that are terms beside the words.
 STEMS = range(3, 9)
 #: Runs of letters and signs whose terms a scoring task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 
 
 def terms(text: str | None) -> list[str]:
