@@ -34,7 +34,7 @@ from arborlens.llm.common import cut_small, fresh, in_chunks
 WORD = re.compile(r"[^\W\d_]+").findall
 #: Letters of the beginnings of words that are terms beside the words.
 STEMS = range(3, 9)
-#: Runs of letters and signs whose terms a scoring task remembers.
+#: Words whose terms a scoring task remembers.
 REMEMBERED = 50_000
 
 
@@ -54,19 +54,20 @@ class OrdinalModel:
     thresholds: np.ndarray
     known: dict[str, tuple[str, ...]] = field(default_factory=dict, repr=False, compare=False)
 
+    def __post_init__(self) -> None:
+        #: how the terms begin: most words have none of these beginnings and need no further look
+        self.starts = {t.rstrip("-")[: STEMS[0]] for t in self.weights}
+
     def found(self, text: str | None) -> set[str]:
         """The terms of the model that the text has."""
         out: set[str] = set()
-        # no word goes over white space, so runs between it are looked up whole
-        for run in set((text or "").lower().split()):
-            have = self.known.get(run)
-            if have is None:
-                have = tuple({t for word in WORD(run) for t in features(word) if t in self.weights})
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                if len(run) <= 100:
-                    self.known[run] = have
-            if have:
+        for word in set(terms(text)):
+            if word[: STEMS[0]] in self.starts:
+                have = self.known.get(word)
+                if have is None:
+                    if len(self.known) >= REMEMBERED:
+                        self.known.clear()
+                    have = self.known[word] = tuple(t for t in features(word) if t in self.weights)
                 out.update(have)
         return out
 
