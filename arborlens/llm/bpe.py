@@ -16,6 +16,7 @@ the text are kept by ``encode``.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import json
@@ -37,7 +38,7 @@ CACHE = 300_000
 SHORT = 64
 #: The split pattern for which Latin-1 texts without odd numerals or spaces can use the faster standard module, and its form there.
 KNOWN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-LATIN_SPLIT = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
+LATIN_SPLIT = re.compile(r"[^\W\d_]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|(?:[^\w\s]|_)+")
 ODD_LATIN = re.compile(b"[\x1c-\x1f\x85\xa0\xb2\xb3\xb9\xbc-\xbe]")
 
 
@@ -186,8 +187,8 @@ class ForcedBoundaryBpe:
             pass
         return self.find(low)
 
-    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text. Special tokens' strings in a text are those tokens, as in the library."""
+    def encode_bytes(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers. Special tokens' strings in a text are those tokens, as in the library."""
         plans: list[list[list[str] | bytes]] = []
         for text in texts:
             plan, at = [], 0
@@ -203,7 +204,10 @@ class ForcedBoundaryBpe:
         if new:
             self._learn(list(new))
         get = self.known.__getitem__
-        return [np.frombuffer(b"".join(b"".join(map(get, x)) if isinstance(x, list) else x for x in plan), "<u4") for plan in plans]
+        return [b"".join(b"".join(map(get, x)) if isinstance(x, list) else x for x in plan) for plan in plans]
+
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.frombuffer(x, "<u4") for x in self.encode_bytes(texts)]
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_many([text])[0]
@@ -213,6 +217,12 @@ class ForcedBoundaryBpe:
         return " ".join(map(self.by_id.__getitem__, ids.tolist()))
 
 
+@functools.lru_cache(maxsize=2)
+def model_of(path: str) -> ForcedBoundaryBpe:
+    """The model of a file, loaded once by each Python process, not by each task."""
+    return ForcedBoundaryBpe(path)
+
+
 def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """docs without their text column, with the ids of each whole text (array of int) and n_tokens.
 
@@ -223,7 +233,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "tok
     schema = T.StructType([*kept, T.StructField(count, T.LongType()), T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ForcedBoundaryBpe(vocabulary)
+        bpe = model_of(vocabulary)
         for part, texts in in_chunks(batches, text):
             rows = bpe.encode_many([t or "" for t in texts])
             sizes = [len(r) for r in rows]
@@ -240,7 +250,7 @@ def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: s
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ForcedBoundaryBpe(vocabulary)
+        bpe = model_of(vocabulary)
         for part, texts in in_chunks(batches, text):
             sizes, hashes, decoded = [], [], []
             for ids in bpe.encode_many([t or "" for t in texts]):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import re
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,6 +32,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="arborlens-checkpoint-"))
 
 
+def shared_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder's path in the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from there: cuts lineage, survives lost executors."""
     ensure_checkpoint_dir(df.sparkSession)

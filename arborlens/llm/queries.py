@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborlens.llm import bpe, chat, langid, licences, mixing, ngram_join, pii, quality, simhash, toxicity
-from arborlens.llm.common import cut, table
+from arborlens.llm import bpe, chat, langid, licences, mixing, ngram_join, pii, quality, simhash, token_files, toxicity
+from arborlens.llm.common import cut, shared_folder, table
 
 #: Labelled rows that a classifier is fitted on, at most.
 MAX_LABELLED = 4000
@@ -97,6 +97,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, pii.KINDS), F.sha2(pii.spans_text(F.col("base_spans")), 256).alias("base_sha256"), pii.spans_text(F.col("pii_spans")).alias("spans"))
 
 
+def op11_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "records")
+    token_files.write(table(spark, sf_dir, "documents"), folder, vocabulary(), end_id=2)
+    return token_files.read(spark, folder, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_licences": op2_licences,
@@ -108,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
+    "op11_records": op11_records,
 }
 
 # brute force over all pairs, which is fine on the small tables; words are split and lower-cased as in the operator
