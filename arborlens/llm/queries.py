@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborlens.llm import bpe, chat, langid, licences, mixing, ngram_join, pii, quality, simhash, token_files, toxicity
+from arborlens.llm import bpe, chat, filter_audit, langid, licences, merkle, mixing, ngram_join, pii, quality, simhash, token_files, toxicity
 from arborlens.llm.common import cut, shared_folder, table
 
 #: Labelled rows that a classifier is fitted on, at most.
@@ -103,6 +103,15 @@ def op11_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, folder, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    return merkle.verify(table(spark, sf_dir, "documents"), {"text": text})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_licences": op2_licences,
@@ -115,6 +124,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
     "op11_records": op11_records,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_merkle": op13_merkle,
 }
 
 # brute force over all pairs, which is fine on the small tables; words are split and lower-cased as in the operator
@@ -135,6 +146,14 @@ FROM s LEFT JOIN d ON list_sort(s.s) = d.s LEFT JOIN c ON c.sid = d.sid"""
 
 _ESCAPED = "replace(replace(replace(replace(replace(replace({c}, '~', '~0'), '</s>', '~1'), '<s>', '~2'), '[INST]', '~3'), '[/INST]', '~4'), '[SEP]', '~5')"
 
+# list_reduce over bytes, eight turns of the remainder for each
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split({c}, ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda a, z: xor(a >> 1, (a & 1) * 3988292384))), 4294967295)"""
+_FIELD = "coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD if c == "text" else _FIELD.format(c=c) for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+_PARENTS = "list_transform(range(0, (len(nodes) + 2) // 3), lambda k: sha256(array_to_string(nodes[3 * k + 1:3 * k + 3], '')))"
+_AROUND = "array_to_string(nodes[i // 3 * 3 + 1:i], '') AS l, array_to_string(nodes[i + 2:i // 3 * 3 + 3], '') AS r"
+
 ORACLE_SQL: dict[str, str] = {
     "op3_ngram_join": _NGRAM_SQL,
     "op6_chat": f"""
@@ -171,4 +190,59 @@ WITH s AS (
 )
 SELECT doc_id, source, text, copy::INTEGER AS copy, md5('17/order:' || coalesce(doc_id::VARCHAR, '') || ':' || copy) AS shuffle_key
 FROM n, LATERAL (SELECT unnest(range(0, copies)) AS copy)""",
+    "op12_filter_audit": """
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), FALSE) AS e FROM documents
+), f AS (
+  SELECT doc_id, part, CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END AS f FROM d
+), n AS (
+  SELECT part, f, count(*) AS n, count(*) FILTER (WHERE quality = 1) AS good, count(*) FILTER (WHERE toxic = 1) AS toxic
+  FROM f LEFT JOIN (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) l USING (doc_id) GROUP BY part, f
+), x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS o FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5
+), s AS (
+  SELECT part, o, f, n, good, toxic, CASE WHEN contains(f, o[1]) THEN 1 WHEN contains(f, o[2]) THEN 2 WHEN contains(f, o[3]) THEN 3 WHEN contains(f, o[4]) THEN 4 WHEN contains(f, o[5]) THEN 5 ELSE 6 END AS first FROM n, o
+), r AS (
+  SELECT part, o, step, o[step] AS filter, sum(n) FILTER (WHERE first > step) AS kept, sum(n) FILTER (WHERE first = step) AS removed,
+    sum(n) FILTER (WHERE first < step AND contains(f, o[step])) AS redundant, sum(n) FILTER (WHERE f = o[step]) AS unique_fails,
+    sum(good) FILTER (WHERE first = step) AS good_lost, sum(toxic) FILTER (WHERE first = step) AS toxic_lost
+  FROM s, (SELECT unnest([1, 2, 3, 4, 5]) AS step) GROUP BY part, o, step
+)
+SELECT part, o AS filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+  coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, filter), 0)::BIGINT AS shapley FROM r""",
+    "op13_merkle": f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, {_LEAF.format(c="text")} AS leaf,
+    {_LEAF.format(c=f"(CASE WHEN {_CRC32.format(c='doc_id::VARCHAR')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END)")} AS now FROM documents
+), n AS (
+  SELECT *, (row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1)::BIGINT AS i FROM d
+), t(source, lvl, nodes) AS (
+  SELECT source, 0, list(leaf ORDER BY i) FROM n GROUP BY source
+  UNION ALL SELECT source, lvl + 1, {_PARENTS} FROM t WHERE len(nodes) > 1
+), s AS (
+  SELECT source, nodes[1] AS subroot, (row_number() OVER (ORDER BY source NULLS FIRST) - 1)::BIGINT AS i FROM t WHERE len(nodes) = 1
+), u(lvl, nodes) AS (
+  SELECT 0, list(subroot ORDER BY i) FROM s
+  UNION ALL SELECT lvl + 1, {_PARENTS} FROM u WHERE len(nodes) > 1
+), p AS (
+  SELECT source, leaf0, lvl, {_AROUND} FROM (SELECT n.source, n.i AS leaf0, lvl, nodes, n.i // pow(3, lvl)::BIGINT AS i FROM n JOIN t ON n.source IS NOT DISTINCT FROM t.source WHERE len(nodes) > 1)
+), q AS (
+  SELECT source, lvl + 1000 AS lvl, {_AROUND} FROM (SELECT s.source, lvl, nodes, s.i // pow(3, lvl)::BIGINT AS i FROM s, u WHERE len(nodes) > 1)
+), a AS (
+  SELECT source, leaf0, lvl, l, r FROM p UNION ALL SELECT n.source, n.i, lvl, l, r FROM n JOIN q ON n.source IS NOT DISTINCT FROM q.source
+), g AS (
+  SELECT source, leaf0, string_agg(l || r, '' ORDER BY lvl) AS proof, list({{'l': l, 'r': r}} ORDER BY lvl) AS path FROM a GROUP BY source, leaf0
+), z AS (
+  SELECT doc_id, leaf, subroot, (SELECT nodes[1] FROM u WHERE len(nodes) = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+    list_reduce(list_prepend({{'l': now, 'r': ''}}, coalesce(path, [])), lambda b, x: {{'l': sha256(x.l || b.l || x.r), 'r': ''}}).l AS folded_root
+  FROM n JOIN s ON n.source IS NOT DISTINCT FROM s.source LEFT JOIN g ON n.source IS NOT DISTINCT FROM g.source AND n.i = g.leaf0
+)
+SELECT *, folded_root = root AS verified FROM z""",
 }
