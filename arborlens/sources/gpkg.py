@@ -1,20 +1,31 @@
 """GeoPackage layers: SQLite files whose geometries are WKB behind a short header.
 
-Files are read whole by Spark's binary reader, so any store it knows will do, and each is
-opened in memory where it was read: one task a file. Device files are small; a file must be
-under 2 GB. A layer is written as one file by the driver, as the format asks for.
+On a file system that all executors mount, a layer is read by ranges of row ids: each task opens the file and
+looks its own range up in the table's tree, so a large layer is many tasks' work and no task holds a file. Elsewhere files are read whole
+by Spark's binary reader (under 2 GB each) and opened in memory, one task a file.
+
+A layer is written as one file. Tasks write parts, small databases of their own rows; when all have ended they are copied into the
+file by SQLite, which streams them, and the file takes its name when it is whole.
 """
 
 from __future__ import annotations
 
+import glob
+import json
+import os
+import shutil
 import sqlite3
 import struct
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from arborlens.sources.files import Counted, Piece, listed, local_path
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader
 
 # Fixed values of the format: sizes of the envelope by its code, and the application id "GPKG".
 ENVELOPE_BYTES = {0: 0, 1: 32, 2: 48, 3: 48, 4: 64}
@@ -67,9 +78,18 @@ def _open(content: bytes) -> sqlite3.Connection:
     return db
 
 
-def layer_schema(content: bytes, layer: str) -> tuple[T.StructType, str]:
+#: Bytes of a file that one task reads, about, and rows that it holds.
+PIECE_BYTES, BLOCK = 16 << 20, 20_000
+KINDS = {T.LongType(): (pa.int64(), int), T.DoubleType(): (pa.float64(), float), T.BooleanType(): (pa.bool_(), bool), T.BinaryType(): (pa.binary(), bytes), T.StringType(): (pa.string(), str)}
+
+
+def _open_file(path: str) -> sqlite3.Connection:
+    """The file itself, read only; nobody may change it meanwhile."""
+    return sqlite3.connect(f"file:{path.replace('?', '%3f').replace('#', '%23')}?mode=ro&immutable=1", uri=True)
+
+
+def layer_schema(db: sqlite3.Connection, layer: str) -> tuple[T.StructType, str]:
     """The layer's columns, x, y, z and geom_wkb in place of its geometry, and the geometry's name."""
-    db = _open(content)
     geom = (db.execute("select column_name from gpkg_geometry_columns where table_name = ?", (layer,)).fetchone() or ("",))[0]
     fields = []
     for _, name, kind, *_ in db.execute(f'pragma table_info("{layer}")'):
@@ -82,31 +102,174 @@ def layer_schema(content: bytes, layer: str) -> tuple[T.StructType, str]:
     return T.StructType([*fields, *place]), geom
 
 
-def read_gpkg(spark: SparkSession, path: str, layer: str, schema: T.StructType | None = None) -> DataFrame:
+def layer_rows(db: sqlite3.Connection, layer: str, schema: T.StructType, device: str, ids: tuple[int, int] | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows of a layer, those of row ids from the first up to the second if given, in batches; columns that it lacks are null."""
+    found, geom = layer_schema(db, layer)
+    wanted = [f for f in schema.fields if f.name != "device"]
+    own = [f.name for f in found.fields if f.name not in ("x", "y", "z", "geom_wkb") and f.name in schema.names]
+    chosen = ", ".join(f'"{n}"' for n in own + [geom] * bool(geom)) or "1"
+    cursor = db.execute(f'select {chosen} from "{layer}"' + (" where rowid between ? and ?" if ids else ""), ids or ())
+    while rows := cursor.fetchmany(BLOCK):
+        data = {n: [r[i] for r in rows] for i, n in enumerate(own)}
+        if geom:
+            data["geom_wkb"] = [wkb_of(r[-1]) for r in rows]
+            points = [point_of(w) for w in data["geom_wkb"]]
+            data |= {a: [p[i] for p in points] for i, a in enumerate("xyz")}
+        columns = [pa.array([None if v is None else KINDS[f.dataType][1](v) for v in data.get(f.name, [None] * len(rows))], KINDS[f.dataType][0]) for f in wanted]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array([device] * len(rows), pa.string())], names=[*(f.name for f in wanted), "device"])
+
+
+class LayerReader(DataSourceReader):
+    def __init__(self, path: str, layer: str, schema: T.StructType, piece_bytes: int):
+        self.path, self.layer, self.fields, self.piece_bytes = path, layer, schema.json(), piece_bytes
+
+    def partitions(self) -> list[Piece]:
+        return [Piece(rank, file, i, n) for rank, (file, size) in enumerate(listed(self.path, ".gpkg")) for n in [max(1, -(-size // self.piece_bytes))] for i in range(n)]
+
+    def read(self, piece: Piece) -> Iterator[pa.RecordBatch]:
+        db = _open_file(local_path(piece.path))
+        try:
+            schema, ids = T.StructType.fromJson(json.loads(self.fields)), None
+            if piece.parts > 1:
+                # a layer without row ids (a view) can't be cut: its first piece is all of it
+                try:
+                    low, high = db.execute(f'select min(rowid), max(rowid) from "{self.layer}"').fetchone()
+                except sqlite3.OperationalError:
+                    low = None
+                if low is None and piece.part:
+                    return
+                if low is not None:
+                    span = high - low + 1
+                    ids = (low + span * piece.part // piece.parts, low + span * (piece.part + 1) // piece.parts - 1)
+            yield from layer_rows(db, self.layer, schema, piece.path, ids)
+        finally:
+            db.close()
+
+
+def _spatial(names: list[str]) -> bool:
+    return {"x", "y"} <= set(names)
+
+
+def make_layer(db: sqlite3.Connection, fields: list[T.StructField], layer: str) -> str:
+    """An empty layer of points (columns x and y) or of plain rows; returns what inserts a row."""
+    names = [f.name for f in fields]
+    spatial = _spatial(names)
+    plain = [f for f in fields if not (spatial and f.name in ("x", "y"))]
+    sql = {T.LongType(): "BIGINT", T.IntegerType(): "INTEGER", T.DoubleType(): "DOUBLE", T.BooleanType(): "BOOLEAN", T.BinaryType(): "BLOB"}
+    db.execute(f"pragma application_id = {APPLICATION_ID}")
+    db.execute("create table gpkg_spatial_ref_sys (srs_name text, srs_id integer primary key, organization text, organization_coordsys_id integer, definition text, description text)")
+    db.execute("insert into gpkg_spatial_ref_sys values ('undefined', 0, 'NONE', 0, 'undefined', null)")
+    db.execute("create table gpkg_contents (table_name text primary key, data_type text, identifier text, description text, last_change text, min_x double, min_y double, max_x double, max_y double, srs_id integer)")
+    db.execute("create table gpkg_geometry_columns (table_name text, column_name text, geometry_type_name text, srs_id integer, z tinyint, m tinyint)")
+    db.execute("insert into gpkg_contents values (?, ?, ?, '', '', null, null, null, null, 0)", (layer, "features" if spatial else "attributes", layer))
+    if spatial:
+        db.execute("insert into gpkg_geometry_columns values (?, 'geom', 'POINT', 0, 0, 0)", (layer,))
+    columns = ["geom BLOB"] * spatial + [f'"{f.name}" {sql.get(f.dataType, "TEXT")}' for f in plain]
+    db.execute(f'create table "{layer}" ({", ".join(columns)})')
+    return f'insert into "{layer}" values ({", ".join("?" * len(columns))})'
+
+
+class LayerWriter(DataSourceArrowWriter):
+    def __init__(self, path: str, layer: str, schema: T.StructType):
+        self.path, self.layer, self.fields = path, layer, schema.json()
+        self.beside = f"{path}.{uuid.uuid4().hex}"
+
+    def _schema(self) -> list[T.StructField]:
+        return T.StructType.fromJson(json.loads(self.fields)).fields
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Counted:
+        fields = self._schema()
+        names = [f.name for f in fields]
+        part, n = TaskContext.get().partitionId(), 0
+        name = f"{self.beside}.{part}.{uuid.uuid4().hex}.part"
+        text = lambda v: v if v is None or isinstance(v, (int, float, str, bytes, bytearray)) else str(v)
+        db = None
+        for batch in iterator:
+            if not batch.num_rows:
+                continue
+            if db is None:
+                db = sqlite3.connect(name)
+                db.execute("pragma journal_mode = off")  # a part that isn't finished isn't used
+                insert = make_layer(db, fields, self.layer)
+            values = dict(zip(names, (batch.column(i).to_pylist() for i in range(len(names))), strict=True))
+            lead = [[blob_of(x, y) if x is not None and y is not None else None for x, y in zip(values.pop("x"), values.pop("y"), strict=True)]] if _spatial(names) else []
+            db.executemany(insert, zip(*lead, *[[text(v) for v in c] for c in values.values()], strict=True))
+            n += batch.num_rows
+        if db is not None:
+            db.commit()
+            db.close()
+        return Counted(part, n, name)
+
+    def commit(self, messages: list[Counted | None]) -> None:
+        whole = f"{self.beside}.part"
+        db = sqlite3.connect(whole)
+        db.execute("pragma journal_mode = off")
+        make_layer(db, self._schema(), self.layer)
+        db.commit()
+        parts = sorted((m for m in messages if m is not None and m.rows), key=lambda m: m.part)
+        for m in parts:
+            db.execute("attach ? as p", (m.name,))
+            db.execute(f'insert into main."{self.layer}" select * from p."{self.layer}" order by rowid')
+            db.commit()
+            db.execute("detach p")
+        db.close()
+        os.replace(whole, self.path)
+        self._clean()
+
+    def abort(self, messages: list[Counted | None]) -> None:
+        self._clean()
+
+    def _clean(self) -> None:
+        """Removes all parts, those of attempts that failed too."""
+        for name in glob.glob(f"{glob.escape(self.beside)}.*"):
+            os.remove(name)
+
+
+class LayerSource(DataSource):
+    """Options: path, layer, pieceBytes."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "gpkg_layer"
+
+    def reader(self, schema: T.StructType) -> LayerReader:
+        return LayerReader(self.options["path"], self.options["layer"], schema, int(self.options.get("pieceBytes", PIECE_BYTES)))
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> LayerWriter:
+        return LayerWriter(local_path(self.options["path"]), self.options["layer"], schema)
+
+
+def read_gpkg(spark: SparkSession, path: str, layer: str, schema: T.StructType | None = None, piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """A layer of all .gpkg files below the path, with ``device``, the file's path. The schema is that of the first file by path; columns that a file lacks are null there."""
+    device = T.StructField("device", T.StringType())
+    if local_path(path) is None or any(c in path for c in "*?[{"):
+        return _read_whole(spark, path, layer, schema)
+    if schema is None:
+        found = listed(path, ".gpkg")
+        if not found:
+            raise FileNotFoundError(path)
+        db = _open_file(local_path(found[0][0]))
+        schema, _ = layer_schema(db, layer)
+        db.close()
+    spark.dataSource.register(LayerSource)
+    full = T.StructType([*(f for f in schema.fields if f.name != "device"), device])
+    return spark.read.format("gpkg_layer").schema(full).option("path", path).option("layer", layer).option("pieceBytes", piece_bytes).load()
+
+
+def _read_whole(spark: SparkSession, path: str, layer: str, schema: T.StructType | None) -> DataFrame:
+    """The same from a store that isn't mounted: one task a file, which is held in memory."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gpkg").option("recursiveFileLookup", True).load(path)
     if schema is None:
-        first = files.orderBy("path").limit(1).collect()
-        if not first:
+        name = files.agg(F.min("path")).first()[0]  # names only
+        if name is None:
             raise FileNotFoundError(path)
-        schema, _ = layer_schema(first[0]["content"], layer)
-    names = [f.name for f in schema.fields]
+        schema, _ = layer_schema(_open(spark.read.format("binaryFile").load(name).first()["content"]), layer)
     full = T.StructType([*schema.fields, T.StructField("device", T.StringType())])
-    kinds = {T.LongType(): (pa.int64(), int), T.DoubleType(): (pa.float64(), float), T.BooleanType(): (pa.bool_(), bool), T.BinaryType(): (pa.binary(), bytes), T.StringType(): (pa.string(), str)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for device, content in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
-                found, geom = layer_schema(content, layer)
-                own = [f.name for f in found.fields if f.name not in ("x", "y", "z", "geom_wkb")]
-                rows = _open(content).execute(f"select {', '.join(f'"{n}"' for n in own + [geom] * bool(geom))} from \"{layer}\"").fetchall()
-                data = {n: [r[i] for r in rows] for i, n in enumerate(own)}
-                if geom:
-                    data["geom_wkb"] = [wkb_of(r[-1]) for r in rows]
-                    points = [point_of(w) for w in data["geom_wkb"]]
-                    data |= {a: [p[i] for p in points] for i, a in enumerate("xyz")}
-                columns = [pa.array([None if v is None else kinds[f.dataType][1](v) for v in data.get(f.name, [None] * len(rows))], kinds[f.dataType][0]) for f in schema.fields]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([device] * len(rows), pa.string())], names=[*names, "device"])
+                yield from layer_rows(_open(content), layer, full, device)
 
     return files.select("path", "content").mapInArrow(run, full)
 
@@ -118,48 +281,22 @@ def sequenced(df: DataFrame) -> DataFrame:
     return number_rows(df, [F.col("device").asc(), F.col("fid").asc_nulls_last()], "seq", 0)
 
 
-def layer_bytes(rows: list, fields: list[T.StructField], layer: str) -> bytes:
-    """A file with one layer of points (columns x and y) or of plain rows."""
-    db = sqlite3.connect(":memory:")
-    names = [f.name for f in fields]
-    spatial = {"x", "y"} <= set(names)
-    plain = [f for f in fields if not (spatial and f.name in ("x", "y"))]
-    sql = {T.LongType(): "BIGINT", T.IntegerType(): "INTEGER", T.DoubleType(): "DOUBLE", T.BooleanType(): "BOOLEAN", T.BinaryType(): "BLOB"}
-    db.execute(f"pragma application_id = {APPLICATION_ID}")
-    db.execute("create table gpkg_spatial_ref_sys (srs_name text, srs_id integer primary key, organization text, organization_coordsys_id integer, definition text, description text)")
-    db.execute("insert into gpkg_spatial_ref_sys values ('undefined', 0, 'NONE', 0, 'undefined', null)")
-    db.execute("create table gpkg_contents (table_name text primary key, data_type text, identifier text, description text, last_change text, min_x double, min_y double, max_x double, max_y double, srs_id integer)")
-    db.execute("create table gpkg_geometry_columns (table_name text, column_name text, geometry_type_name text, srs_id integer, z tinyint, m tinyint)")
-    db.execute("insert into gpkg_contents values (?, ?, ?, '', '', null, null, null, null, 0)", (layer, "features" if spatial else "attributes", layer))
-    if spatial:
-        db.execute("insert into gpkg_geometry_columns values (?, 'geom', 'POINT', 0, 0, 0)", (layer,))
-    columns = ["geom BLOB"] * spatial + [f'"{f.name}" {sql.get(f.dataType, "TEXT")}' for f in plain]
-    db.execute(f'create table "{layer}" ({", ".join(columns)})')
-    text = lambda v: v if v is None or isinstance(v, (int, float, str, bytes, bytearray)) else str(v)
-    values = [[*([blob_of(r["x"], r["y"]) if r["x"] is not None and r["y"] is not None else None] if spatial else []), *(text(r[f.name]) for f in plain)] for r in rows]
-    db.executemany(f'insert into "{layer}" values ({", ".join("?" * len(columns))})', values)
-    db.commit()
-    return db.serialize()
-
-
 def write_gpkg(df: DataFrame, path: str, layer: str) -> None:
-    """Overwrites the file with one layer. A GeoPackage is one SQLite file, so its rows pass through the driver."""
-    write_bytes(df.sparkSession, path, layer_bytes(df.collect(), df.schema.fields, layer))
+    """Replaces the file, on a file system that all executors mount, by one with one layer; rows are in the order of df's partitions."""
+    if (target := local_path(path)) is None:
+        raise ValueError("a GeoPackage is written to a mounted file system")
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    df.sparkSession.dataSource.register(LayerSource)
+    df.write.format("gpkg_layer").option("path", path).option("layer", layer).mode("append").save()
 
 
 def write_to_all(df: DataFrame, paths: list[str], layer: str) -> None:
-    """The same layer in several files; the rows are computed once."""
-    content = layer_bytes(df.collect(), df.schema.fields, layer)
-    for path in paths:
-        write_bytes(df.sparkSession, path, content)
-
-
-def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
-    """Writes a file to any store that Spark knows."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
-    try:
-        out.write(bytearray(content))
-    finally:
-        out.close()
+    """The same layer in several files; the rows are computed once, and the file is copied."""
+    if not paths:
+        return
+    write_gpkg(df, paths[0], layer)
+    for path in paths[1:]:
+        target = local_path(path)
+        os.makedirs(os.path.dirname(target), exist_ok=True)
+        shutil.copyfile(local_path(paths[0]), beside := f"{target}.{uuid.uuid4().hex}.part")
+        os.replace(beside, target)

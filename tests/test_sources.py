@@ -91,3 +91,89 @@ def test_streams(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert sorted((r.uuid, r.v) for r in spark.table("latest_test").collect()) == [("a", "new"), ("b", "only")]
+
+
+def test_gpkg_by_row_ids(spark, tmp_path):
+    df = spark.range(5000).select((F.col("id") * 3 + 7).alias("fid"), F.concat(F.lit("tree "), "id").alias("uuid"), (F.col("id") / 2).alias("x"), F.col("id").cast("double").alias("y")).repartition(4)
+    gpkg.write_gpkg(df, str(tmp_path / "new" / "big.gpkg"), "trees")
+    assert [p.name for p in (tmp_path / "new").iterdir()] == ["big.gpkg"]
+    parts = gpkg.read_gpkg(spark, str(tmp_path), "trees", piece_bytes=60_000)
+    assert parts.rdd.getNumPartitions() > 3
+    sizes = parts.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 3 and max(r["count"] for r in sizes) < 3000
+    got = sorted((r.fid, r.uuid, r.x, r.y) for r in parts.collect())
+    assert got == sorted(tuple(r) for r in df.collect())
+    whole = gpkg._read_whole(spark, str(tmp_path), "trees", None)
+    assert whole.columns == parts.columns and sorted(map(str, whole.collect())) == sorted(map(str, parts.collect()))
+    gpkg.write_gpkg(df.limit(0), str(tmp_path / "new" / "big.gpkg"), "trees")
+    assert gpkg.read_gpkg(spark, str(tmp_path), "trees").count() == 0
+    plain = spark.createDataFrame([("a", 1), (None, None)], "site string, n long")
+    gpkg.write_gpkg(plain, str(tmp_path / "plain.gpkg"), "sites")
+    assert sorted(map(str, gpkg.read_gpkg(spark, str(tmp_path / "plain.gpkg"), "sites").drop("device").collect())) == sorted(map(str, plain.collect()))
+
+
+def a_cloud(spark, n):
+    i = F.col("id")
+    colours = [((i * k) % 65536).cast("int").alias(c) for c, k in zip("rgb", (1, 7, 300), strict=True)]
+    return spark.range(n).select(i.alias("seq"), (i * 1.5).alias("x"), (-i * 0.25).alias("y"), (100 + i * 0.001).alias("z"), (i % 60000).cast("int").alias("intensity"), i.cast("double").alias("gps_time"), *colours)
+
+
+def test_las_by_record_ranges(spark, tmp_path):
+    df = a_cloud(spark, 20_000).repartition(5)
+    las.write_las(df, str(tmp_path / "c.las"))
+    assert [p.name for p in tmp_path.iterdir()] == ["c.las"]
+    whole = las.read_las(spark, str(tmp_path))
+    cut = las.read_las(spark, str(tmp_path), piece_bytes=100_000)
+    assert whole.rdd.getNumPartitions() == 1 and cut.rdd.getNumPartitions() == 7
+    rows = sorted(cut.collect(), key=lambda r: r.seq)
+    assert rows == sorted(whole.collect(), key=lambda r: r.seq)
+    assert [r.seq for r in rows] == list(range(20_000)) and [r.r for r in rows[:3]] == [0, 1, 2]
+    assert np.allclose([r.x for r in rows], [i * 1.5 for i in range(20_000)], atol=5e-4)
+    h = las.header((tmp_path / "c.las").read_bytes()[:400])
+    assert (h["count"], h["format"], h["min"][1], h["max"][0]) == (20_000, 3, -19_999 * 0.25, 19_999 * 1.5)
+    assert las.read_las(spark, str(tmp_path), "z double, file string").columns == ["z", "file"]
+    las.write_las(df.limit(0), str(tmp_path / "c.las"))
+    assert las.read_las(spark, str(tmp_path)).count() == 0
+
+
+def test_las_over_two_gigabytes(tmp_path):
+    """A sparse file of 100 million points: a task reads its own range alone, and counts of 64 bits are read."""
+    n, size = 100_000_000, 28
+    path = str(tmp_path / "big.las")
+    last = las.packed({a: np.array([1.0, 2.0]) for a in "xyz"}, [0.0] * 3, 0.001, 1)
+    with open(path, "wb") as f:
+        f.write(las.head(n, [0.0] * 3, [2.0] * 3, [0.0] * 3, 0.001, 1))
+        f.truncate(227 + n * size)
+        f.seek(227 + (n - 2) * size)
+        f.write(last.tobytes())
+    reader = las.LasReader(path, las.T._parse_datatype_string("seq long, x double"), las.PIECE_BYTES)
+    parts = reader.partitions()
+    assert len(parts) == 42
+    batches = list(reader.read(parts[-1]))
+    assert sum(b.num_rows for b in batches) < n // 40 and batches[-1].column(1).to_pylist()[-2:] == [1.0, 2.0] and batches[-1].column(0).to_pylist()[-1] == n - 1
+    assert las.header(las.head(5_000_000_000, [0.0] * 3, [1.0] * 3, [0.0] * 3, 0.001, 1))["count"] == 5_000_000_000
+    with open(path, "r+b") as f:
+        f.truncate(227 + (n - 1) * size)
+    with pytest.raises(ValueError, match="ends before"):
+        list(reader.read(parts[-1]))
+
+
+def test_las_wide_formats_and_errors(spark, tmp_path):
+    rows = np.zeros(3, np.dtype(las.FORMATS[7]))
+    rows["X"], rows["flags"], rows["classification"], rows["scan_angle"], rows["gps_time"], rows["g"] = [1, 2, 3], 0x35, 200, -5000, 9.5, 77
+    out = bytearray(las.head(3, [0.0] * 3, [0.003, 0, 0], [0.0] * 3, 0.001, 3))
+    out[104], out[105:107] = 7, rows.dtype.itemsize.to_bytes(2, "little")
+    (tmp_path / "w.las").write_bytes(bytes(out) + rows.tobytes())
+    r = las.read_las(spark, str(tmp_path)).orderBy("seq").first()
+    assert (r.x, r.return_number, r.classification, r.scan_angle, r.gps_time, r.g) == (0.001, 5, 200, -30, 9.5, 77)
+    for column, what in (("x", "too far out"), ("intensity", "doesn't fit")):
+        with pytest.raises(Exception, match=what):
+            las.write_las(a_cloud(spark, 3).withColumn(column, F.when(F.col("seq") == 1, 1e12).otherwise(0).cast(dict(a_cloud(spark, 1).dtypes)[column] if column == "x" else "long")), str(tmp_path / "bad.las"))
+    assert [p.name for p in tmp_path.iterdir()] == ["w.las"]
+
+
+def test_las_parts(spark, tmp_path):
+    made = las.write_las_parts(a_cloud(spark, 2500).repartition(3), str(tmp_path / "parts"), points=1000)
+    assert sorted((r.name, r.points) for r in made.collect()) == [("part-00000000.las", 1000), ("part-00000001.las", 1000), ("part-00000002.las", 500)]
+    back = las.read_las(spark, str(tmp_path / "parts")).orderBy("seq").collect()
+    assert np.allclose([r.x for r in back], [i * 1.5 for i in range(2500)], atol=5e-4)
