@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 from arborlens.functions.geometry import Ring, inside
-from arborlens.operators.spatial import nearest
+from arborlens.operators.spatial import crowded, nearest
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -228,9 +228,9 @@ def icp(moving: DataFrame, fixed: DataFrame, radius: float, rounds: int = 20, to
     Each round is a grid join and sums; the driver sees 3 x 3 moments and solves them.
     """
     total = np.eye(4)
-    at = moving
+    at, crowds = moving, crowded(fixed, list(XYZ), radius)
     for _ in range(rounds):
-        pairs = nearest(at, fixed, list(XYZ), radius)
+        pairs = nearest(at, fixed, list(XYZ), radius, crowds=crowds)
         p = at.select("seq", *[F.col(a).alias(f"p{a}") for a in XYZ]).join(pairs, "seq").join(fixed.select(F.col("seq").alias("nearest"), *[F.col(a).alias(f"q{a}") for a in XYZ]), "nearest")
         row = p.agg(F.count(F.lit(1)).alias("n"), *[F.avg(f"{s}{a}").alias(f"{s}{a}") for s in "pq" for a in XYZ], *[F.avg(F.col(f"p{a}") * F.col(f"q{b}")).alias(f"m{a}{b}") for a in XYZ for b in XYZ]).first()
         if not row["n"] or row["n"] < 3:
