@@ -4,6 +4,7 @@ import math
 import os
 
 import pytest
+from arborlens.plans import surface_queries  # noqa: F401
 from arborlens.plans.queries import ORACLE_SQL, QUERIES
 
 duckdb = pytest.importorskip("duckdb")
