@@ -29,13 +29,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arborlens.llm.common import cut_small, fresh, in_chunks
+from arborlens.llm.common import cut, cut_small, fresh, in_chunks
 
 WORD = re.compile(r"[^\W\d_]+").findall
 #: Letters of the beginnings of words that are terms beside the words.
 STEMS = range(3, 9)
 #: Words whose terms a scoring task remembers.
 REMEMBERED = 50_000
+#: Tasks that the sample's ids are dealt to.
+SAMPLE_PARTS = 16
 
 
 def terms(text: str | None) -> list[str]:
@@ -78,18 +80,28 @@ class OrdinalModel:
 
 
 def sample(docs: DataFrame, labels: DataFrame, grade: Column, max_labelled: int, text: str = "text") -> DataFrame:
-    """(doc_id, grade, term), distinct, of a bounded sample of labelled ids; an id without terms has one row of a null term. The ids are drawn from the labels before their texts are looked up."""
+    """(doc_id, grade, term), distinct, the words of a bounded sample of labelled ids; an id without words has one row of a null term. The ids are drawn from the labels before their texts are looked up."""
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     few = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(grade).cast("int").alias("grade")).where("grade is not null").orderBy(key, "doc_id").limit(max_labelled)
     rows = docs.select("doc_id", F.col(f"`{text}`").alias("text")).join(F.broadcast(few), "doc_id").select("doc_id", "grade", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in in_chunks(batches):
-            found = [list({f for w in set(terms(t)) for f in features(w)}) for t in texts]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.list_(pa.string()))], names=["doc_id", "grade", "terms"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([list(set(terms(t))) for t in texts], pa.list_(pa.string()))], names=["doc_id", "grade", "terms"])
 
-    made = rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], T.StructField("grade", T.IntegerType()), T.StructField("terms", T.ArrayType(T.StringType()))]))
-    return cut_small(made.select("doc_id", "grade", F.explode_outer("terms").alias("term")).distinct())
+    made = cut(rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], T.StructField("grade", T.IntegerType()), T.StructField("terms", T.ArrayType(T.StringType()))])))
+    each = made.select("doc_id", "grade", F.explode_outer("terms").alias("term"))
+    # at most max_labelled ids
+    again = made.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if again.isEmpty():
+        return each
+    return each.join(F.broadcast(again), "doc_id", "left_anti").unionByName(each.join(F.broadcast(again), "doc_id", "left_semi").distinct())
+
+
+def by_id(rows: DataFrame) -> DataFrame:
+    """doc_id, h (its half), grade and words of each id of the sample; the words of an id are some thousands."""
+    dealt = rows.repartition(SAMPLE_PARTS, "doc_id")  # a few MB, but much to count
+    return dealt.groupBy("doc_id").agg(F.max("grade").alias("grade"), F.collect_list("term").alias("words")).select("doc_id", _half().cast("int").alias("h"), "grade", "words")
 
 
 def _beginnings() -> Column:
@@ -110,12 +122,28 @@ def _half() -> Column:
 
 
 def count_terms(rows: DataFrame) -> Counted:
-    """rows: see sample. A beginning of words that only one word or one longer beginning has is that one, and left out."""
+    """rows: see sample. A beginning of words that only one word or one longer beginning has is that one, and left out.
+
+    Tasks count the terms of their ids, so what is shuffled is a row for each task and term.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, list[int]] = {}
+        for b in batches:
+            for h, grade, words in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                at = 2 * h + (grade <= 0)
+                for term in {f for w in words for f in features(w)}:
+                    counts.setdefault(term, [0, 0, 0, 0])[at] += 1
+        if counts:
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *[pa.array([c[k] for c in counts.values()], pa.int64()) for k in range(4)]], names=["term", *names])
+
+    names = ["a0", "b0", "a1", "b1"]
+    held = by_id(rows)
+    counts = cut(held.mapInArrow(run, "term string, " + ", ".join(f"{n} long" for n in names)).groupBy("term").agg(*[F.sum(n).alias(n) for n in names]))
     split = [F.count_if((F.col("grade") > 0 if x == "a" else F.col("grade") <= 0) & (_half() == h)).alias(f"{x}{h}") for h in (0, 1) for x in "ab"]
     ids = rows.groupBy("doc_id").agg(F.max("grade").alias("grade")).agg(*split).first().asDict()
-    counts = rows.where("term is not null").groupBy("term").agg(*split)
     stem = F.col("term").endswith("-")
-    forms = cut_small(counts.where(~stem).select(F.explode(_beginnings()).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("k")))
+    forms = counts.where(~stem).select(F.explode(_beginnings()).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("k"))
     longer = forms.select(F.concat(F.expr("substring(term, 1, length(term) - 2)"), F.lit("-")).alias("term"), F.col("k").alias("k2")).groupBy("term").agg(F.max("k2").alias("k2"))
     beginnings = forms.join(longer, "term", "left").where("k > 1 and k > coalesce(k2, 0)").select("term")
     return Counted(cut_small(counts.where(~stem).unionByName(counts.where(stem).join(beginnings, "term", "left_semi"))), ids)
@@ -149,7 +177,7 @@ def severity(rows: DataFrame, counted: Counted, max_terms: int = 4096) -> DataFr
     """
     tell = [(t, h) for h in (0, 1) for t, speaks_for in telling_terms(counted, max_terms, (1 - h,)).items() if speaks_for]
     toxic = rows.where("grade > 0")
-    words = toxic.where(~F.col("term").endswith("-")).select("doc_id", _half().alias("h"), "term", F.explode(F.concat(F.array("term"), _beginnings())).alias("f"))
+    words = toxic.select("doc_id", _half().alias("h"), "term", F.explode(F.concat(F.array("term"), _beginnings())).alias("f"))
     hits = words.join(F.broadcast(rows.sparkSession.createDataFrame(tell, "f string, h long")), ["f", "h"]).groupBy("doc_id").agg(F.count_distinct("term").alias("hits"))
     every = cut_small(toxic.select("doc_id").distinct().join(hits, "doc_id", "left").fillna(0, "hits"))
     middle = every.agg(F.percentile("hits", 0.5)).first()[0] or 0
@@ -181,11 +209,16 @@ def fit(rows: DataFrame, max_terms: int = 4096, l2: float = 0.02, steps: int = 1
     tell = [t for t, speaks_for in telling_terms(counted, max_terms).items() if speaks_for or both_ways]
     if not tell:
         return OrdinalModel({}, np.array([50.0]))
-    spark = rows.sparkSession
-    index = spark.createDataFrame(list(enumerate(tell)), "i int, term string")
+    index = {t: i for i, t in enumerate(tell)}
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = [sorted({i for w in words for f in features(w) if (i := index.get(f)) is not None}) for words in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(at, pa.list_(pa.int32()))], names=["doc_id", "grade", "at"])
+
+    graded = by_id(severity(rows, counted, max_terms) if yes_no else rows)
     # an id of at most max_terms numbers, and max_labelled ids
-    graded = severity(rows, counted, max_terms) if yes_no else rows
-    held = graded.join(F.broadcast(index), "term", "left").groupBy("doc_id").agg(F.max("grade").alias("grade"), F.sort_array(F.collect_set("i")).alias("at")).orderBy("doc_id").collect()
+    held = sorted(graded.mapInArrow(chosen, T.StructType([graded.schema["doc_id"], T.StructField("grade", T.IntegerType()), T.StructField("at", T.ArrayType(T.IntegerType()))])).collect())
     grades = np.unique([r["grade"] for r in held], return_inverse=True)[1]
     k = int(grades.max())
     row, col = np.repeat(np.arange(len(held)), [len(r["at"]) for r in held]), np.array([i for r in held for i in r["at"]], int)
