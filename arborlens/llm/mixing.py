@@ -6,7 +6,8 @@ copies is a Poisson variable of that mean, drawn by inverting the distribution a
 number from the md5 of seed and id: the least k whose cumulative probability exceeds it. A mean
 over ``MOST_MEAN`` is split into equal parts of at most that, so that exp(-mean) stays far from 0,
 and the count is the sum of a draw for each part, which is a Poisson variable of the whole mean. Each
-document is exploded by its count, and the copies are ordered by the md5 of seed, id and copy,
+document is exploded by its parts, and each part by its count, so no row holds more than a part's copies, and
+counts of any size fit: copies are numbered from 0 in each part, and parts from multiples of ``PART_COPIES``, as longs. The copies are ordered by the md5 of seed, id and copy,
 which shuffles them globally: a sort over even ranges of the md5, so a source that holds a third of
 the rows is spread over all tasks, and a text moves once, after its count is drawn.
 
@@ -27,6 +28,8 @@ from arborlens.llm.common import cut_small, fresh, uniform
 MOST_BROADCAST = 1000
 #: The largest mean that is inverted at once; exp(-745) is the last above 0.
 MOST_MEAN = 500.0
+#: Numbers of copies that a part has to itself: more than any part draws.
+PART_COPIES = 4096
 
 
 def poisson_cdf(mean: Column) -> Column:
@@ -56,18 +59,22 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, total: float |
     """docs, each as often as drawn, in shuffled order. keep_keys: add ``copy`` (from 0) and ``shuffle_key``; else the columns of docs alone."""
     names = docs.columns
     cdf, parts, copy, key = fresh(names, "cdf"), fresh(names, "parts"), fresh(names, "copy"), fresh(names, "shuffle_key")
+    part, draw = fresh(names, "mix_part"), fresh(names, "mix_draw")
     of, size = fresh(names, "mix_source"), fresh(names, "mix_docs")
     named = F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit(""))
-    # a number for each part; the first is the one that a mean of one part is inverted at
-    drawn = F.transform(F.sequence(F.lit(0), F.col(parts) - 1), lambda k: F.when(k == 0, uniform(seed, named)).otherwise(uniform(f"{seed}/part", named, k.cast("string"))))
     # sources of over a thousandth of the documents, a thousand rows at most, are joined where the documents lie
     means = cut_small(rates(docs, weights, total, source, text).select(F.col("source").alias(of), F.col("n_docs").alias(size), F.col("parts").alias(parts), F.col("cdf").alias(cdf)))
     least = (means.agg(F.sum(size)).first()[0] or 0) / MOST_BROADCAST
     marked = docs.join(F.broadcast(means.where(F.col(size) > least)), F.col(f"`{source}`").eqNullSafe(F.col(of)), "left")
     rest = marked.where(F.col(parts).isNull()).select(*[F.col(f"`{c}`") for c in names]).join(means.where(F.col(size) <= least), F.col(f"`{source}`").eqNullSafe(F.col(of)))
     joined = marked.where(F.col(parts).isNotNull()).unionByName(rest).drop(of, size)
-    count = F.aggregate(drawn, F.lit(0), lambda n, u: n + F.size(F.filter(F.col(cdf), lambda c: c <= u)))
-    copies = joined.withColumn(copy, F.explode(F.when(count > 0, F.sequence(F.lit(0), count - 1)))).drop(cdf, parts)
+    each = joined.withColumn(part, F.explode(F.sequence(F.lit(0), F.col(parts) - 1)))
+    # the first part is drawn by the number that a mean of one part is inverted at
+    drawn = F.when(F.col(part) == 0, uniform(seed, named)).otherwise(uniform(f"{seed}/part", named, F.col(part).cast("string")))
+    count = F.size(F.filter(F.col(cdf), lambda c: c <= F.col(draw)))
+    numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1))
+    made = each.withColumn(draw, drawn).withColumn(copy, F.explode(numbers)).withColumn(copy, F.col(part).cast("long") * PART_COPIES + F.col(copy))
+    copies = made.drop(cdf, parts, part, draw)
     keyed = copies.withColumn(key, F.md5(F.concat_ws(":", F.lit(f"{seed}/order"), named, F.col(copy).cast("string"))))
     # keys are spread evenly, so the bounds of a global sort are known without a sample, and texts move once
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

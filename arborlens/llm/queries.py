@@ -188,7 +188,7 @@ WITH s AS (
   FROM (SELECT *, row_number() OVER () AS r FROM d) d JOIN c ON d.source IS NOT DISTINCT FROM c.source AND c.cdf <= d.u
   GROUP BY r, d.doc_id, d.source, d.text
 )
-SELECT doc_id, source, text, copy::INTEGER AS copy, md5('17/order:' || coalesce(doc_id::VARCHAR, '') || ':' || copy) AS shuffle_key
+SELECT doc_id, source, text, copy::BIGINT AS copy, md5('17/order:' || coalesce(doc_id::VARCHAR, '') || ':' || copy) AS shuffle_key
 FROM n, LATERAL (SELECT unnest(range(0, copies)) AS copy)""",
     "op12_filter_audit": """
 WITH d AS (

@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 from arborlens.llm import mixing
+from pyspark.sql import functions as F
 
 
 def table(spark):
@@ -96,3 +97,11 @@ def test_large_means_are_drawn_too(spark):
     mean = 240_060 / 2 / 60
     assert abs(sum(counts) / 60 - mean) < 5 * math.sqrt(mean / 60)
     assert 0.4 * mean < sum((c - mean) ** 2 for c in counts) / 60 < 2 * mean
+
+
+def test_a_count_of_millions_is_no_row_of_millions(spark):
+    df = spark.createDataFrame([(1, "x", "s")], "doc_id long, text string, source string")
+    keyed = mixing.mix(df, {"s": 1.0}, total=1_500_000.0, keep_keys=True)
+    n, distinct, top = keyed.agg(F.count(F.lit(1)), F.count_distinct("copy"), F.max("copy")).first()
+    assert abs(n - 1_500_000) < 6 * math.sqrt(1_500_000) and distinct == n and top >= 2999 * mixing.PART_COPIES
+    assert dict(keyed.dtypes)["copy"] == "bigint"
