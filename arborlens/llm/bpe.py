@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from arborlens.llm.common import fresh, in_chunks
 
 #: Words that a worker remembers.
-CACHE = 300_000
+CACHE = 200_000
 #: Symbols up to which fragments are encoded many at a time; longer ones go one by one over a heap.
 SHORT = 64
 #: The split pattern for which Latin-1 texts without odd numerals or spaces can use the faster standard module, and its form there.
