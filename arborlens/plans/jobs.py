@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from arborlens.functions.geometry import Ring
-from arborlens.operators import points
+from arborlens.operators import points, registration
 from pyspark.sql import DataFrame
 
 
@@ -24,10 +24,10 @@ def center(cloud: DataFrame) -> DataFrame:
     return points.center_cloud(cloud)
 
 
-def align(fixed: DataFrame, moving: DataFrame, radius: float = 0.5, every: int = 1) -> DataFrame:
-    """The moving cloud aligned with the fixed one; one point in ``every`` decides the matrix."""
+def align(fixed: DataFrame, moving: DataFrame, radius: float = 0.5, every: int = 1, coarse: float | None = None) -> DataFrame:
+    """The moving cloud aligned with the fixed one; one point in ``every`` decides the matrix. With a cell for ``coarse``, clouds may lie anywhere and be turned about the upright axis."""
     sample = points.decimate(moving, every) if every > 1 else moving
-    _, matrix = points.icp(sample, fixed, radius)
+    _, matrix = registration.register(sample, fixed, coarse, radius) if coarse else points.icp(sample, fixed, radius)
     return points.affine(moving, matrix.tolist())
 
 

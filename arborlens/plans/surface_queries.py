@@ -5,7 +5,7 @@ The cloud is that of the other queries: the first three numbers of each embeddin
 
 from __future__ import annotations
 
-from arborlens.operators import planar, points, rays, spatial, surface
+from arborlens.operators import planar, points, rays, registration, spatial, surface, trees
 from arborlens.plans.queries import _CLOUD, _cloud, query, read
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -116,3 +116,30 @@ def surroundings(spark, d):
 def smooth_on_planes(spark, d):
     """SQL has no eigenvectors; what the planes rest on is the query before."""
     return surface.smooth_on_planes(_cloud(spark, d), 0.1, flat=0.3)
+
+
+# the second cloud lacks other trees than the first, and its trees have other names
+_TREES = """, a AS (SELECT segment_id AS t, floor(x / 0.1)::BIGINT AS i, floor(y / 0.1)::BIGINT AS j, floor(z / 0.1)::BIGINT AS k, z FROM p WHERE seq % 3 <> 0 AND segment_id % 5 <> 0),
+b AS (SELECT 1000 - segment_id AS t, floor(x / 0.1)::BIGINT AS i, floor(y / 0.1)::BIGINT AS j, floor(z / 0.1)::BIGINT AS k, z FROM p WHERE seq % 3 <> 1 AND segment_id % 5 <> 1),
+o AS (SELECT u.t AS f, v.t AS s, count(*) AS shared FROM (SELECT DISTINCT t, i, j, k FROM a) u JOIN (SELECT DISTINCT t, i, j, k FROM b) v USING (i, j, k) GROUP BY u.t, v.t),
+x AS (SELECT f, first(s ORDER BY shared DESC, s) AS s, max(shared) AS shared FROM o GROUP BY f), y AS (SELECT s, first(f ORDER BY shared DESC, f) AS f, max(shared) AS shared FROM o GROUP BY s),
+m AS (SELECT x.f, x.s, x.shared FROM x JOIN y ON x.f = y.f AND x.s = y.s),
+na AS (SELECT t, count(*) AS n, max(z) - min(z) AS h FROM a GROUP BY t), nb AS (SELECT t, count(*) AS n, max(z) - min(z) AS h FROM b GROUP BY t)"""
+
+
+@query(f"""{_CLOUD}{_TREES} SELECT 'matched' AS state, f AS first, s AS second, NULL AS likeliest, shared, na.n AS n_first, nb.n AS n_second, round(nb.h - na.h, 6) AS growth FROM m JOIN na ON na.t = f JOIN nb ON nb.t = s
+UNION ALL SELECT 'gone', na.t, NULL, x.s, coalesce(x.shared, 0), na.n, 0, NULL FROM na LEFT JOIN x ON x.f = na.t WHERE na.t NOT IN (SELECT f FROM m)
+UNION ALL SELECT 'new', NULL, nb.t, y.f, coalesce(y.shared, 0), 0, nb.n, NULL FROM nb LEFT JOIN y ON y.s = nb.t WHERE nb.t NOT IN (SELECT s FROM m)""")
+def tree_difference(spark, d):
+    p = _cloud(spark, d)
+    second = p.where("seq % 3 <> 1 and segment_id % 5 <> 1").withColumn("segment_id", 1000 - F.col("segment_id"))
+    return trees.match(p.where("seq % 3 <> 0 and segment_id % 5 <> 0"), second, 0.1).withColumn("growth", F.round("growth", 6))
+
+
+# the cloud was turned and moved far away, so registration gives the cloud itself
+@query(f"{_CLOUD} SELECT seq, round(x, 3) + 0.0 AS x, round(y, 3) + 0.0 AS y, round(z, 3) + 0.0 AS z FROM p")
+def register_far(spark, d):
+    p = _cloud(spark, d)
+    far = points.translate(points.rotate_z(p, 90), 7, -5, 3)
+    moved, _ = registration.register(far, p, 0.05, 0.05, rounds=5)
+    return moved.select("seq", *[(F.round(a, 3) + F.lit(0.0)).alias(a) for a in points.XYZ])
