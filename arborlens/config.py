@@ -18,7 +18,11 @@ UNMEASURED_COLOUR = "grey80"
 
 @dataclass(frozen=True)
 class Census:
-    """Column names and thresholds of one site. Profiles: which optional groups of rules run."""
+    """Thresholds, names and layers of one site. Profiles: which optional groups of rules run.
+
+    ``columns`` says what a site calls the columns that the library names in its own words, as pairs
+    (the library's name, the site's); those not listed are called the same.
+    """
 
     duplicate_distance: float = 0.01
     largest_growth: float = 150
@@ -27,3 +31,12 @@ class Census:
     rekey_base: int = 5000
     tag_ranges: tuple[tuple[int, int], ...] = ((1, 500), (501, 1000), (1001, 1500))
     profile: tuple[str, ...] = ("core",)
+    columns: tuple[tuple[str, str], ...] = ()
+    standing_layer: str = "standing"
+    lying_layer: str = "lying"
+    errors_layer: str = "ERRORS"
+
+    def __post_init__(self) -> None:
+        for side in zip(*self.columns, strict=True):
+            if len({name.lower() for name in side}) < len(side):
+                raise ValueError("a column has two names, or two columns have one")

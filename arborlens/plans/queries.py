@@ -397,6 +397,23 @@ def crew_counts(spark, d):
     return reports.with_group_count(read(spark, d, "events").select("event_id", F.nullif("event_type", F.lit("view")).alias("crew")), "crew")
 
 
+@query(f"""{_CENSUS_SQL}, v AS (SELECT *, species AS crew FROM r) SELECT 'total' AS metric, NULL AS key, count(*) AS n FROM v UNION ALL SELECT 'visited', NULL, count(dbh) FROM v
+UNION ALL SELECT 'errors', NULL, count(*) FILTER (WHERE dbh IS NOT NULL AND status IS NOT NULL AND concat_ws(' ', e403, e203, e308, e310, e311, e312, e313, e314) <> '') FROM v
+UNION ALL SELECT 'crew', crew, count(*) FROM v WHERE dbh IS NOT NULL AND crew IS NOT NULL GROUP BY crew UNION ALL SELECT 'status', status, count(*) FROM v WHERE status IS NOT NULL GROUP BY status
+UNION ALL SELECT 'flag', 'is_new_record', count(*) FROM v WHERE dbh_old IS NULL HAVING count(*) > 0
+UNION ALL SELECT 'code', code, count(*) FROM (SELECT unnest([e403, e203, e308, e310, e311, e312, e313, e314]) AS code FROM v) WHERE code IS NOT NULL GROUP BY code""")
+def report_metrics(spark, d):
+    checked, _ = evaluate(_census(spark, d), Census())
+    return reports.metrics(checked.withColumns({"crew": F.col("species"), "is_new_record": F.col("dbh_old").isNull()}))
+
+
+@query("""WITH c AS (SELECT event_type AS crew, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY 1), k AS (SELECT *, row_number() OVER (ORDER BY crew) - 1 AS place, count(*) OVER () AS m FROM c),
+h AS (SELECT *, m // 4 AS pale, m - m // 4 AS warm FROM k) SELECT crew, n, place, '#FF' || printf('%02X', floor(255 * CASE WHEN place >= warm THEN 1 WHEN warm > 1 THEN place / (warm - 1) ELSE 0 END + 0.5)::BIGINT)
+|| printf('%02X', floor(255 * CASE WHEN place >= warm THEN (2 * (place - warm) + 1) / (2 * pale) ELSE 0 END + 0.5)::BIGINT) AS colour FROM h""")
+def crew_bars(spark, d):
+    return reports.counts_with_colour(read(spark, d, "events").select(F.col("event_type").alias("crew")), "crew")
+
+
 @query("""SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'grey80' WHEN user_id % 4 = 0 THEN 'red' WHEN user_id % 4 = 1 THEN 'violet' WHEN user_id % 4 = 2 THEN 'blue3' END AS colour FROM events""")
 def crew_colours(spark, d):
     crew = F.when(F.col("user_id") % 4 == 0, "Cerveny").when(F.col("user_id") % 4 == 1, "Duhovy").when(F.col("user_id") % 4 == 2, "Modry")

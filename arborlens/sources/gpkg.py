@@ -89,7 +89,7 @@ def _open_file(path: str) -> sqlite3.Connection:
 
 
 def layer_schema(db: sqlite3.Connection, layer: str) -> tuple[T.StructType, str]:
-    """The layer's columns, x, y, z and geom_wkb in place of its geometry, and the geometry's name."""
+    """The layer's columns, x, y, z and geom_wkb in place of its geometry (but for those that it has as columns), and the geometry's name."""
     geom = (db.execute("select column_name from gpkg_geometry_columns where table_name = ?", (layer,)).fetchone() or ("",))[0]
     fields = []
     for _, name, kind, *_ in db.execute(f'pragma table_info("{layer}")'):
@@ -99,22 +99,24 @@ def layer_schema(db: sqlite3.Connection, layer: str) -> tuple[T.StructType, str]
     if not fields:
         raise ValueError(f"no layer {layer}")
     place = [T.StructField(a, T.DoubleType()) for a in ("x", "y", "z")] + [T.StructField("geom_wkb", T.BinaryType())] if geom else []
-    return T.StructType([*fields, *place]), geom
+    held = {f.name.lower() for f in fields}
+    return T.StructType([*fields, *(f for f in place if f.name not in held)]), geom
 
 
 def layer_rows(db: sqlite3.Connection, layer: str, schema: T.StructType, device: str, ids: tuple[int, int] | None = None) -> Iterator[pa.RecordBatch]:
     """Rows of a layer, those of row ids from the first up to the second if given, in batches; columns that it lacks are null."""
     found, geom = layer_schema(db, layer)
     wanted = [f for f in schema.fields if f.name != "device"]
-    own = [f.name for f in found.fields if f.name not in ("x", "y", "z", "geom_wkb") and f.name in schema.names]
+    held = {name for _, name, *_ in db.execute(f'pragma table_info("{layer}")')}
+    own = [f.name for f in found.fields if f.name in held and f.name in schema.names]
     chosen = ", ".join(f'"{n}"' for n in own + [geom] * bool(geom)) or "1"
     cursor = db.execute(f'select {chosen} from "{layer}"' + (" where rowid between ? and ?" if ids else ""), ids or ())
     while rows := cursor.fetchmany(BLOCK):
         data = {n: [r[i] for r in rows] for i, n in enumerate(own)}
         if geom:
-            data["geom_wkb"] = [wkb_of(r[-1]) for r in rows]
-            points = [point_of(w) for w in data["geom_wkb"]]
-            data |= {a: [p[i] for p in points] for i, a in enumerate("xyz")}
+            shapes = [wkb_of(r[-1]) for r in rows]
+            points = [point_of(w) for w in shapes]
+            data = {"geom_wkb": shapes} | {a: [p[i] for p in points] for i, a in enumerate("xyz")} | data
         columns = [pa.array([None if v is None else KINDS[f.dataType][1](v) for v in data.get(f.name, [None] * len(rows))], KINDS[f.dataType][0]) for f in wanted]
         yield pa.RecordBatch.from_arrays([*columns, pa.array([device] * len(rows), pa.string())], names=[*(f.name for f in wanted), "device"])
 
@@ -282,11 +284,12 @@ def sequenced(df: DataFrame) -> DataFrame:
 
 
 def write_gpkg(df: DataFrame, path: str, layer: str) -> None:
-    """Replaces the file, on a file system that all executors mount, by one with one layer; rows are in the order of df's partitions."""
+    """Replaces the file, on a file system that all executors mount, by one with one layer; rows are in the order of df's partitions. With x and y, these are the geometry: a geom_wkb beside them isn't written, z is a plain column."""
     if (target := local_path(path)) is None:
         raise ValueError("a GeoPackage is written to a mounted file system")
     os.makedirs(os.path.dirname(target), exist_ok=True)
     df.sparkSession.dataSource.register(LayerSource)
+    df = df.drop("geom_wkb") if _spatial(df.columns) else df
     df.write.format("gpkg_layer").option("path", path).option("layer", layer).mode("append").save()
 
 
