@@ -91,60 +91,81 @@ def _crossings(sides: Column, x: Column | None, y: Column) -> Column:
     return F.transform(hit, at)
 
 
-def cover(polygons: DataFrame, polygon: str = "polygon_id", rings: str = "rings") -> DataFrame:
-    """The square cells that each polygon touches: _level (cells have sides of 2 ** _level), _cx, _cy, the polygon's id, and _row: null in a cell that lies within it, else the polygon's sides at the cell's height.
-
-    A polygon's cells fit its size and its number of sides: LEAST_ROWS to MOST_ROWS of them along its longer side.
-    """
-    each = polygons.select(F.col(polygon).alias("_pid"), _sides(F.col(rings)).alias("_s")).where(F.size("_s") > 0)
+def _sized(each: DataFrame) -> DataFrame:
+    """Adds the size of a polygon's cells, _c = 2 ** _level, by its sides _s."""
     box = lambda f, a: f(F.transform("_s", lambda e: e[a]))
     size = F.greatest(box(F.array_max, "x1") - box(F.array_min, "x1"), box(F.array_max, "y1") - box(F.array_min, "y1"))
     rows = F.least(F.greatest(F.size("_s") / SIDES_PER_ROW, F.lit(float(LEAST_ROWS))), F.lit(float(MOST_ROWS)))
     level = F.when(size > 0, F.ceil(F.log2(size / rows))).otherwise(0).cast("int")
-    sized = each.withColumn("_level", level).withColumn("_c", F.pow(F.lit(2.0), F.col("_level")))
-    side = saved(sized.select("_pid", "_level", "_c", F.explode("_s").alias("_e")))
+    return each.withColumn("_level", level).withColumn("_c", F.pow(F.lit(2.0), F.col("_level")))
+
+
+def _strips(sized: DataFrame) -> DataFrame:
+    """For each row of cells of a polygon (_pid, _cy; also _level and _c) the sides at its height, _row. A row is made from its polygon's row alone."""
+    cell = lambda v: F.floor(v / F.col("_c")).cast("bigint")
+    ends = F.transform("_s", lambda e: e["y1"])
+    heights = sized.withColumn("_cy", F.explode(F.sequence(cell(F.array_min(ends)), cell(F.array_max(ends)))))
+    at = F.filter("_s", lambda e: (cell(F.least(e["y1"], e["y2"])) <= F.col("_cy")) & (cell(F.greatest(e["y1"], e["y2"])) >= F.col("_cy")))
+    return heights.select("_pid", "_level", "_c", "_cy", at.alias("_row")).where(F.size("_row") > 0)
+
+
+def cover(sized: DataFrame) -> DataFrame:
+    """The square cells that each polygon touches: _pid, _level (cells have sides of 2 ** _level), _cx, _cy, and _border: whether a side passes the cell; else it lies within.
+
+    A polygon's cells fit its size and its number of sides: LEAST_ROWS to MOST_ROWS of them along its longer side. They come from the polygon's
+    row without a shuffle, and hold none of its sides (see _strips).
+    """
+    at = _strips(sized)
+    low, high = F.col("_cy") * F.col("_c"), (F.col("_cy") + 1) * F.col("_c")
     cell = lambda v: F.floor(v / F.col("_c")).cast("bigint")
-    # rows: the sides at each height
-    e = {k: F.col(f"_e.{k}") for k in ("x1", "y1", "x2", "y2")}
-    low, high = F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])
-    strips = saved(side.withColumn("_cy", F.explode(F.sequence(cell(low), cell(high)))).groupBy("_pid", "_level", "_c", "_cy").agg(F.collect_list("_e").alias("_row")))
-    # cells that a side passes: for each column of cells, the heights that it has there, a little widened
-    left, right = F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])
-    columns = side.withColumn("_cx", F.explode(F.sequence(cell(left), cell(right))))
-    along = lambda x: F.when(e["x1"] == e["x2"], F.lit(None)).otherwise(e["y1"] + (e["y2"] - e["y1"]) * (x - e["x1"]) / (e["x2"] - e["x1"]))
-    from_, to = along(F.greatest(left, F.col("_cx") * F.col("_c"))), along(F.least(right, (F.col("_cx") + 1) * F.col("_c")))
-    slack = F.col("_c") * 1e-9
-    begin = F.greatest(low, F.coalesce(F.least(from_, to), low)) - slack
-    end = F.least(high, F.coalesce(F.greatest(from_, to), high)) + slack
-    border = columns.withColumn("_cy", F.explode(F.sequence(cell(begin), cell(end)))).select("_pid", "_level", "_cx", "_cy").distinct()
+
+    def passed(e: Column) -> Column:
+        """Cells of the row that a side passes, a little widened."""
+        left, right = F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])
+        along = lambda y: F.when(e["y1"] == e["y2"], F.lit(None)).otherwise(e["x1"] + (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]))
+        from_, to = along(F.greatest(F.least(e["y1"], e["y2"]), low)), along(F.least(F.greatest(e["y1"], e["y2"]), high))
+        slack = F.col("_c") * 1e-9 + (F.abs(left) + F.abs(right)) * 4e-15
+        return F.sequence(cell(F.greatest(left, F.coalesce(F.least(from_, to), left)) - slack), cell(F.least(right, F.coalesce(F.greatest(from_, to), right)) + slack))
+
+    border = F.array_distinct(F.flatten(F.transform("_row", passed)))
     # cells within: their middle is within, and no side passes them
-    middle = (F.col("_cy") + 0.5) * F.col("_c")
-    cuts = strips.select("_pid", "_level", "_c", "_cy", F.array_sort(_crossings(F.col("_row"), None, middle)).alias("_x"))
-    spans = cuts.where("size(_x) > 1").withColumn("_k", F.explode(F.sequence(F.lit(0), F.size("_x") - 2, F.lit(2))))
-    first, last = F.ceil(F.get("_x", F.col("_k")) / F.col("_c") - 0.5).cast("bigint"), F.floor(F.get("_x", F.col("_k") + 1) / F.col("_c") - 0.5).cast("bigint")
-    within = spans.select("_pid", "_level", "_cy", first.alias("_a"), last.alias("_b")).where("_a <= _b").withColumn("_cx", F.explode(F.sequence("_a", "_b"))).select("_pid", "_level", "_cx", "_cy")
-    cells = border.withColumn("_border", F.lit(True)).unionByName(within.withColumn("_border", F.lit(False))).groupBy("_pid", "_level", "_cx", "_cy").agg(F.max("_border").alias("_border"))
-    rows_at = strips.select("_pid", "_cy", "_row")
-    edge = cells.where("_border").join(rows_at, ["_pid", "_cy"]).select("_pid", "_level", "_cx", "_cy", "_row")
-    # a cell passed by slack alone may lie beyond the polygon's rows; no point there is inside
-    return edge.unionByName(cells.where("not _border").select("_pid", "_level", "_cx", "_cy", F.lit(None).cast(strips.schema["_row"].dataType).alias("_row")))
+    cuts = F.array_sort(_crossings(F.col("_row"), None, (F.col("_cy") + 0.5) * F.col("_c")))
+
+    def between(k: Column) -> Column:
+        first, last = F.ceil(F.get("_x", k) / F.col("_c") - 0.5).cast("bigint"), F.floor(F.get("_x", k + 1) / F.col("_c") - 0.5).cast("bigint")
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+
+    spans = F.flatten(F.transform(F.sequence(F.lit(0), F.size("_x") - 2, F.lit(2)), between))
+    rows = at.select("_pid", "_level", "_c", "_cy", border.alias("_b"), cuts.alias("_x"))
+    rows = rows.withColumn("_w", F.when(F.size("_x") > 1, F.array_except(spans, F.col("_b"))).otherwise(F.array().cast("array<bigint>")))
+    marked = lambda c, v: F.transform(c, lambda x: F.struct(x.alias("x"), F.lit(v).alias("border")))
+    cells = rows.select("_pid", "_level", "_cy", F.explode(F.concat(marked("_b", True), marked("_w", False))).alias("_k"))
+    return cells.select("_pid", "_level", F.col("_k.x").alias("_cx"), "_cy", F.col("_k.border").alias("_border"))
 
 
 def in_polygons(points: DataFrame, polygons: DataFrame, polygon: str = "polygon_id", rings: str = "rings", x: str = "x", y: str = "y") -> DataFrame:
     """points, once for each polygon that they lie in, with its id: by the parity of sides that a ray to the right crosses, so holes and rings in any direction will do.
 
-    Points and polygons meet by the cells that cover the polygons; only points in cells that a side passes are tested, against the
-    sides at the cell's height. A point in no polygon has no row; null coordinates lie nowhere. Of neighbours that share
+    Rows of one id are one polygon; a row without id is left out. Polygons of equal rings are looked for once. Points and polygons meet by the cells that cover the
+    polygons; only points in cells that a side passes are tested, against the sides at the cell's height. A point in no polygon has no row; null coordinates lie nowhere. Of neighbours that share
     a side, a point on it lies in one.
+
+    Cells are many more than their polygons, which Spark's estimates of sizes don't see; so joins with them are merged, and none is collected for a broadcast.
     """
-    cells = saved(cover(polygons, polygon, rings))
+    whole = polygons.where(F.col(polygon).isNotNull()).groupBy(F.col(polygon).alias("_id")).agg(_sides(F.flatten(F.collect_list(rings))).alias("_s")).where(F.size("_s") > 0).withColumn("_h", F.xxhash64("_s"))
+    shapes = saved(_sized(whole.groupBy("_h", "_s").agg(F.min("_id").alias("_pid"))))
+    members = whole.hint("merge").join(shapes.select("_h", "_s", "_pid"), ["_h", "_s"]).select("_id", "_pid")
     # sizes of cells: a few numbers between the exponents of the smallest and the largest polygon
-    levels = [r[0] for r in cells.select("_level").distinct().collect()]
+    levels = [r[0] for r in shapes.select("_level").distinct().collect()]
     if not levels:
         return points.select("*", F.lit(None).cast(polygons.schema[polygon].dataType).alias(polygon)).limit(0)
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
     at = points.where(px.isNotNull() & py.isNotNull()).withColumn("_level", F.explode(F.array(*[F.lit(v).cast("int") for v in sorted(levels)])))
     at = at.withColumn("_cx", F.floor(px / F.pow(F.lit(2.0), F.col("_level"))).cast("bigint")).withColumn("_cy", F.floor(py / F.pow(F.lit(2.0), F.col("_level"))).cast("bigint"))
-    met = at.join(cells, ["_level", "_cx", "_cy"])
-    hit = F.col("_row").isNull() | (F.size(_crossings(F.col("_row"), px, py)) % 2 == 1)
-    return met.where(hit).select(*points.columns, F.col("_pid").alias(polygon))
+    met = at.join(cover(shapes).hint("merge"), ["_level", "_cx", "_cy"])
+    # a cell within has no height to be tested at
+    met = met.withColumn("_at", F.when(F.col("_border"), F.col("_cy"))).drop("_level", "_cx", "_cy")
+    rows_at = _strips(shapes).select("_pid", F.col("_cy").alias("_at"), "_row")
+    tested = met.join(rows_at.hint("merge"), ["_pid", "_at"], "left")
+    hits = tested.where(~F.col("_border") | (F.size(_crossings(F.col("_row"), px, py)) % 2 == 1))
+    return hits.join(members.hint("merge"), "_pid").select(*[f"`{c}`" for c in points.columns], F.col("_id").alias(polygon))

@@ -88,3 +88,27 @@ def test_sizes(spark, size):
     rings = [[(0.0, 0.0), (size, 0.0), (size, size), (0.0, size)]]
     points = spark.createDataFrame([(1, size / 2, size / 2), (2, size * 2, size / 2), (3, size * 0.01, size * 0.99)], "seq long, x double, y double")
     assert sorted(r.seq for r in planar.in_polygons(points, spark.createDataFrame([(1, rings)], POLYGON)).collect()) == [1, 3]
+
+
+def test_cells_are_not_collected(spark):
+    """Cells of polygons, more by far than Spark's estimates of them, never go through the driver, not even where much may be broadcast."""
+    corner = lambda dx, dy: F.struct((F.col("id") % 100 + dx).alias("x"), (F.floor(F.col("id") / 100) % 20 + dy).alias("y"))
+    ring = F.array(corner(0.25, 0.25), corner(0.75, 0.25), corner(0.75, 0.75), corner(0.25, 0.75))
+    polygons = spark.range(6000).select(F.col("id").alias("polygon_id"), F.array(ring).alias("rings"))  # 2,000 places, three polygons each
+    points = spark.range(2000).select(F.col("id").alias("seq"), (F.col("id") % 100 + 0.5).alias("x"), (F.floor(F.col("id") / 100) + 0.5).alias("y"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        found = planar.in_polygons(points, polygons)
+        assert found.where("seq = polygon_id % 2000").count() == found.count() == 6000
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_of_one_id_are_one_polygon(spark):
+    ring = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)]
+    hole = [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 2.0)]
+    points = spark.createDataFrame([(1, 1.5, 1.5), (2, 3.0, 3.0)], "seq long, x double, y double")
+    rows = [(7, [ring]), (7, [hole]), (8, [ring]), (8, [ring]), (9, [ring, hole]), (None, [ring])]
+    assert sorted((r.seq, r.polygon_id) for r in planar.in_polygons(points, spark.createDataFrame(rows, POLYGON)).collect()) == [(2, 7), (2, 9)]
