@@ -6,10 +6,17 @@ arrays of (x, y), the outer ring and then holes; nothing of them goes into a pla
 
 from __future__ import annotations
 
-from arborlens.operators.records import saved
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from arborlens.operators.records import saved, stored
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Directed sides that one task follows around their faces, about.
+TASK_SIDES = 250_000
 #: Rows of cells that a polygon is cut into: one for so many sides, within these bounds.
 SIDES_PER_ROW, LEAST_ROWS, MOST_ROWS = 8, 8, 256
 
@@ -35,47 +42,143 @@ def _places(pointers: DataFrame) -> DataFrame:
     return at.select("_id", "_left")
 
 
-def _half_edges(segments: DataFrame) -> DataFrame:
-    """Each side in both directions with _id, _twin, and _next, the side that follows it around the face on its left.
+def _around(following: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For pointers that lead around cycles or end at len(following): the least place on the cycle (len(following) on a chain that ends), and the steps to the last place before the least one."""
+    n = len(following)
+    least, jump = np.append(np.arange(n), n), np.append(following, n)
+    for _ in range(n.bit_length()):
+        least, jump = np.minimum(least, least[jump]), jump[jump]
+    face = np.where(jump[:n] < n, least[:n], n)
+    jump = np.append(np.where((following == face) | (face == n), n, following), n)
+    left = (jump < n).astype(np.int64)
+    for _ in range(n.bit_length()):
+        left, jump = left + left[jump], jump[jump]
+    return face, left[:n]
 
-    Around a node the outgoing sides are sorted by angle; a side that comes in goes on along the one clockwise of its way back.
-    """
-    both = segments.select("_e", F.explode(F.array(F.lit(0), F.lit(1))).alias("_d"), "x1", "y1", "x2", "y2")
-    turned = lambda a, b: F.when(F.col("_d") == 0, F.col(a)).otherwise(F.col(b))
-    out = both.select((F.col("_e") * 2 + F.col("_d")).alias("_id"), (F.col("_e") * 2 + 1 - F.col("_d")).alias("_twin"), turned("x1", "x2").alias("ax"), turned("y1", "y2").alias("ay"), turned("x2", "x1").alias("bx"), turned("y2", "y1").alias("by"))
-    angle = F.atan2(F.col("by") - F.col("ay"), F.col("bx") - F.col("ax"))
-    w = Window.partitionBy("ax", "ay").orderBy("_angle", "_id")
-    around = out.withColumn("_angle", angle).withColumn("_before", F.coalesce(F.lag("_id").over(w), F.last("_id").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-    onward = around.select(F.col("_twin").alias("_id"), F.col("_before").alias("_next"))
-    return saved(out.join(onward, "_id"))
 
+_FACES = "area double, n_sides long, ring array<struct<x:double,y:double>>"
+_OPEN = ("ux", "uy", "ax", "ay", "bx", "by")
 
-def polygonize(segments: DataFrame) -> DataFrame:
-    """The bounded faces of line work: face_id, area, n_sides and ring, an array of (x, y) against the clock from its least side on, the first point not repeated.
 
-    Segments of no length and repeated ones count once or not at all; null coordinates are left out. Dead ends and bridges, which have the
-    same face on both sides, bound nothing and go before faces are made. A part of the line work that lies within a face of another
-    isn't cut out of it. Faces have no order; a ring must fit in a row, the unbounded face never becomes one.
+def _trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The faces whose points all lie in the task, and, of the others, each side u -> a that comes in at a point of the task with the side a -> b that follows.
+
+    Around a point the outgoing sides are sorted by angle; a side that comes in goes on along the one clockwise of its way back. A side with one such face on both sides bounds nothing;
+    both its directions are then on that face, so that face alone is followed again without it.
     """
-    a, b = F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))
-    ends = segments.select(*[F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")]).dropna()
-    ends = ends.select(*[(F.col(c) + 0.0).alias(c) for c in ends.columns]).where(a != b)  # -0 is 0
-    low, high = F.least(a, b), F.greatest(a, b)
-    sides = ends.select(low.alias("p"), high.alias("q")).distinct().select(F.col("p.x").alias("x1"), F.col("p.y").alias("y1"), F.col("q.x").alias("x2"), F.col("q.y").alias("y2"))
-    sides = saved(sides.withColumn("_e", F.monotonically_increasing_id()))
-    half = _half_edges(sides)
+    batches = [x for x in batches if x.num_rows]
+    if not batches:
+        return
+    held = pa.Table.from_batches(batches)
+    ax, ay, bx, by = (held.column(c).to_numpy() for c in ("ax", "ay", "bx", "by"))
+    order = np.lexsort((by, bx, np.arctan2(by - ay, bx - ax), ay, ax))
+    ax, ay, bx, by = ax[order], ay[order], bx[order], by[order]
+    n, a, b = len(ax), np.empty(len(ax), complex), np.empty(len(ax), complex)
+    a.real, a.imag, b.real, b.imag = ax, ay, bx, by
+    first = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
+    last = np.append(first[1:], n) - 1
+    before = np.arange(n) - 1
+    before[first] = last
+    points, node = a[first], np.repeat(np.arange(len(first)), last - first + 1)
+    far = np.minimum(np.searchsorted(points, b), len(points) - 1)
+    inside = points[far] == b
+    key = node * len(points) + far
+    here = np.flatnonzero(inside)
+    by_key = here[np.argsort(key[here])]
+    twin = np.full(n, n)
+    twin[here] = by_key[np.searchsorted(key[by_key], far[here] * len(points) + node[here])]
+    following = np.append(before, n)[twin]
+    face, left = _around(following)
+    closed = face < n
+    loose = np.append(closed & (face == np.append(face, n)[twin]), False)
+    outer = np.flatnonzero(~np.append(closed, False)[twin])
+    if loose.any():
+        while (hit := loose[following] & ~loose[:n]).any():
+            following[hit] = before[following[hit]]
+        kept = np.flatnonzero(closed & ~loose[:n])
+        place = np.full(n + 1, len(kept))
+        place[kept] = np.arange(len(kept))
+        face, left = _around(place[following[kept]])
+        ax, ay, bx, by = ax[kept], ay[kept], bx[kept], by[kept]
+    else:
+        kept = np.flatnonzero(closed)
+        face, left = face[kept], left[kept]
+        ax, ay, bx, by = ax[kept], ay[kept], bx[kept], by[kept]
+    u, c = b[outer], b[before[outer]]
+    opened = [u.real, u.imag, a.real[outer], a.imag[outer], c.real, c.imag]
+    ring = np.lexsort((-left, face))
+    starts = np.flatnonzero(np.append(True, np.diff(face[ring]) != 0)) if len(ring) else np.empty(0, np.int64)
+    sizes = np.diff(starts, append=len(ring))
+    area = np.add.reduceat(((ax * by - bx * ay) / 2)[ring], starts) if len(ring) else np.empty(0)
+    good = area > 0
+    ring = ring[np.repeat(good, sizes)]
+    at = pa.StructArray.from_arrays([pa.array(ax[ring]), pa.array(ay[ring])], names=["x", "y"])
+    rings = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes[good])).astype(np.int32)), at)
+    names = ["area", "n_sides", "ring", *_OPEN]
+    none = lambda m, k: pa.nulls(m, k)
+    made, rest = int(good.sum()), len(outer)
+    columns = [pa.array(area[good]), pa.array(sizes[good].astype(np.int64)), rings]
+    yield from pa.Table.from_arrays([*columns, *[none(made, pa.float64())] * 6], names=names).to_batches(max_chunksize=10_000)
+    yield from pa.Table.from_arrays([none(rest, c.type) for c in columns] + [pa.array(v) for v in opened], names=names).to_batches(max_chunksize=10_000)
+
+
+def _without_loose(half: DataFrame, loose: DataFrame) -> DataFrame:
+    """half without the loose sides: a side that a loose one follows goes on along the next one clockwise that isn't loose. Rounds grow with the logarithm of the loose sides around one point."""
+    onward = half.select(F.col("_id").alias("_twin"), F.col("_next").alias("_then"))
+    skip = saved(half.join(loose, "_id").select("_id", "_twin").join(onward, "_twin").select("_id", "_then"))
+    far = lambda: skip.select(F.col("_id").alias("_then"), F.col("_then").alias("_more"))
+    open_, now = None, skip.join(far(), "_then", "left_semi").count()
+    # around points where all sides are loose nothing is ever found; elsewhere each round finds some
+    while now != open_:
+        skip = saved(skip.join(far(), "_then", "left").select("_id", F.coalesce("_more", "_then").alias("_then")))
+        open_, now = now, skip.join(loose.select(F.col("_id").alias("_then")), "_then", "left_semi").count()
+    past = skip.select(F.col("_id").alias("_next"), "_then")
+    kept = half.join(loose, "_id", "left_anti").join(past, "_next", "left")
+    return saved(kept.select("_id", "_twin", F.coalesce("_then", "_next").alias("_next"), "ax", "ay", "bx", "by"))
+
+
+def _wide_faces(opened: DataFrame) -> DataFrame:
+    """The bounded faces of the sides that no task could follow to the end: area, n_sides, ring."""
+    keyed = saved(opened.withColumn("_id", F.monotonically_increasing_id()))
+    named = lambda name, *ends: keyed.select(F.col("_id").alias(name), *[F.col(c).alias(e) for c, e in zip(("ux", "uy", "ax", "ay"), ends, strict=True)]).hint("merge")
+    half = keyed.join(named("_next", "ax", "ay", "bx", "by"), ["ax", "ay", "bx", "by"]).join(named("_twin", "ax", "ay", "ux", "uy"), ["ux", "uy", "ax", "ay"], "left")
+    half = saved(half.select("_id", "_twin", "_next", F.col("ux").alias("ax"), F.col("uy").alias("ay"), F.col("ax").alias("bx"), F.col("ay").alias("by")))
     faces = saved(half.join(_least_in_cycle(half), "_id"))
     other = faces.select(F.col("_id").alias("_twin"), F.col("_face").alias("_over"))
-    loose = saved(faces.join(other, "_twin").where("_face = _over").select(F.shiftright("_id", 1).alias("_e")).distinct())
+    loose = saved(faces.join(other, "_twin").where("_face = _over").select("_id"))
     if not loose.isEmpty():
-        half = _half_edges(sides.join(loose, "_e", "left_anti"))
+        half = _without_loose(half, loose)
         faces = saved(half.join(_least_in_cycle(half), "_id"))
     cross = (F.col("ax") * F.col("by") - F.col("bx") * F.col("ay")) / 2
     bounded = faces.groupBy("_face").agg(F.sum(cross).alias("area"), F.count(F.lit(1)).alias("n_sides")).where("area > 0")
     mine = saved(faces.join(bounded, "_face"))
     placed = mine.join(_places(mine), "_id")
     ring = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("_left")).alias("k"), F.col("ax").alias("x"), F.col("ay").alias("y")))), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
-    return placed.groupBy(F.col("_face").alias("face_id")).agg(F.first("area").alias("area"), F.first("n_sides").alias("n_sides"), ring.alias("ring"))
+    return placed.groupBy("_face").agg(F.first("area").alias("area"), F.first("n_sides").alias("n_sides"), ring.alias("ring")).drop("_face")
+
+
+def polygonize(segments: DataFrame, task_sides: int = TASK_SIDES) -> DataFrame:
+    """The bounded faces of line work: face_id, area, n_sides and ring, an array of (x, y) against the clock, the first point not repeated.
+
+    Segments of no length and repeated ones count once or not at all; null coordinates are left out. Dead ends and bridges, which have the
+    same face on both sides, bound nothing and go before faces are made. A part of the line work that lies within a face of another
+    isn't cut out of it. Faces have no order; a ring must fit in a row, the unbounded face never becomes one.
+
+    Sides are dealt by ranges of the points that they leave, about task_sides to a task, which follows the faces that lie within its
+    range; only faces over several ranges are followed by joins, in rounds that look twice as far each time.
+    """
+    a, b = F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))
+    ends = segments.select(*[F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")]).dropna()
+    ends = ends.select(*[(F.col(c) + 0.0).alias(c) for c in ends.columns]).where(a != b)  # -0 is 0
+    sides = ends.select(F.least(a, b).alias("p"), F.greatest(a, b).alias("q")).distinct()
+    both = sides.select(F.explode(F.array(F.struct(F.col("p").alias("a"), F.col("q").alias("b")), F.struct(F.col("q").alias("a"), F.col("p").alias("b")))).alias("h"))
+    out = both.select(*[F.col(f"h.{e}.{c}").alias(f"{e}{c}") for e in "ab" for c in "xy"])
+    tasks = max(1, math.ceil(2 * ends.count() / task_sides))
+    found = stored(out.repartitionByRange(tasks, "ax", "ay").mapInArrow(_trace, ", ".join([_FACES, *[f"{c} double" for c in _OPEN]])))
+    faces, opened = found.where("n_sides is not null").select("area", "n_sides", "ring"), found.where("n_sides is null").select(*_OPEN)
+    if not opened.isEmpty():
+        faces = faces.unionByName(_wide_faces(opened))
+    return faces.select(F.monotonically_increasing_id().alias("face_id"), "area", "n_sides", "ring")
 
 
 def _sides(rings: Column) -> Column:

@@ -7,23 +7,37 @@ every ordering. Nulls sort last in both directions unless said otherwise.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """df from the checkpoint folder (the cluster's, if it names one): rows and partitions stay as they are however often they are read."""
-    sc = df.sparkSession.sparkContext
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder, if it names one."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not sc.master.startswith("local"):
             raise ValueError("on a cluster, spark.checkpoint.dir must name a shared folder")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="arborlens-checkpoint-"))
+    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """df from the checkpoint folder: rows and partitions stay as they are however often they are read."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """As saved(), for large tables: Parquet in the checkpoint folder, which is compressed; partitions may change."""
+    path = f"{checkpoint_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def first_per_key(df: DataFrame, keys: list[str | Column], order: list[Column]) -> DataFrame:
     """The first row of each key; null keys are one key. Spark turns this into a limit before the shuffle."""
     return df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rank = 1").drop("_rank")

@@ -112,3 +112,33 @@ def test_rows_of_one_id_are_one_polygon(spark):
     points = spark.createDataFrame([(1, 1.5, 1.5), (2, 3.0, 3.0)], "seq long, x double, y double")
     rows = [(7, [ring]), (7, [hole]), (8, [ring]), (8, [ring]), (9, [ring, hole]), (None, [ring])]
     assert sorted((r.seq, r.polygon_id) for r in planar.in_polygons(points, spark.createDataFrame(rows, POLYGON)).collect()) == [(2, 7), (2, 9)]
+
+
+@pytest.mark.parametrize("task_sides", [20, 250_000])
+def test_faces_over_several_tasks(spark, task_sides):
+    """Lattices with dead ends, bridges, an island on a bridge within a face and a tree give the same faces however few sides a task has."""
+    rows = [s for i in range(6) for j in range(4) for s in square(float(i), float(j))]
+    rows += [(0.0, 0.0, -0.5, -0.5), (6.0, 4.0, 7.0, 4.5), (7.0, 4.5, 8.0, 4.0), (7.0, 4.5, 8.0, 5.0), *square(8.0, 4.0, 3.0)]
+    rows += [(8.0, 4.0, 9.0, 5.0), *square(9.0, 5.0), (9.0, 5.0, 9.2, 5.2), (9.0, 5.0, 9.3, 5.2), (20.0, 0.0, 21.0, 1.0), (21.0, 1.0, 22.0, 0.0), (21.0, 1.0, 21.0, 2.0)]
+    random.Random(4).shuffle(rows)
+    found = planar.polygonize(spark.createDataFrame(rows, SEGMENT), task_sides)
+    assert sorted((round(r.area, 9), r.n_sides, len(r.ring)) for r in found.collect()) == [(1, 4, 4)] * 25 + [(9, 4, 4)]
+    for r in found.collect():
+        ring = [(p.x, p.y) for p in r.ring]
+        assert sum(x1 * y2 - x2 * y1 for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1], strict=True)) / 2 == pytest.approx(r.area)
+    assert found.select("face_id").distinct().count() == 26
+
+
+def test_lattice_leaves_few_sides_to_joins(spark):
+    """Faces within a range are one task's, so nothing that joins rounds over all sides fills the disk: 2 of some 200,000 directed sides' ranges meet here."""
+    i, j = F.col("id") % 200 * 1.0, F.floor(F.col("id") / 200) * 1.0
+    at = spark.range(200 * 250)
+    rows = at.select(i.alias("x1"), j.alias("y1"), (i + 1).alias("x2"), j.alias("y2")).unionByName(at.select(i.alias("x1"), j.alias("y1"), i.alias("x2"), (j + 1).alias("y2")))
+    seen = []
+    wide, planar._wide_faces = planar._wide_faces, lambda o: seen.append(o.count()) or wide(o)
+    try:
+        found = planar.polygonize(rows, 100_000)
+        assert found.where("area = 1 and n_sides = 4").count() == found.count() == 199 * 249
+    finally:
+        planar._wide_faces = wide
+    assert sum(seen) < 10_000
