@@ -6,6 +6,9 @@ that very pair. Such places are certain cuts. A word is split at them, the fragm
 encoded each by itself, and their ids are joined and remembered by word. The result is that of BPE
 over the whole word.
 
+The words of many texts are found, told apart, looked up and encoded together, as arrays. A word of up to 31 bytes is known by all of
+its bytes and their number, as four 64-bit integers; a hash of these only says where to look. Longer words aren't remembered.
+
 Reads a tokenizer file of the word-end kind: NFC, white space to blanks, lower case, a
 split by pattern, byte-level symbols and a suffix at word ends.
 
@@ -20,7 +23,6 @@ import functools
 import hashlib
 import heapq
 import json
-import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -30,16 +32,54 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from arborlens.llm.common import fresh, in_chunks
+from arborlens.llm.common import fresh, in_chunks, mix
 
-#: Words that a worker remembers.
-CACHE = 200_000
+#: Words that a worker remembers, some 60 bytes each; beyond that, the half that was met last stays.
+CACHE = 400_000
+#: 64-bit integers of a word's bytes; the last byte is its length.
+LANES = 4
 #: Symbols up to which fragments are encoded many at a time; longer ones go one by one over a heap.
 SHORT = 64
-#: The split pattern for which Latin-1 texts without odd numerals or spaces can use the faster standard module, and its form there.
+#: The split pattern that is worked out on arrays for Latin-1 texts without odd numerals or spaces.
 KNOWN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-LATIN_SPLIT = re.compile(r"[^\W\d_]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|(?:[^\w\s]|_)+")
-ODD_LATIN = re.compile(b"[\x1c-\x1f\x85\xa0\xb2\xb3\xb9\xbc-\xbe]")
+ODD_LATIN = {chr(x) for x in (*range(0x1C, 0x20), 0x85, 0xA0, 0xB2, 0xB3, 0xB9, 0xBC, 0xBD, 0xBE)}
+BLANK, LETTER, DIGIT, SIGN, ODD = range(5)
+#: Blanks between and behind texts, so that the bytes after a word can be read with it.
+PAD = b"\n" * (8 * LANES + 8)
+
+
+def kind_of(c: str) -> int:
+    """The kind of a Latin-1 character; odd ones are left to the pattern."""
+    return ODD if c in ODD_LATIN else BLANK if c.isspace() else LETTER if c.isalpha() else DIGIT if c.isdigit() else SIGN
+
+
+#: Kinds by byte of UTF-8, and by the second byte after 0xC2 and 0xC3; other leading bytes are odd.
+KIND = np.array([kind_of(chr(b)) if b < 128 else ODD if b >= 0xC4 else SIGN for b in range(256)], np.uint8)
+KIND_AFTER = np.array([[kind_of(chr(64 * k + b)) if 128 <= 64 * k + b < 256 and 128 <= b < 192 else ODD for b in range(256)] for k in (0, 1)], np.uint8)
+
+
+def latin_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First places and sizes of the words of KNOWN_SPLIT in lower-case UTF-8 that ends with PAD, and the places of odd bytes; texts that hold none of those are split rightly."""
+    b = np.frombuffer(data, np.uint8)
+    kind = KIND[b]
+    lead = np.flatnonzero((b == 0xC2) | (b == 0xC3))
+    kind[lead] = kind[lead + 1] = KIND_AFTER[b[lead] - 0xC2, b[lead + 1]]
+    begins = np.append(True, kind[1:] != kind[:-1]) | (kind == DIGIT)
+    quote = np.flatnonzero(b == ord("'"))
+    quote = quote[begins[quote]]  # within a run of signs, it is one of them
+    one, two = b[quote + 1], b[quote + 2]
+    size = np.where(np.isin(one, list(b"stmd")), 1, 2 * (((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))))
+    quote, size = quote[size > 0], size[size > 0]
+    begins[quote + 1] = False
+    begins[quote + size + 1] = True
+    places = np.flatnonzero(begins)
+    sizes, word = np.diff(places, append=len(b)), kind[places] != BLANK
+    return places[word], sizes[word], np.flatnonzero(kind == ODD)
+
+
+def spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all runs, one run after another."""
+    return np.arange(int(sizes.sum())) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
 
 
 def byte_symbols() -> list[str]:
@@ -61,10 +101,13 @@ class ForcedBoundaryBpe:
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.rank = {pair: r for r, pair in enumerate(merges)}
         pattern = next(x for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")["pattern"]["Regex"]
-        self.find, self.latin = regex.compile(pattern).findall, LATIN_SPLIT.findall if pattern == KNOWN_SPLIT else None
+        self.find, self.latin = regex.compile(pattern).findall, pattern == KNOWN_SPLIT
         self.stops = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.by_id = {i: t for t, i in (self.vocab | self.special).items()}
-        self.known: dict[str, bytes] = {}
+        #: of the words that are remembered: hashes, ascending; lanes; place and number of their ids among all that are remembered; when they were last met
+        self.known, self.lanes = np.empty(0, np.uint64), np.empty((LANES, 0), np.uint64)
+        self.first, self.count, self.met = (np.empty(0, np.int64) for _ in range(3))
+        self.ids, self.turn = np.empty(0, np.uint32), 0
         # units: the symbol of byte b is unit b, and unit 256 + b at the end of a word
         self.units = byte_symbols() + [x + self.end for x in byte_symbols()]
         at = {x: k for k, x in enumerate(self.units)}
@@ -79,6 +122,8 @@ class ForcedBoundaryBpe:
         self.unit_id = np.array([self.vocab[x] for x in self.units], np.int64)
         pairs = sorted((self.vocab[a] << 32 | self.vocab[b], r, self.vocab[a + b]) for (a, b), r in self.rank.items())
         self.pair, self.pair_rank, self.pair_makes = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
+        #: for two units, the place of their pair in the list of merges by pair; -1: in none
+        self.unit_pair = self._look(np.repeat(self.unit_id, 512), np.tile(self.unit_id, 512)).astype(np.int32).reshape(512, 512)
 
     def fragments(self, word: str) -> list[tuple[str, ...]]:
         """The word's symbols, split at its certain cuts."""
@@ -93,11 +138,9 @@ class ForcedBoundaryBpe:
         at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
         return np.where(self.pair[at] == key, at, -1)
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode the words and remember their ids as little-endian 32-bit integers."""
-        coded = [w.encode("utf-8") for w in words]
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-        units = np.frombuffer(b"".join(coded), np.uint8).astype(np.int64)
+    def _encoded(self, data: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words at the places, one word after another, and each word's number of ids."""
+        units = data[spread(places, sizes)].astype(np.int64)
         first = np.cumsum(sizes) - sizes
         units[first + sizes - 1] += 256
         begins = np.ones(len(units), bool)
@@ -106,16 +149,15 @@ class ForcedBoundaryBpe:
         starts = np.flatnonzero(begins)
         long = np.diff(starts, append=len(units)) > SHORT
         ids, alive = self.unit_id[units], np.ones(len(units), bool)
-        self._merge(ids, alive, np.arange(len(units))[~np.repeat(long, np.diff(starts, append=len(units)))], begins)
+        self._merge(ids, alive, np.arange(len(units))[~np.repeat(long, np.diff(starts, append=len(units)))], begins, units)
         for a in starts[long].tolist():
             b = int(starts[np.searchsorted(starts, a) + 1]) if a < starts[-1] else len(units)
             got = self._long_fragment(tuple(self.units[u] for u in units[a:b]))
             ids[a : a + len(got)] = got
             alive[a + len(got) : b] = False
-        data, ends = ids[alive].astype("<u4").tobytes(), (np.cumsum(np.add.reduceat(alive, first, dtype=np.int64)) * 4).tolist()
-        self.known.update(zip(words, (data[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+        return ids[alive].astype(np.uint32), np.add.reduceat(alive, first, dtype=np.int64)
 
-    def _merge(self, ids: np.ndarray, alive: np.ndarray, at: np.ndarray, begins: np.ndarray) -> None:
+    def _merge(self, ids: np.ndarray, alive: np.ndarray, at: np.ndarray, begins: np.ndarray, units: np.ndarray) -> None:
         """BPE over many fragments at once: in each round, every fragment merges its leftmost pair of lowest rank.
 
         at: positions of the symbols that take part; ids and alive change in place.
@@ -126,7 +168,7 @@ class ForcedBoundaryBpe:
         rank = np.full(len(at), none)
         found = np.full(len(at), -1)
         inner = np.flatnonzero(~last)
-        found[inner] = self._look(ids[at[inner]], ids[at[inner + 1]])
+        found[inner] = self.unit_pair[units[at[inner]], units[at[inner + 1]]]
         rank[inner] = np.where(found[inner] >= 0, self.pair_rank[found[inner]], none)
         while len(at):
             starts = np.flatnonzero(begin)
@@ -176,35 +218,102 @@ class ForcedBoundaryBpe:
                     heapq.heappush(heap, (r, p, parts[p], parts[q]))
         return [self.vocab[p] for p in parts if p is not None]
 
-    def _words(self, text: str) -> list[str]:
+    def _low(self, text: str) -> str:
         text = unicodedata.normalize("NFC", text)
         # the library lower-cases code point by code point: no rule looks at neighbours
-        low = text.lower() if "\u03a3" not in text else "".join(c.lower() for c in text)
-        try:
-            if self.latin and not ODD_LATIN.search(low.encode("latin-1")):
-                return self.latin(low)
-        except UnicodeEncodeError:
-            pass
-        return self.find(low)
+        return text.lower() if "\u03a3" not in text else "".join(c.lower() for c in text)
+
+    def _words(self, text: str) -> list[bytes]:
+        """The words of any text, by the pattern. Special tokens' strings in it are those tokens, as in the library, and get a blank before them, which no word begins with."""
+        words, at = [], 0
+        for m in self.stops.finditer(text) if any(x in text for x in self.special) else ():
+            words += [*self.find(self._low(text[at : m.start()])), " " + m.group()]
+            at = m.end()
+        return [w.encode("utf-8") for w in [*words, *self.find(self._low(text[at:]))]]
+
+    def _split(self, texts: list[str]) -> tuple[list[int], list[int], np.ndarray, np.ndarray, np.ndarray]:
+        """An order of the texts, the number of words of each in it, the bytes that hold the words, and the words' places and sizes."""
+        low = {i: self._low(t).encode("utf-8") for i, t in enumerate(texts) if self.latin and not any(x in t for x in self.special)}
+        while True:
+            data = b"\n".join(low.values()) + PAD
+            places, sizes, odd = latin_words(data)
+            ends = np.cumsum([len(x) + 1 for x in low.values()])
+            if not len(odd):
+                break
+            keys = list(low)
+            for k in np.unique(np.searchsorted(ends, odd, "right")).tolist():
+                del low[keys[k]]
+        words = {i: self._words(t) for i, t in enumerate(texts) if i not in low}
+        more = np.fromiter((len(w) for x in words.values() for w in x), np.int64)
+        flat = np.frombuffer(b"".join([data, *(w for x in words.values() for w in x), PAD]), np.uint8)
+        counts = [*np.diff(np.searchsorted(places, ends), prepend=0).tolist(), *map(len, words.values())]
+        return [*low, *words], counts, flat, np.concatenate([places, len(data) + np.cumsum(more) - more]), np.concatenate([sizes, more])
+
+    def _told_apart(self, data: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Lanes and hash of each word; of each different word one that stands for it, and for each word the number of its like. Long words get lanes that hold among these words only."""
+        eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+        masks = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+        lanes = np.zeros((LANES, len(places)), np.uint64)
+        for k, lane in enumerate(lanes):
+            some = np.flatnonzero(sizes > 8 * k)
+            lane[some] = eight[places[some] + 8 * k] & masks[np.minimum(sizes[some] - 8 * k, 8)]
+        numbers: dict[bytes, int] = {}
+        for i in np.flatnonzero(sizes >= 8 * LANES).tolist():
+            lanes[:, i] = [numbers.setdefault(data[places[i] : places[i] + sizes[i]].tobytes(), len(numbers)), *[0] * (LANES - 1)]
+        lanes[-1] |= np.minimum(sizes, 255).astype(np.uint64) << np.uint64(56)
+        hashed = np.zeros(len(places), np.uint64)
+        for lane in lanes:
+            hashed = mix(hashed * np.uint64(0x9E3779B97F4A7C15) + lane)
+        order = np.argsort(hashed)
+        new = np.append(True, hashed[order[1:]] != hashed[order[:-1]])
+        stands, like = order[new], np.empty(len(places), np.int64)
+        like[order] = np.cumsum(new) - 1
+        if any((lane[stands[like]] != lane).any() for lane in lanes):  # two words of one hash
+            _, stands, like = np.unique(lanes, axis=1, return_index=True, return_inverse=True)
+        return lanes, hashed, stands, like.reshape(-1)
+
+    def _ids(self, data: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As _encoded, with words looked up among those that are remembered."""
+        lanes, hashed, stands, like = self._told_apart(data, places, sizes)
+        lanes, hashed = lanes.take(stands, 1), hashed[stands]
+        at = np.searchsorted(self.known, hashed)
+        hit = np.zeros(len(at), bool)
+        inside = np.flatnonzero(at < len(self.known))
+        hit[inside] = (self.lanes.take(at[inside], 1) == lanes.take(inside, 1)).all(0) & (sizes[stands[inside]] < 8 * LANES)
+        first, count = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+        first[hit], count[hit] = self.first[at[hit]], self.count[at[hit]]
+        self.turn += 1
+        self.met[at[hit]] = self.turn
+        if len(miss := np.flatnonzero(~hit)):
+            word = stands[miss]
+            ids, n = self._encoded(data, places[word], sizes[word])
+            first[miss], count[miss] = len(self.ids) + np.cumsum(n) - n, n
+            for k in np.flatnonzero(data[places[word]] == ord(" ")).tolist():
+                ids[first[miss[k]] - len(self.ids)] = self.special[data[places[word[k]] + 1 : places[word[k]] + sizes[word[k]]].tobytes().decode("utf-8")]
+                count[miss[k]] = 1
+            self.ids = np.concatenate([self.ids, ids])
+        out = self.ids[spread(first[like], count[like])]
+        # of words with one hash, only one is remembered
+        free = miss[(sizes[stands[miss]] < 8 * LANES) & (hashed[miss] != np.append(self.known, np.uint64(0))[at[miss]])]
+        free = free[np.unique(hashed[free], return_index=True)[1]]
+        self.known, self.lanes = np.insert(self.known, at[free], hashed[free]), np.insert(self.lanes, at[free], lanes[:, free], 1)
+        self.first, self.count, self.met = np.insert(self.first, at[free], first[free]), np.insert(self.count, at[free], count[free]), np.insert(self.met, at[free], self.turn)
+        if len(self.known) > CACHE:
+            stay = self.met > np.partition(self.met, len(self.met) - CACHE // 2 - 1)[len(self.met) - CACHE // 2 - 1]
+            self.known, self.lanes, self.first, self.count, self.met = self.known[stay], self.lanes[:, stay], self.first[stay], self.count[stay], self.met[stay]
+            self.ids = self.ids[spread(self.first, self.count)]
+            self.first = np.cumsum(self.count) - self.count
+        return out, count[like]
 
     def encode_bytes(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers. Special tokens' strings in a text are those tokens, as in the library."""
-        plans: list[list[list[str] | bytes]] = []
-        for text in texts:
-            plan, at = [], 0
-            for m in self.stops.finditer(text) if any(x in text for x in self.special) else ():
-                plan += [self._words(text[at : m.start()]), self.special[m.group()].to_bytes(4, "little")]
-                at = m.end()
-            plans.append([*plan, self._words(text[at:])])
-        words = set().union(*(x for plan in plans for x in plan if isinstance(x, list)))
-        new = words - self.known.keys()
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = words
-        if new:
-            self._learn(list(new))
-        get = self.known.__getitem__
-        return [b"".join(b"".join(map(get, x)) if isinstance(x, list) else x for x in plan) for plan in plans]
+        """The ids of each text as little-endian 32-bit integers."""
+        order, words, data, places, sizes = self._split(texts)
+        if not len(places):
+            return [b""] * len(texts)
+        ids, n = self._ids(data, places, sizes)
+        coded, ends = ids.astype("<u4").tobytes(), (4 * np.append(0, np.cumsum(n))[np.cumsum(words)]).tolist()
+        out = dict(zip(order, (coded[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+        return [out[i] for i in range(len(texts))]
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
         return [np.frombuffer(x, "<u4") for x in self.encode_bytes(texts)]
