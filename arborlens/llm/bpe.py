@@ -36,6 +36,8 @@ from arborlens.llm.common import fresh, in_chunks, mix
 
 #: Words that a worker remembers, some 60 bytes each; beyond that, the half that was met last stays.
 CACHE = 400_000
+#: Words that are looked up and encoded at once; those of a longer text go in several turns.
+AT_ONCE = 250_000
 #: 64-bit integers of a word's bytes; the last byte is its length.
 LANES = 4
 #: Symbols up to which fragments are encoded many at a time; longer ones go one by one over a heap.
@@ -310,7 +312,7 @@ class ForcedBoundaryBpe:
         order, words, data, places, sizes = self._split(texts)
         if not len(places):
             return [b""] * len(texts)
-        ids, n = self._ids(data, places, sizes)
+        ids, n = map(np.concatenate, zip(*(self._ids(data, places[a : a + AT_ONCE], sizes[a : a + AT_ONCE]) for a in range(0, len(places), AT_ONCE)), strict=True))
         coded, ends = ids.astype("<u4").tobytes(), (4 * np.append(0, np.cumsum(n))[np.cumsum(words)]).tolist()
         out = dict(zip(order, (coded[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
         return [out[i] for i in range(len(texts))]

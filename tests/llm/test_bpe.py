@@ -81,6 +81,7 @@ def test_batches_of_all_kinds(both, monkeypatch, mixed):
     _, library = both
     own = bpe.ForcedBoundaryBpe(vocabulary())
     monkeypatch.setattr(bpe, "CACHE", 300)
+    monkeypatch.setattr(bpe, "AT_ONCE", 500)
     if mixed:
         monkeypatch.setattr(bpe, "mix", mixed)
     r = random.Random(2)
