@@ -178,7 +178,9 @@ def severity(rows: DataFrame, counted: Counted, max_terms: int = 4096) -> DataFr
     tell = [(t, h) for h in (0, 1) for t, speaks_for in telling_terms(counted, max_terms, (1 - h,)).items() if speaks_for]
     toxic = rows.where("grade > 0")
     words = toxic.select("doc_id", _half().alias("h"), "term", F.explode(F.concat(F.array("term"), _beginnings())).alias("f"))
-    hits = words.join(F.broadcast(rows.sparkSession.createDataFrame(tell, "f string, h long")), ["f", "h"]).groupBy("doc_id").agg(F.count_distinct("term").alias("hits"))
+    # from Arrow: rows of a list would go through Python workers of another kind than mapInArrow's, which stay beside those
+    telling = rows.sparkSession.createDataFrame(pa.table({"f": pa.array([t for t, _ in tell], pa.string()), "h": pa.array([h for _, h in tell], pa.int64())}))
+    hits = words.join(F.broadcast(telling), ["f", "h"]).groupBy("doc_id").agg(F.count_distinct("term").alias("hits"))
     every = cut_small(toxic.select("doc_id").distinct().join(hits, "doc_id", "left").fillna(0, "hits"))
     middle = every.agg(F.percentile("hits", 0.5)).first()[0] or 0
     more = every.where(F.col("hits") > middle).select("doc_id", F.lit(2).alias("more"))

@@ -61,6 +61,16 @@ def test_toxicity_of_a_language_with_few_labels(spark):
     assert all(model.exceed(sentence(r, "bb", 40))[0] < 0.5 for _ in range(50))
 
 
+def test_severity_needs_no_python_workers_of_a_second_kind(spark, monkeypatch):
+    """A list made into rows by parallelize() goes through workers that stay beside those of mapInArrow."""
+    docs = spark.createDataFrame([(i, "vile rotten" if i % 3 == 0 else "fine day") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    rows = toxicity.sample(docs, labels, F.col("toxic"), 4000)
+    counted = toxicity.count_terms(rows)
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", lambda *a, **b: pytest.fail("a list went through parallelize()"))
+    assert {r.doc_id for r in toxicity.severity(rows, counted).where("grade > 0").select("doc_id").collect()} == set(range(0, 60, 3))
+
+
 def test_severity_of_yes_or_no_labels(spark):
     """Grades against a count of the words that tell, in rows of which each half teaches the same ones."""
     rows = labelled()

@@ -1,7 +1,9 @@
 import random
 
 import corpus_pipeline
+import pyarrow as pa
 from arborlens.llm.bpe import ForcedBoundaryBpe
+from arborlens.llm.common import BATCH_BYTES
 from arborlens.llm.queries import vocabulary
 
 
@@ -42,3 +44,20 @@ def test_stages_and_run(spark, tmp_path):
     assert sorted((x.doc_id is None, x.doc_id or 0, x.token_ids) for x in last) == sorted((x.doc_id is None, x.doc_id or 0, bpe.encode(x.text or "").tolist()) for x in kept["mixing"])
     whole = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted((x.doc_id is None, x.doc_id or 0, x.n_tokens) for x in whole) == sorted((x.doc_id is None, x.doc_id or 0, x.n_tokens) for x in last)
+
+
+def test_every_stage_bounds_the_bytes_of_batches(spark, tmp_path):
+    write(spark, str(tmp_path), [(i, f"w{i} " * 50, "en", f"src{i % 2}", 0) for i in range(40)], [(i, 1, i % 2) for i in range(40)])
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    wide = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('text ', 1000) AS text")
+    size = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows], "bytes": [b.nbytes]}) for b in batches)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for stage, run in corpus_pipeline.STAGES:
+            spark.conf.unset(name)
+            run(spark, docs, str(tmp_path))
+            found = wide.mapInArrow(size, "n long, bytes long").collect()
+            assert sum(r.n for r in found) == 3000 and max(r.bytes for r in found) < 1.1 * BATCH_BYTES, stage
+    finally:
+        spark.conf.set(name, before)
